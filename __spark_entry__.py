@@ -316,7 +316,7 @@ def _longest_cte(p: str) -> str:
 
 def _parts_sql(periods: str, spec: str, heads_case: str, key: str = "period_start") -> str:
     return f"""pages as (
-  select {key}, section, cast(floor((pos - 1) / 50) as bigint) as page, string_agg(line, '' order by pos) as body
+  select {key}, section, cast(floor((pos - 1) / 50) as bigint) as page, string_agg(line, '' order by pos, o1, o2) as body
   from lines group by all
 ),
 periods as ({periods}),
@@ -341,11 +341,11 @@ def _report_sql(p: str) -> str:
         f" else concat('*Longest streak*', {NL}) end"
     )
     lines = f"""lines as (
-  select period_start, 'wins' as section, pos,
+  select period_start, 'wins' as section, pos, cast(null as bigint) as o1, cast(null as varchar) as o2,
          concat(name, ': ', cast(n as varchar), ' ', case when rnk = 1 then ':crown:' else '' end, {NL}) as line from wins
-  union all select period_start, 'fastest', pos, line from fast
-  union all select period_start, 'medians', pos, line from med
-  union all select period_start, 'streak', pos, line from longest
+  union all select period_start, 'fastest', pos, null, null, line from fast
+  union all select period_start, 'medians', pos, null, null, line from med
+  union all select period_start, 'streak', pos, null, null, line from longest
 )"""
     return _with(
         RESULTS, *_streaks_cte(), _wins_cte(p), _fastest_cte(p), _median_cte(p), _longest_cte(p), lines
@@ -378,7 +378,6 @@ def _standings_cte(by: str = "") -> str:
     sel = f"r.{by}, " if by else ""
     return f"""standings as (
   select {sel}r.date, r.name, r.time, r.secs, r.rnk,
-         cast(r.rnk + row_number() over (partition by {sel}r.date, r.secs order by r.name) - 1 as bigint) as pos,
          s.streak, k.broken_streak,
          case when r.rnk = 1 then ':first_place_medal:' when r.rnk = 2 then ':second_place_medal:'
               when r.rnk = 3 then ':third_place_medal:' else '' end as medal,
@@ -477,7 +476,7 @@ left join no on no.period_start = p.period_start and no.name = p.name"""
         + f"select *, {_line_sql()} as line from standings"
     )
     o["daily_message"] = _with(
-        RESULTS, *_streaks_cte(), *_broken_cte(), _standings_cte(), f"lines as (select date, 'standings' as section, pos, {_line_sql()} as line from standings)"
+        RESULTS, *_streaks_cte(), *_broken_cte(), _standings_cte(), f"lines as (select date, 'standings' as section, rnk as pos, cast(secs as bigint) as o1, name as o2, {_line_sql()} as line from standings)"
     ) + ", " + _parts_sql(
         "select distinct date from results",
         "(1, 1, 'standings', true)",
@@ -485,7 +484,8 @@ left join no on no.period_start = p.period_start and no.name = p.name"""
         key="date",
     )
     o["daily_plot_data"] = _with(RESULTS, *_streaks_cte(), *_broken_cte(), _standings_cte()) + """select s.date, s.name,
-  cast(n.players - s.pos + 1 as bigint) as name_order, s.secs, s.time,
+  cast(n.players - (s.rnk + row_number() over (partition by s.date, s.secs order by s.name) - 1) + 1 as bigint) as name_order,
+  s.secs, s.time,
   case when s.rnk = 1 then '1' when s.rnk = 2 then '2' when s.rnk = 3 then '3' else '' end as medal,
   case when s.rnk = 1 and s.streak >= 3 then concat(cast(s.streak as varchar), '-day streak') end as streak_text
 from standings s join (select date, count(*) as players from results group by date) n on n.date = s.date"""
@@ -505,6 +505,7 @@ from (select r.date, r.name, r.secs,
         f"""lines as (select period_start, 'wins' as section,
             cast(row_number() over (partition by period_start order by firsts desc nulls last, silvers desc nulls last,
                                     thirds desc nulls last, name) as bigint) as pos,
+            cast(null as bigint) as o1, cast(null as varchar) as o2,
             concat(name, ': ', repeat(':first_place_medal:', coalesce(firsts, 0)),
                    repeat(':second_place_medal:', coalesce(silvers, 0)), repeat(':third_place_medal:', coalesce(thirds, 0)), {NL}) as line
           from c)""",
@@ -549,11 +550,11 @@ def _league_report_sql(p: str) -> str:
   where r = 1 and streak >= 3
 )"""
     lines = f"""lines as (
-  select league, period_start, 'wins' as section, pos,
+  select league, period_start, 'wins' as section, pos, cast(null as bigint) as o1, cast(null as varchar) as o2,
          concat(name, ': ', cast(n as varchar), ' ', case when rnk = 1 then ':crown:' else '' end, {NL}) as line from wins
-  union all select league, period_start, 'fastest', pos, line from fast
-  union all select league, period_start, 'medians', pos, line from med
-  union all select league, period_start, 'streak', pos, line from longest
+  union all select league, period_start, 'fastest', pos, null, null, line from fast
+  union all select league, period_start, 'medians', pos, null, null, line from med
+  union all select league, period_start, 'streak', pos, null, null, line from longest
 )"""
     spec = "(1, 1, 'wins', true), (1, 2, 'fastest', true), (1, 3, 'medians', true), (1, 4, 'streak', false)"
     heads = (
@@ -563,7 +564,7 @@ def _league_report_sql(p: str) -> str:
     )
     body = f"""pages as (
   select league, period_start, section, cast(floor((pos - 1) / 50) as bigint) as page,
-         string_agg(line, '' order by pos) as body
+         string_agg(line, '' order by pos, o1, o2) as body
   from lines group by all
 ),
 periods as (select distinct league, {_trunc(p)} as period_start from results),

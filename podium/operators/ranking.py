@@ -34,7 +34,7 @@ def day_rank(results: DataFrame, by: Sequence[str] | None = None, method: str =
     """Competition rank (``1, 1, 3``) of ``secs`` within each ``(by…, date)``; null secs -> null rank."""
     day = keys(by, "date")
     if method == "window":
-        w = Window.partitionBy(*day).orderBy("secs")
+        w = Window.partitionBy(*day).orderBy(F.col("secs").asc_nulls_last())
         return results.withColumn("rnk", F.when(F.col("secs").isNotNull(), F.rank().over(w)).cast("bigint"))
     if method != "histogram":
         raise ValueError("method must be 'histogram' or 'window'")

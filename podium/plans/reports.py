@@ -50,19 +50,29 @@ def _medal(rnk: Column, marks: dict[int, str], default) -> Column:
     return expr
 
 
-def _ranked_day(results: DataFrame, by, streak_table: DataFrame | None):
-    r = ranking.day_rank(results, by)
+def _day_extras(results: DataFrame, by, streak_table: DataFrame | None) -> DataFrame:
+    """Streak of each winner and the broken streak of yesterday's first winner, keyed ``(by…, date, name)``.
+
+    Both are small (a few rows per league and day), so they are combined with
+    each other first and meet the results in a single join.
+    """
     s = streak_table if streak_table is not None else st.streaks(results, by)
-    tie = Window.partitionBy(*keys(by, "date", "secs")).orderBy("name")
-    r = r.withColumn("pos", (F.col("rnk") + F.row_number().over(tie) - 1).cast("bigint"))
-    return null_safe_join(r, s, keys(by, "name", "date"), "left"), s
+    broken = st.broken_streaks(results, by, s)
+    k = keys(by, "date", "name")
+    return null_safe_join(s.select(*k, "streak"), broken.select(*k, "broken_streak"), k, "full")
+
+
+def _ranked_day(results: DataFrame, by, streak_table: DataFrame | None) -> DataFrame:
+    r = ranking.day_rank(results, by)
+    return null_safe_join(r, _day_extras(results, by, streak_table), keys(by, "date", "name"), "left")
 
 
 def daily_standings(results: DataFrame, by: Sequence[str] | None = None, streak_table: DataFrame | None = None) -> DataFrame:
-    """One line per player and day: ``name: time medal (N-day streak)(N-day streak broken)``."""
-    x, s = _ranked_day(results, by, streak_table)
-    broken = st.broken_streaks(results, by, s)
-    x = null_safe_join(x, broken, keys(by, "date", "name"), "left")
+    """One line per player and day: ``name: time medal (N-day streak)(N-day streak broken)``.
+
+    Lines of a day are ordered by ``(secs, name)``; ``rnk`` is the competition rank.
+    """
+    x = _ranked_day(results, by, streak_table)
     streak_text = F.when(
         (F.col("rnk") == 1) & (F.col("streak") >= 3), F.concat(F.lit("("), F.col("streak").cast("string"), F.lit("-day streak)"))
     ).otherwise(F.lit(""))
@@ -87,7 +97,6 @@ def daily_standings(results: DataFrame, by: Sequence[str] | None = None, streak_
             "time",
             "secs",
             "rnk",
-            "pos",
             "streak",
             "broken_streak",
             medal.alias("medal"),
@@ -99,8 +108,15 @@ def daily_standings(results: DataFrame, by: Sequence[str] | None = None, streak_
 
 
 def daily_plot_data(results: DataFrame, by: Sequence[str] | None = None, streak_table: DataFrame | None = None) -> DataFrame:
-    """The table behind the daily lollipop chart; ``name_order`` 1 is the slowest (bottom)."""
-    x, _ = _ranked_day(results, by, streak_table)
+    """The table behind the daily lollipop chart; ``name_order`` 1 is the slowest (bottom).
+
+    ``name_order = players - (rank + earlier names at the same time) + 1``; the
+    tie position is a window over ``(by…, date, secs)``, so a busy day is spread
+    over its distinct times rather than sorted in one task.
+    """
+    x = _ranked_day(results, by, streak_table)
+    tie = Window.partitionBy(*keys(by, "date", "secs")).orderBy("name")
+    x = x.withColumn("pos", F.col("rnk") + F.row_number().over(tie) - 1)
     n = ranking.participants(results, by)
     x = null_safe_join(x, n, keys(by, "date"), "left")
     streak_text = F.when(
@@ -131,12 +147,16 @@ def text_bar(results: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
 
 
 def _pages(lines: DataFrame, grp: list[str], page_size: int) -> DataFrame:
-    """``grp + section + pos + line`` -> one body per page of ``page_size`` lines."""
+    """``grp + section + pos + line [+ o1, o2]`` -> one body per page of ``page_size`` positions.
+
+    Lines are ordered by ``(pos, o1, o2)``; ``pos`` may repeat (a rank shared by
+    tied lines), and tied lines always share a page.
+    """
     page = F.floor((F.col("pos") - 1) / F.lit(page_size)).cast("bigint")
     return (
         lines.withColumn("page", page)
         .groupBy(*grp, "section", "page")
-        .agg(F.expr("listagg(line, '') WITHIN GROUP (ORDER BY pos)").alias("body"))
+        .agg(F.expr("listagg(line, '') WITHIN GROUP (ORDER BY pos, o1, o2)").alias("body"))
     )
 
 
@@ -166,8 +186,11 @@ def _parts(periods: DataFrame, grp: list[str], sections: list[tuple], lines: Dat
     return j.select(*grp, "message", "seq", "section", page.alias("page"), text.alias("text"))
 
 
-def _lines(df: DataFrame, grp: list[str], section: str) -> DataFrame:
-    return df.select(*grp, F.lit(section).alias("section"), "pos", "line")
+def _lines(df: DataFrame, grp: list[str], section: str, pos: str = "pos", o1: str | None = None, o2: str | None = None) -> DataFrame:
+    """Section lines with their order key ``(pos, o1, o2)``; ``o1`` / ``o2`` break ties in ``pos``."""
+    t1 = F.col(o1).cast("bigint") if o1 else F.lit(None).cast("bigint")
+    t2 = F.col(o2).cast("string") if o2 else F.lit(None).cast("string")
+    return df.select(*grp, F.lit(section).alias("section"), F.col(pos).alias("pos"), t1.alias("o1"), t2.alias("o2"), "line")
 
 
 def daily_message(
@@ -178,7 +201,7 @@ def daily_message(
     s = standings if standings is not None else daily_standings(results, by)
     days = results.select(*grp).distinct()
     sections = [(1, 1, "standings", F.concat(F.lit("*"), date_text_long("date"), F.lit("*\n")), True)]
-    return _parts(days, grp, sections, _lines(s, grp, "standings"), page_size)
+    return _parts(days, grp, sections, _lines(s, grp, "standings", "rnk", "secs", "name"), page_size)
 
 
 def weekly_message(results: DataFrame, by: Sequence[str] | None = None, page_size: int = PAGE_SIZE) -> DataFrame:

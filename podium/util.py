@@ -31,7 +31,14 @@ def null_safe_join(left, right, on: Sequence[str], how: str = "inner"):
     if how in ("left_anti", "anti", "left_semi", "semi"):
         return joined.select(*[F.col(f"__l.{c}").alias(c) for c in left.columns])
     rest = [c for c in right.columns if c not in on]
+    full = how in ("full", "outer", "full_outer", "fullouter")
+    if how in ("right", "right_outer", "rightouter"):
+        key = {k: F.col(f"__r.{k}") for k in on}
+    elif full:
+        key = {k: F.coalesce(F.col(f"__l.{k}"), F.col(f"__r.{k}")) for k in on}
+    else:
+        key = {k: F.col(f"__l.{k}") for k in on}
     return joined.select(
-        *[F.col(f"__l.{c}").alias(c) for c in left.columns],
+        *[(key[c] if c in key else F.col(f"__l.{c}")).alias(c) for c in left.columns],
         *[F.col(f"__r.{c}").alias(c) for c in rest],
     )
