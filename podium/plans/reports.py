@@ -53,13 +53,17 @@ def _medal(rnk: Column, marks: dict[int, str], default) -> Column:
 def _day_extras(results: DataFrame, by, streak_table: DataFrame | None) -> DataFrame:
     """Streak of each winner and the broken streak of yesterday's first winner, keyed ``(by…, date, name)``.
 
-    Both are small (a few rows per league and day), so they are combined with
-    each other first and meet the results in a single join.
+    Both are small (a few rows per league and day).  They are stacked and
+    collapsed with a grouped ``max`` (combined map-side, no join), then meet
+    the results in a single join.
     """
     s = streak_table if streak_table is not None else st.streaks(results, by)
     broken = st.broken_streaks(results, by, s)
     k = keys(by, "date", "name")
-    return null_safe_join(s.select(*k, "streak"), broken.select(*k, "broken_streak"), k, "full")
+    stacked = s.select(*k, "streak", F.lit(None).cast("bigint").alias("broken_streak")).unionByName(
+        broken.select(*k, F.lit(None).cast("bigint").alias("streak"), "broken_streak")
+    )
+    return stacked.groupBy(*k).agg(F.max("streak").alias("streak"), F.max("broken_streak").alias("broken_streak"))
 
 
 def _ranked_day(results: DataFrame, by, streak_table: DataFrame | None) -> DataFrame:
@@ -146,44 +150,54 @@ def text_bar(results: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
 # -- message parts -------------------------------------------------------------
 
 
-def _pages(lines: DataFrame, grp: list[str], page_size: int) -> DataFrame:
-    """``grp + section + pos + line [+ o1, o2]`` -> one body per page of ``page_size`` positions.
-
-    Lines are ordered by ``(pos, o1, o2)``; ``pos`` may repeat (a rank shared by
-    tied lines), and tied lines always share a page.
-    """
-    page = F.floor((F.col("pos") - 1) / F.lit(page_size)).cast("bigint")
-    return (
-        lines.withColumn("page", page)
-        .groupBy(*grp, "section", "page")
-        .agg(F.expr("listagg(line, '') WITHIN GROUP (ORDER BY pos, o1, o2)").alias("body"))
-    )
-
-
 def _parts(periods: DataFrame, grp: list[str], sections: list[tuple], lines: DataFrame, page_size: int) -> DataFrame:
-    """Assemble message parts.
+    """Assemble message parts in one aggregation.
 
     ``sections``: ``(message, seq, section, header_column, header_when_empty)``.
-    A section with no lines still yields page 0 (its separator and, when
-    ``header_when_empty``, its header), as the message always has it.
+    Every period contributes an empty marker line (``pos = 0``) to each
+    section, so a section without lines still yields its page 0 (its
+    separator and, when ``header_when_empty``, its header), as the message
+    always has it; the markers ride in the same ``groupBy`` as the lines, so
+    no join of headers to pages is needed.
     """
-    spec = F.explode(
-        F.array(*[F.struct(F.lit(m).alias("message"), F.lit(q).alias("seq"), F.lit(s).alias("section"), F.lit(e).alias("always")) for m, q, s, _, e in sections])
+    names = [s for _, _, s, _, _ in sections]
+    markers = periods.select(*grp, F.explode(F.array(*[F.lit(n) for n in names])).alias("section")).select(
+        *grp,
+        "section",
+        F.lit(0).cast("bigint").alias("pos"),
+        F.lit(None).cast("bigint").alias("o1"),
+        F.lit(None).cast("string").alias("o2"),
+        F.lit("").alias("line"),
+    )
+    page = F.when(F.col("pos") > 0, F.floor((F.col("pos") - 1) / F.lit(page_size))).otherwise(F.lit(0)).cast("bigint")
+    pages = (
+        lines.select(*grp, "section", F.col("pos").cast("bigint").alias("pos"), "o1", "o2", "line")
+        .unionByName(markers)
+        .withColumn("page", page)
+        .groupBy(*grp, "section", "page")
+        .agg(
+            F.expr("listagg(line, '') WITHIN GROUP (ORDER BY pos, o1, o2)").alias("body"),
+            F.max("pos").alias("last_pos"),
+        )
     )
-    heads = periods.select(*grp, spec.alias("h")).select(*grp, "h.*")
-    header = F.lit(None).cast("string")
-    for _, _, s, h, _ in sections:
-        header = F.when(F.col("section") == s, h).otherwise(header)
-    heads = heads.withColumn("header", header)
-    pages = _pages(lines, grp, page_size)
-    j = null_safe_join(heads, pages, [*grp, "section"], "left")
-    page = F.coalesce(F.col("page"), F.lit(0)).cast("bigint")
-    first = page == 0
-    has_lines = F.col("body").isNotNull()
+
+    def by_section(i: int, default):
+        expr = default
+        for spec in sections:
+            expr = F.when(F.col("section") == spec[2], spec[i]).otherwise(expr)
+        return expr
+
+    message = by_section(0, F.lit(None).cast("int"))
+    seq = by_section(1, F.lit(None).cast("int"))
+    header = by_section(3, F.lit(None).cast("string"))
+    always = by_section(4, F.lit(None).cast("boolean"))
+    first = F.col("page") == 0
     sep = F.when(first & (F.col("seq") > 1), F.lit("\n")).otherwise(F.lit(""))
-    head = F.when(first & (has_lines | F.col("always")), F.col("header")).otherwise(F.lit(""))
-    text = F.concat(sep, head, F.coalesce(F.col("body"), F.lit("")))
-    return j.select(*grp, "message", "seq", "section", page.alias("page"), text.alias("text"))
+    head = F.when(first & ((F.col("last_pos") > 0) | always), header).otherwise(F.lit(""))
+    return (
+        pages.withColumn("seq", seq)
+        .select(*grp, message.alias("message"), "seq", "section", "page", F.concat(sep, head, F.col("body")).alias("text"))
+    )
 
 
 def _lines(df: DataFrame, grp: list[str], section: str, pos: str = "pos", o1: str | None = None, o2: str | None = None) -> DataFrame:

@@ -39,8 +39,13 @@ def read_board(spark: SparkSession, path: str, multi_line: bool = False) -> Data
     files are named by day.
     """
     df = spark.read.schema(schemas.LEADERBOARD).option("multiLine", str(multi_line).lower()).json(path)
-    from_name = F.try_to_date(F.regexp_extract(F.col("_metadata.file_name"), _FILE_DATE_RE, 1), F.lit("yyyy-MM-dd"))
-    return df.withColumn("date", F.coalesce(F.col("date"), from_name))
+    return with_file_date(df)
+
+
+def with_file_date(docs: DataFrame) -> DataFrame:
+    """Fill a missing document ``date`` from a ``YYYY-MM-DD.json`` file name (batch or stream)."""
+    from_name = F.try_to_date(F.regexp_extract(F.col("_metadata.file_name"), _FILE_DATE_RE, 1), "yyyy-MM-dd")
+    return docs.withColumn("date", F.coalesce(F.col("date"), from_name))
 
 
 def parse_board_text(text_df: DataFrame, column: str = "value") -> DataFrame:

@@ -14,43 +14,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from podium import schemas
-from podium.functions.timefmt import format_secs
-from podium.operators.ingest import flatten_board, new_rows
+from podium.operators.ingest import flatten_board
+from podium.plans.jobs import append_new_rows
 from podium.session import scratch_path
-from podium.sources.sinks import append_results
-from podium.util import keys, null_safe_join
-
-
-def _stored_schema(by: Sequence[str] | None) -> T.StructType:
-    fields = [T.StructField(k, T.StringType(), True) for k in (by or [])]
-    return T.StructType(
-        [
-            *fields,
-            T.StructField("name", T.StringType(), True),
-            T.StructField("time", T.StringType(), True),
-            T.StructField("secs", T.IntegerType(), True),
-            T.StructField("date", T.DateType(), True),
-        ]
-    )
-
-
-def _read_stored(spark: SparkSession, table_path: str, by: Sequence[str] | None) -> DataFrame:
-    try:
-        return spark.read.schema(_stored_schema(by)).parquet(table_path)
-    except Exception:  # no table yet
-        return spark.createDataFrame([], _stored_schema(by))
-
-
-def append_new(batch: DataFrame, table_path: str, by: Sequence[str] | None = None) -> None:
-    """Append the batch's rows that the table lacks (on ``by…, name, date, secs``)."""
-    spark = batch.sparkSession
-    rows = batch.select(*keys(by, "name"), format_secs("secs").alias("time"), "secs", "date")
-    days = rows.select(*keys(by, "date")).distinct()
-    stored = null_safe_join(_read_stored(spark, table_path, by), days, keys(by, "date"), "left_semi")
-    append_results(new_rows(rows, stored, by), table_path, by)
+from podium.sources.tables import with_file_date
+from podium.util import keys
 
 
 def start_board_stream(
@@ -63,12 +33,12 @@ def start_board_stream(
     available_now: bool = True,
 ):
     """Start the ingest stream; returns the ``StreamingQuery``."""
-    docs = spark.readStream.schema(schemas.LEADERBOARD).json(board_dir)
+    docs = with_file_date(spark.readStream.schema(schemas.LEADERBOARD).json(board_dir))
     flat = flatten_board(docs, by).withColumn("event_time", F.col("date").cast("timestamp"))
     deduped = flat.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(keys(by, "name", "date", "secs"))
     writer = (
         deduped.drop("event_time")
-        .writeStream.foreachBatch(lambda b, _epoch: append_new(b, table_path, by))
+        .writeStream.foreachBatch(lambda b, _epoch: append_new_rows(b, table_path, by))
         .option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
