@@ -23,7 +23,9 @@ from podium.operators import medians as med
 from podium.operators import ranking as rk
 from podium.operators import streaks as st
 from podium.plans import reports as rp
+from podium.plans import jobs
 from podium.sources import fixtures as fx
+from podium.sources.tables import parse_board_text
 from podium.streaming import board_stream
 
 AS_OF = dt.date(2001, 8, 1)
@@ -97,6 +99,34 @@ def _stream(spark, d):
     return board_stream.stream_board_fixture(spark, d)
 
 
+def _positional(spark, d):
+    """Boards delivered as two parallel arrays, solved entries first (the positional form)."""
+    docs = fx.board_docs(spark, d).select(
+        "date", F.array_sort(F.col("data"), lambda a, b: F.when(a.score.secondsSpentSolving.isNull() & b.score.secondsSpentSolving.isNotNull(), 1)
+                             .when(a.score.secondsSpentSolving.isNotNull() & b.score.secondsSpentSolving.isNull(), -1)
+                             .otherwise(0)).alias("data")
+    )
+    arrays = docs.select(
+        "date",
+        F.transform("data", lambda x: x["name"]).alias("names"),
+        F.filter(F.transform("data", lambda x: x["score"]["secondsSpentSolving"]), lambda t: t.isNotNull()).alias("times"),
+    )
+    return ing.pair_positional(arrays, "names", "times")
+
+
+def _board_text(spark, d):
+    """Boards held as JSON text (e.g. response bodies) parsed with the declared schema."""
+    text = fx.board_docs(spark, d).select(F.to_json(F.struct("date", "data")).alias("value"))
+    return ing.flatten_board(parse_board_text(text))
+
+
+def _as_of(build):
+    def q(spark, d):
+        return build(fx.results(spark, d))
+
+    return q
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         # ingest and cleaning
@@ -106,6 +136,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "repair_time": _repair,
         "dedupe_keep_first": lambda s, d: _stored(s, d),
         "flatten_board": _flatten,
+        "pair_positional": _positional,
+        "parse_board_json": _board_text,
         "new_rows": _new_rows,
         "orphan_rows": _orphans,
         "append_rows": _append,
@@ -147,6 +179,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "report_text_month": _res(lambda r, by: rp.period_message(r, by, "month")),
         "report_text_year": _res(lambda r, by: rp.period_message(r, by, "year")),
         "report_text_month_league": _res(lambda r, by: rp.period_message(r, by, "month"), league=True),
+        # one period, as the scheduled scripts post it (date-range filters reach the scan)
+        "daily_message_as_of": _as_of(lambda r: jobs.daily_report_for(r, AS_OF)),
+        "report_text_this_week": _as_of(lambda r: jobs.period_report_for(r, AS_OF, None, "week")),
+        "report_text_last_month": _as_of(lambda r: jobs.period_report_for(r, AS_OF, None, "month")),
+        "report_text_last_year": _as_of(lambda r: jobs.period_report_for(r, AS_OF, None, "year")),
     }
     for p in ("week", "month", "year"):
         q[f"period_wins_{p}"] = _res(lambda r, by, p=p: rk.period_wins(r, by, p))
@@ -419,6 +456,8 @@ where s.date in (select date from incoming)
   where name is not null and date is not null and secs is not null group by name, date) m"""
     o["progress_marker"] = _with(LEAGUE_RESULTS) + "select league, max(date) as latest_date from results group by league"
     o["stream_ingest"] = o["flatten_board"]
+    o["pair_positional"] = o["flatten_board"]
+    o["parse_board_json"] = o["flatten_board"]
     o["lookback_90d"] = _with(RESULTS) + f"select * from results where date > date '{AS_OF.isoformat()}' - 90"
     o["publish_guard"] = (
         _with(RESULTS) + f"select {_trunc('month')} as period_start, count(*) as rows, max(date) as latest_date from results group by 1"
@@ -525,6 +564,10 @@ from (select r.date, r.name, r.secs,
     for p in ("month", "year"):
         o[f"median_times_{p}"] = _with(RESULTS, _median_cte(p)) + "select * from med"
         o[f"longest_streak_{p}"] = _with(RESULTS, *_streaks_cte(), _longest_cte(p)) + "select * from longest"
+    o["daily_message_as_of"] = f"select * from ({o['daily_message']}) t where date = date '{AS_OF.isoformat()}'"
+    o["report_text_this_week"] = f"select * from ({o['report_text_week']}) t where period_start = date '2001-07-30'"
+    o["report_text_last_month"] = f"select * from ({o['report_text_month']}) t where period_start = date '2001-07-01'"
+    o["report_text_last_year"] = f"select * from ({o['report_text_year']}) t where period_start = date '2000-01-01'"
     o["period_wins_month_league"] = _with(LEAGUE_RESULTS, _ranked("league, date"), _wins_cte("month", "league")) + (
         "select league, period_start, name, n, rnk, pos, case when rnk = 1 then ':crown:' else '' end as mark from wins"
     )
