@@ -23,15 +23,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from podium.functions.calendar import date_text_short, period_col
-from podium.util import keys, null_safe_join
+from podium.util import checked_broadcast, keys, null_safe_join
 
 # Medal and crown marks used in report text.
 MEDALS = {1: ":first_place_medal:", 2: ":second_place_medal:", 3: ":third_place_medal:"}
 CROWN = ":crown:"
 
 
-def day_rank(results: DataFrame, by: Sequence[str] | None = None, method: str = "histogram") -> DataFrame:
-    """Competition rank (``1, 1, 3``) of ``secs`` within each ``(by…, date)``; null secs -> null rank."""
+def day_rank(
+    results: DataFrame, by: Sequence[str] | None = None, method: str = "histogram", checked: bool = False
+) -> DataFrame:
+    """Competition rank (``1, 1, 3``) of ``secs`` within each ``(by…, date)``; null secs -> null rank.
+
+    ``checked=True`` materialises the histogram first and broadcasts it when
+    its measured size allows (:func:`podium.util.checked_broadcast`), so the
+    results are never shuffled; otherwise Spark decides from its estimate.
+    """
     day = keys(by, "date")
     if method == "window":
         w = Window.partitionBy(*day).orderBy(F.col("secs").asc_nulls_last())
@@ -41,6 +48,8 @@ def day_rank(results: DataFrame, by: Sequence[str] | None = None, method: str =
     hist = results.where(F.col("secs").isNotNull()).groupBy(*day, "secs").agg(F.count(F.lit(1)).alias("n"))
     faster = Window.partitionBy(*day).orderBy("secs").rowsBetween(Window.unboundedPreceding, -1)
     ranks = hist.select(*day, "secs", (F.coalesce(F.sum("n").over(faster), F.lit(0)) + 1).cast("bigint").alias("rnk"))
+    if checked:
+        ranks = checked_broadcast(ranks)
     return null_safe_join(results, ranks, [*day, "secs"], "left")
 
 

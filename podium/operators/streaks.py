@@ -28,6 +28,18 @@ def streaks(results: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
     return runs.select(*keys(by, "name", "date"), streak.cast("bigint").alias("streak"))
 
 
+def extend_streaks(day_results: DataFrame, previous: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
+    """Streak rows of one day from that day's results and the streak rows of the day before.
+
+    A winner continues yesterday's streak (+1) or starts at 1 — the same
+    arithmetic as :func:`streaks`, one day at a time, reading two days only.
+    """
+    won = winners(day_results, by).select(*keys(by, "name", "date"))
+    prev = previous.select(*keys(by, "name"), F.date_add(F.col("date"), 1).alias("date"), F.col("streak").alias("prev"))
+    j = null_safe_join(won, prev, keys(by, "name", "date"), "left")
+    return j.select(*keys(by, "name", "date"), (F.coalesce(F.col("prev"), F.lit(0)) + 1).cast("bigint").alias("streak"))
+
+
 def results_with_streaks(results: DataFrame, by: Sequence[str] | None = None, streak_table: DataFrame | None = None) -> DataFrame:
     """Results with the streak of each winning row (null on rows that did not win)."""
     s = streak_table if streak_table is not None else streaks(results, by)

@@ -76,16 +76,81 @@ def run_ingest(spark: SparkSession, board_dir: str, table_path: str, by: Sequenc
     append_new_rows(ing.flatten_board(read_board(spark, board_dir), by), table_path, by)
 
 
+def _streak_schema(by: Sequence[str] | None) -> T.StructType:
+    fields = [T.StructField(k, T.StringType(), True) for k in (by or [])]
+    return T.StructType(
+        [*fields, T.StructField("name", T.StringType(), True), T.StructField("streak", T.LongType(), True), T.StructField("date", T.DateType(), True)]
+    )
+
+
+def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except Exception as ex:  # noqa: BLE001
+        if "PATH_NOT_FOUND" not in str(ex) and "does not exist" not in str(ex):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def update_streaks(
+    spark: SparkSession, results: DataFrame, streak_path: str, as_of: dt.date, by: Sequence[str] | None = None
+) -> DataFrame:
+    """Keep the winners-only streak table current through ``as_of``; return its rows for ``as_of - 1 .. as_of``.
+
+    ``<streak_path>/_through`` records the last day processed.  When it is the
+    day before ``as_of`` only two ``date`` partitions are read (results of
+    ``as_of``, streaks of the day before) and one partition is appended; when
+    it is ``as_of`` or later nothing is done (reruns are free); otherwise
+    (first run, a gap, late results) the table is rebuilt from history into
+    a fresh generation folder and ``_through`` is repointed to it.
+    """
+    marker_schema = T.StructType([T.StructField("through", T.DateType()), T.StructField("generation", T.StringType())])
+    marker = _read_or_empty(spark, f"{streak_path}/_through", marker_schema).collect()  # at most one row
+    through = marker[0].through if marker else None
+    generation = marker[0].generation if marker else None
+    yesterday = as_of - dt.timedelta(days=1)
+    if generation is not None and through is not None and through >= yesterday:
+        table = f"{streak_path}/{generation}"
+        if through == yesterday:
+            stored = _read_or_empty(spark, table, _streak_schema(by))
+            today = st.extend_streaks(results.where(F.col("date") == F.lit(as_of)), stored.where(F.col("date") == F.lit(yesterday)), by)
+            # a rerun after a failure between this append and the marker write adds nothing
+            today = null_safe_join(today, stored.where(F.col("date") == F.lit(as_of)), keys(by, "name", "date"), "left_anti")
+            today.select(*keys(by, "name"), "streak", "date").write.mode("append").partitionBy("date").parquet(table)
+            through = as_of
+    else:
+        import uuid
+
+        generation = f"gen-{as_of.isoformat()}-{uuid.uuid4().hex[:8]}"
+        table = f"{streak_path}/{generation}"
+        full = st.streaks(results.where(F.col("date") <= F.lit(as_of)), by)
+        full.select(*keys(by, "name"), "streak", "date").write.mode("overwrite").partitionBy("date").parquet(table)
+        through = as_of
+    spark.createDataFrame([(through, generation)], marker_schema).coalesce(1).write.mode("overwrite").parquet(
+        f"{streak_path}/_through"
+    )
+    rows = _read_or_empty(spark, table, _streak_schema(by))
+    return rows.where((F.col("date") >= F.lit(yesterday)) & (F.col("date") <= F.lit(as_of)))
+
+
 def _kind_messages(parts: DataFrame, kind: str, key: str) -> DataFrame:
     return parts.withColumnRenamed(key, "period_start").withColumn("kind", F.lit(kind))
 
 
-def daily_report_for(results: DataFrame, as_of: dt.date, by: Sequence[str] | None = None) -> DataFrame:
-    """Message parts of one day.  Streaks read winners of all history up to that day."""
+def daily_report_for(
+    results: DataFrame, as_of: dt.date, by: Sequence[str] | None = None, streak_rows: DataFrame | None = None
+) -> DataFrame:
+    """Message parts of one day.
+
+    ``streak_rows`` (streaks of ``as_of - 1`` and ``as_of``, e.g. from
+    :func:`update_streaks`) avoid reading history; without them the winners of
+    all history up to ``as_of`` are read.
+    """
     day = results.where(F.col("date") == F.lit(as_of))
-    history = results.where(F.col("date") <= F.lit(as_of))
-    streak_table = st.streaks(history, by).where(F.col("date") >= F.lit(as_of - dt.timedelta(days=1)))
-    standings = rp.daily_standings(day, by, streak_table)
+    if streak_rows is None:
+        history = results.where(F.col("date") <= F.lit(as_of))
+        streak_rows = st.streaks(history, by).where(F.col("date") >= F.lit(as_of - dt.timedelta(days=1)))
+    standings = rp.daily_standings(day, by, streak_rows)
     return rp.daily_message(day, by, standings=standings)
 
 
@@ -96,10 +161,14 @@ def run_daily(
     marker_path: str | None = None,
     as_of: dt.date | None = None,
     by: Sequence[str] | None = None,
+    streak_path: str | None = None,
 ) -> None:
+    """Post one day.  With ``streak_path`` the streak table is kept incrementally and only
+    two days of results are read; without it, streaks are recomputed from history."""
     as_of = as_of or as_of_default()
     results = read_canonical(spark, table_path, by)
-    write_messages(_kind_messages(daily_report_for(results, as_of, by), "daily", "date"), messages_path)
+    streak_rows = update_streaks(spark, results, streak_path, as_of, by) if streak_path else None
+    write_messages(_kind_messages(daily_report_for(results, as_of, by, streak_rows), "daily", "date"), messages_path)
     if marker_path:
         marker = ing.progress_marker(results.where(F.col("date") == F.lit(as_of)), by)
         write_marker(marker, marker_path)
@@ -137,6 +206,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--boards", help="landed board JSON folder (ingest)")
     p.add_argument("--messages", help="messages output path")
     p.add_argument("--marker", help="progress marker path (daily)")
+    p.add_argument("--streaks", help="incremental streak table path (daily)")
     p.add_argument("--as-of", type=dt.date.fromisoformat, default=None)
     p.add_argument("--by", default="", help="comma-separated league keys")
     a = p.parse_args(argv)
@@ -145,7 +215,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     if a.job == "ingest":
         run_ingest(spark, a.boards, a.table, by)
     elif a.job == "daily":
-        run_daily(spark, a.table, a.messages, a.marker, a.as_of, by)
+        run_daily(spark, a.table, a.messages, a.marker, a.as_of, by, a.streaks)
     else:
         run_period(spark, a.table, a.messages, a.job, a.as_of, by)
 

@@ -42,3 +42,42 @@ def null_safe_join(left, right, on: Sequence[str], how: str = "inner"):
         *[(key[c] if c in key else F.col(f"__l.{c}")).alias(c) for c in left.columns],
         *[F.col(f"__r.{c}").alias(c) for c in rest],
     )
+
+
+def _row_bytes(df) -> int:
+    """Estimated bytes per row from the schema (JVM default sizes when available)."""
+    try:
+        return int(df._jdf.schema().defaultSize())
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect: rough Python estimate
+        return sum(20 if f.dataType.simpleString() == "string" else 8 for f in df.schema.fields)
+
+
+def broadcast_threshold(spark) -> int:
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for u in sorted(units, key=len, reverse=True):
+        if raw.endswith(u):
+            return int(float(raw[: -len(u)]) * units[u])
+    return int(raw)
+
+
+def checked_broadcast(df, max_bytes: int | None = None):
+    """Materialise a join side once and broadcast it only if its *measured* size is under the limit.
+
+    The side is written as a reliable checkpoint in ``spark.checkpoint.dir``
+    (a shared folder on a cluster; this also cuts its lineage), its rows are
+    counted from that copy, and ``rows × row width`` is compared with
+    ``max_bytes`` (default: ``spark.sql.autoBroadcastJoinThreshold``).  Over
+    the limit, or with broadcasting disabled, the side is returned unmarked and
+    the join stays a shuffle join.
+    """
+    from podium.session import checkpoint_dir
+
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    limit = broadcast_threshold(spark) if max_bytes is None else max_bytes
+    side = df.checkpoint(eager=True)
+    if limit <= 0:
+        return side
+    size = side.count() * _row_bytes(side)
+    return F.broadcast(side) if size <= limit else side

@@ -69,3 +69,35 @@ def test_week_report_for_as_of(spark, tmp_path):
     jobs.run_ingest(spark, str(boards), table)
     parts = jobs.period_report_for(jobs.read_canonical(spark, table), dt.date(2024, 1, 3), None, "week").collect()
     assert parts[0].text.startswith("*Week 1 wins*\na: :first_place_medal::first_place_medal::first_place_medal:\n")
+
+
+def test_incremental_streaks_equal_full(spark, tmp_path):
+    from podium.operators import streaks as st
+    from tests.conftest import results_df
+
+    rows = []
+    for day in range(1, 11):
+        winner = "a" if day not in (4, 8) else "b"
+        rows += [(winner, f"2024-01-{day:02d}", 10), ("c", f"2024-01-{day:02d}", 90)]
+    r = results_df(spark, rows)
+    path = str(tmp_path / "streaks")
+    seen = {}
+    for day in range(1, 11):
+        got = jobs.update_streaks(spark, r, path, dt.date(2024, 1, day))
+        for x in got.collect():
+            seen[(x.name, x.date)] = x.streak
+    jobs.update_streaks(spark, r, path, dt.date(2024, 1, 10))  # rerun: nothing added
+    full = {(x.name, x.date): x.streak for x in st.streaks(r).collect()}
+    assert seen == full
+    gen = spark.read.parquet(path + "/_through").collect()[0].generation
+    assert spark.read.parquet(f"{path}/{gen}").count() == len(full)
+
+
+def test_daily_with_streak_table(spark, tmp_path):
+    boards, table = _boards(tmp_path), str(tmp_path / "table")
+    jobs.run_ingest(spark, str(boards), table)
+    for day in (1, 2, 3):
+        out = str(tmp_path / f"m{day}")
+        jobs.run_daily(spark, table, out, None, dt.date(2024, 1, day), None, str(tmp_path / "streaks"))
+    text = "".join(r.text for r in spark.read.json(str(tmp_path / "m3")).orderBy("seq", "page").collect())
+    assert "a: 0:20 :first_place_medal: (3-day streak)\n" in text

@@ -49,3 +49,21 @@ def test_filters_and_pruning_reach_scan(spark, tmp_path):
     assert "2001-07-01" in plan and "2001-08-01" in plan
     plan = _plan(rk.day_rank(r).select("name", "rnk"))
     assert "ReadSchema: struct<name:string,secs:int>" in plan or "ReadSchema: struct<secs:int>" in plan
+
+
+def test_checked_broadcast_both_ways(spark):
+    from podium.util import checked_broadcast
+
+    r = fx.results(spark, SF)
+    want = sorted(tuple(x) for x in rk.day_rank(r).collect())
+    checked = rk.day_rank(r, checked=True)
+    assert sorted(tuple(x) for x in checked.collect()) == want
+    assert "BroadcastHashJoin" in _plan(checked)
+    small = spark.range(10).withColumnRenamed("id", "k")
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in _plan(big.join(checked_broadcast(small, max_bytes=10_000), "k"))
+        assert "BroadcastHashJoin" not in _plan(big.join(checked_broadcast(small, max_bytes=8), "k"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
