@@ -93,7 +93,12 @@ def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> Data
 
 
 def update_streaks(
-    spark: SparkSession, results: DataFrame, streak_path: str, as_of: dt.date, by: Sequence[str] | None = None
+    spark: SparkSession,
+    results: DataFrame,
+    streak_path: str,
+    as_of: dt.date,
+    by: Sequence[str] | None = None,
+    rebuild: bool = False,
 ) -> DataFrame:
     """Keep the winners-only streak table current through ``as_of``; return its rows for ``as_of - 1 .. as_of``.
 
@@ -101,15 +106,17 @@ def update_streaks(
     day before ``as_of`` only two ``date`` partitions are read (results of
     ``as_of``, streaks of the day before) and one partition is appended; when
     it is ``as_of`` or later nothing is done (reruns are free); otherwise
-    (first run, a gap, late results) the table is rebuilt from history into
-    a fresh generation folder and ``_through`` is repointed to it.
+    (first run, a gap) — or with ``rebuild=True``, after late results for a
+    day already processed — the table is rebuilt from history into a fresh
+    generation folder and ``_through`` is repointed to it (the old generation
+    is never overwritten while it may be read).
     """
     marker_schema = T.StructType([T.StructField("through", T.DateType()), T.StructField("generation", T.StringType())])
     marker = _read_or_empty(spark, f"{streak_path}/_through", marker_schema).collect()  # at most one row
     through = marker[0].through if marker else None
     generation = marker[0].generation if marker else None
     yesterday = as_of - dt.timedelta(days=1)
-    if generation is not None and through is not None and through >= yesterday:
+    if not rebuild and generation is not None and through is not None and through >= yesterday:
         table = f"{streak_path}/{generation}"
         if through == yesterday:
             stored = _read_or_empty(spark, table, _streak_schema(by))
@@ -134,7 +141,12 @@ def update_streaks(
 
 
 def _kind_messages(parts: DataFrame, kind: str, key: str) -> DataFrame:
-    return parts.withColumnRenamed(key, "period_start").withColumn("kind", F.lit(kind))
+    """Tag message parts with their kind and the upload title the reference uses."""
+    from podium.functions.calendar import period_label
+
+    m = parts.withColumnRenamed(key, "period_start").withColumn("kind", F.lit(kind))
+    title = F.lit("Leaderboard") if kind == "daily" else period_label("period_start", kind)
+    return m.withColumn("title", title)
 
 
 def daily_report_for(

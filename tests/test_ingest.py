@@ -93,3 +93,14 @@ def test_progress_marker(spark):
     r = results_df(spark, [("x", "a", "2024-01-01", 5), ("x", "b", "2024-01-03", 6), ("y", "a", "2024-01-02", 7)], league=True)
     got = {r.league: r.latest_date for r in ing.progress_marker(r, ["league"]).collect()}
     assert got == {"x": dt.date(2024, 1, 3), "y": dt.date(2024, 1, 2)}
+
+
+def test_read_sheet_csv_declared_types(spark, tmp_path):
+    from podium.sources.tables import read_results_raw
+
+    p = tmp_path / "sheet.csv"
+    p.write_text("submitted_at,name,time,date\n2024-01-11 08:00:00,a,:45,2024-01-11\n,b,1:05,2024-01-11\n")
+    df = read_results_raw(spark, str(p), fmt="csv")
+    assert [f.dataType.simpleString() for f in df.schema.fields] == ["timestamp_ntz", "string", "string", "date"]
+    got = ing.canonical(ing.clean_stored(df)).collect()
+    assert sorted((r.name, r.secs, r.time) for r in got) == [("a", 45, "0:45"), ("b", 65, "1:05")]
