@@ -66,6 +66,8 @@ def append_new_rows(rows: DataFrame, table_path: str, by: Sequence[str] | None =
     """
     spark = rows.sparkSession
     rows = rows.select(*keys(by, "name"), format_secs("secs").alias("time"), F.col("secs").cast("int").alias("secs"), "date")
+    # the same board polled twice in one batch gives the same rows twice
+    rows = rows.dropDuplicates(keys(by, "name", "date", "secs"))
     days = rows.select(*keys(by, "date")).distinct()
     stored = null_safe_join(read_stored(spark, table_path, by), days, keys(by, "date"), "left_semi")
     append_results(ing.new_rows(rows, stored, by), table_path, by)

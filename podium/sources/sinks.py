@@ -15,27 +15,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def append_results(df: DataFrame, path: str, by: Sequence[str] | None = None) -> None:
+FILES_PER_DAY = 4
+
+
+def _cluster_by_day(df: DataFrame, keys: list[str], files_per_day: int) -> DataFrame:
+    """Cluster rows by day, each day spread over ``files_per_day`` writers.
+
+    Repartitioning on the day alone would give a busy day (or a one-day batch)
+    to a single task; a hash of the name splits it into ``files_per_day``
+    buckets, and AQE merges buckets that are small.
+    """
+    bucket = F.pmod(F.xxhash64("name"), F.lit(files_per_day))
+    return df.repartition(*[F.col(k) for k in keys], bucket).sortWithinPartitions(*keys, "secs", "name")
+
+
+def append_results(df: DataFrame, path: str, by: Sequence[str] | None = None, files_per_day: int = FILES_PER_DAY) -> None:
     """Append rows to the ``date``-partitioned results table (files clustered by day)."""
     keys = [*(by or []), "date"]
-    (
-        df.repartition(*[F.col(k) for k in keys])
-        .sortWithinPartitions(*keys, "secs", "name")
-        .write.mode("append")
-        .partitionBy("date")
-        .parquet(path)
-    )
+    _cluster_by_day(df, keys, files_per_day).write.mode("append").partitionBy("date").parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str] | None = None) -> None:
-    """Replace only the ``date`` partitions present in ``df`` (dynamic overwrite).
+def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str] | None = None, files_per_day: int = FILES_PER_DAY) -> None:
+    """Replace only the ``date`` partitions present in ``df`` (dynamic overwrite), e.g. to compact them.
 
-    ``path`` must not be a table ``df`` reads from.
+    ``path`` must not be a table ``df`` reads from: write the compacted days to a
+    new path and switch readers to it.
     """
     keys = [*(by or []), "date"]
     (
-        df.repartition(*[F.col(k) for k in keys])
-        .sortWithinPartitions(*keys, "secs", "name")
+        _cluster_by_day(df, keys, files_per_day)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date")

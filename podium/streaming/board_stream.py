@@ -1,11 +1,15 @@
 """Incremental ingest of landed leaderboard files with Structured Streaming.
 
-``readStream`` of the board JSON -> flatten -> watermark dedupe of repeated
-polls -> ``foreachBatch`` that appends only rows the table does not hold yet.
+``readStream`` of the board JSON -> flatten -> ``foreachBatch`` that drops
+repeats within the batch and appends only rows the table does not hold yet.
 The anti-join inside the batch makes a replayed batch (after a failure, the
 sink is at-least-once) add nothing, and the stored side is restricted to the
-batch's days, which prunes ``date`` partitions.  Ranking is not done on the
-stream: it is a batch job over the touched days.
+batch's days, which prunes ``date`` partitions.
+
+The stream keeps no state: a watermark-based dedupe would bound its state but
+silently drop boards older than the watermark (a backfill, a late poll); the
+stored table is the dedupe state instead.  Ranking is not done on the stream:
+it is a batch job over the touched days.
 """
 
 from __future__ import annotations
@@ -13,14 +17,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from podium import schemas
 from podium.operators.ingest import flatten_board
 from podium.plans.jobs import append_new_rows
 from podium.session import scratch_path
 from podium.sources.tables import with_file_date
-from podium.util import keys
 
 
 def start_board_stream(
@@ -29,16 +31,16 @@ def start_board_stream(
     table_path: str,
     checkpoint: str,
     by: Sequence[str] | None = None,
-    watermark: str = "3 days",
     available_now: bool = True,
+    max_files_per_trigger: int | None = None,
 ):
     """Start the ingest stream; returns the ``StreamingQuery``."""
-    docs = with_file_date(spark.readStream.schema(schemas.LEADERBOARD).json(board_dir))
-    flat = flatten_board(docs, by).withColumn("event_time", F.col("date").cast("timestamp"))
-    deduped = flat.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(keys(by, "name", "date", "secs"))
+    reader = spark.readStream.schema(schemas.LEADERBOARD)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    flat = flatten_board(with_file_date(reader.json(board_dir)), by)
     writer = (
-        deduped.drop("event_time")
-        .writeStream.foreachBatch(lambda b, _epoch: append_new_rows(b, table_path, by))
+        flat.writeStream.foreachBatch(lambda b, _epoch: append_new_rows(b, table_path, by))
         .option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

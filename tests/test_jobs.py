@@ -101,3 +101,12 @@ def test_daily_with_streak_table(spark, tmp_path):
         jobs.run_daily(spark, table, out, None, dt.date(2024, 1, day), None, str(tmp_path / "streaks"))
     text = "".join(r.text for r in spark.read.json(str(tmp_path / "m3")).orderBy("seq", "page").collect())
     assert "a: 0:20 :first_place_medal: (3-day streak)\n" in text
+
+
+def test_stream_small_batches_and_repeats(spark, tmp_path):
+    boards, table = _boards(tmp_path), str(tmp_path / "table")
+    # the same day's board landed twice (two polls)
+    _land(tmp_path / "boards", "2024-01-03b", [("a", 20), ("b", 50), ("c", 65)])
+    (tmp_path / "boards" / "2024-01-03b.json").rename(tmp_path / "boards" / "2024-01-03.json.1")
+    start_board_stream(spark, str(boards), table, str(tmp_path / "ckpt"), max_files_per_trigger=1).awaitTermination()
+    assert jobs.read_stored(spark, table).count() == 7
