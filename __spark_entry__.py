@@ -515,7 +515,9 @@ left join no on no.period_start = p.period_start and no.name = p.name"""
         + f"select *, {_line_sql()} as line from standings"
     )
     o["daily_message"] = _with(
-        RESULTS, *_streaks_cte(), *_broken_cte(), _standings_cte(), f"lines as (select date, 'standings' as section, rnk as pos, cast(secs as bigint) as o1, name as o2, {_line_sql()} as line from standings)"
+        RESULTS, *_streaks_cte(), *_broken_cte(), _standings_cte(), f"""lines as (select date, 'standings' as section,
+             rnk + row_number() over (partition by date, secs order by name) - 1 as pos,
+             cast(null as bigint) as o1, cast(null as varchar) as o2, {_line_sql()} as line from standings)"""
     ) + ", " + _parts_sql(
         "select distinct date from results",
         "(1, 1, 'standings', true)",

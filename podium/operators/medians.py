@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from podium.functions.calendar import period_col, saturday_check, weekday_label, weekday_order
 from podium.functions.timefmt import format_secs, minutes
+from podium.operators.ranking import ranked_position
 from podium.util import keys
 
 
@@ -27,12 +28,10 @@ def median_times(results: DataFrame, by: Sequence[str] | None = None, period: st
     grp = keys(by, "period_start")
     med = _in_periods(results, period).groupBy(*grp, "name").agg(F.median("secs").alias("m"))
     rounded = F.bround(F.col("m"), 0).cast("bigint")
-    pos = Window.partitionBy(*grp).orderBy("median_secs", "name")
     out = med.select(*grp, "name", rounded.alias("median_secs"))
+    out = ranked_position(out, grp, "median_secs", "name")
     return out.select(
-        "*",
-        format_secs("median_secs").alias("median_time"),
-        F.row_number().over(pos).cast("bigint").alias("pos"),
+        *grp, "name", "median_secs", format_secs("median_secs").alias("median_time"), "pos"
     ).withColumn("line", F.concat(F.col("name"), F.lit(": "), F.col("median_time"), F.lit("\n")))
 
 
@@ -53,8 +52,7 @@ def name_order(results: DataFrame, by: Sequence[str] | None = None, period: str
     """Plot order of players: position 1 = slowest median (the bottom row), ties by name descending."""
     grp = keys(by, "period_start")
     med = _in_periods(results, period).groupBy(*grp, "name").agg(F.median("secs").alias("median_secs"))
-    w = Window.partitionBy(*grp).orderBy(F.col("median_secs").desc(), F.col("name").desc())
-    return med.withColumn("name_order", F.row_number().over(w).cast("bigint"))
+    return ranked_position(med, grp, "median_secs", "name", descending=True, out="name_order")
 
 
 def time_points(results: DataFrame, by: Sequence[str] | None = None, period: str = "month") -> DataFrame:

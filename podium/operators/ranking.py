@@ -53,6 +53,31 @@ def day_rank(
     return null_safe_join(results, ranks, [*day, "secs"], "left")
 
 
+def ranked_position(
+    df: DataFrame, group: Sequence[str], value: str, tiebreak: str, descending: bool = False, out: str = "pos"
+) -> DataFrame:
+    """``row_number()`` over ``group`` ordered by ``(value, tiebreak)``, without sorting a whole group in one task.
+
+    The position is ``(rows with a better value) + (position among equal
+    values by tiebreak)``.  The first term comes from a histogram of
+    ``(group, value)`` (aggregated map-side; bounded by distinct values, e.g.
+    whole or half seconds), the second from a window over ``(group, value)``
+    only — so a group holding a third of all rows is spread over its distinct
+    values.  ``descending`` orders both ``value`` and ``tiebreak`` descending.
+    Null values come last.
+    """
+    g = list(group)
+    v = F.col(value)
+    vorder = v.desc_nulls_last() if descending else v.asc_nulls_last()
+    torder = F.col(tiebreak).desc_nulls_last() if descending else F.col(tiebreak).asc_nulls_last()
+    hist = df.groupBy(*g, value).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*g).orderBy(vorder).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = hist.select(*g, value, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    j = null_safe_join(df, offsets, [*g, value], "left")
+    tie = Window.partitionBy(*g, value).orderBy(torder)
+    return j.withColumn(out, (F.col("__off") + F.row_number().over(tie)).cast("bigint")).drop("__off")
+
+
 def top_ranks(results: DataFrame, by: Sequence[str] | None = None, k: int = 1) -> DataFrame:
     """Rows ranked ``<= k`` within their day (ties kept), with ``rnk``."""
     w = Window.partitionBy(*keys(by, "date")).orderBy("secs")

@@ -213,9 +213,13 @@ def daily_message(
     """``*Weekday, Month dd*`` and one standings line per player, per day."""
     grp = keys(by, "date")
     s = standings if standings is not None else daily_standings(results, by)
+    # unique line position = rank + place among equal times by name: the window
+    # covers one (day, time) only, so a busy day is not sorted in one task
+    tie = Window.partitionBy(*keys(by, "date", "secs")).orderBy("name")
+    s = s.withColumn("pos", F.col("rnk") + F.row_number().over(tie) - 1)
     days = results.select(*grp).distinct()
     sections = [(1, 1, "standings", F.concat(F.lit("*"), date_text_long("date"), F.lit("*\n")), True)]
-    return _parts(days, grp, sections, _lines(s, grp, "standings", "rnk", "secs", "name"), page_size)
+    return _parts(days, grp, sections, _lines(s, grp, "standings"), page_size)
 
 
 def weekly_message(results: DataFrame, by: Sequence[str] | None = None, page_size: int = PAGE_SIZE) -> DataFrame:

@@ -87,3 +87,20 @@ def test_rank_distribution_sums_to_rows(spark):
     r = results_df(spark, rows)
     dist = rk.rank_distribution(r, None, "year").collect()
     assert sum(x.n for x in dist) == len(rows)
+
+
+@settings(max_examples=10, deadline=None)
+@given(hs.lists(hs.tuples(hs.sampled_from("xy"), hs.text("abcdef", min_size=1, max_size=3), hs.one_of(hs.none(), hs.integers(0, 4))), min_size=1, max_size=30, unique_by=lambda t: (t[0], t[1])))
+def test_ranked_position_equals_row_number(spark, rows):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(rows, "g string, name string, v int")
+    for desc in (False, True):
+        got = {(r.g, r.name): r.pos for r in rk.ranked_position(df, ["g"], "v", "name", descending=desc).collect()}
+        if desc:
+            order = [F.col("v").desc_nulls_last(), F.col("name").desc_nulls_last()]
+        else:
+            order = [F.col("v").asc_nulls_last(), F.col("name").asc_nulls_last()]
+        want = {(r.g, r.name): r.pos for r in df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy(*order))).collect()}
+        assert got == want
