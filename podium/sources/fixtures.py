@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from podium.functions.timefmt import format_secs
 
 PLAYERS = 8
-BOARD_PAGES = 4
+BOARD_PAGE_USERS = 100
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -112,17 +112,25 @@ def board_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def board_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The board as nested documents: one per (day, page) of at most a few entries each.
+    """The board as nested documents, as a paginated API returns it: one per (day, page of 100 user ids).
 
-    Unsolved entries carry no score.  ``userID``, ``rank`` and ``me`` are null.
+    Each document holds at most ``BOARD_PAGE_USERS`` entries however large the
+    day is.  Unsolved entries carry no score; ``userID`` is the user id and
+    ``rank`` and ``me`` are null.
     """
-    flat = board_flat(spark, sf_dir)
+    e = _table(spark, sf_dir, "events")
+    solved = F.when(F.col("event_type") != "error", F.lit(10) + F.floor(F.col("value")).cast("int"))
+    flat = (
+        e.select(F.col("ts").cast("date").alias("date"), "user_id", solved.alias("s"))
+        .groupBy("date", "user_id")
+        .agg(F.min("s").alias("secs"))
+    )
     entry = F.struct(
-        F.lit(None).cast("bigint").alias("userID"),
-        F.col("name"),
+        F.col("user_id").alias("userID"),
+        F.concat(F.lit("player_"), F.col("user_id").cast("string")).alias("name"),
         F.lit(None).cast("string").alias("rank"),
         F.lit(None).cast("boolean").alias("me"),
         F.struct(F.col("secs").cast("bigint").alias("secondsSpentSolving")).alias("score"),
     )
-    page = F.pmod(F.xxhash64("name"), F.lit(BOARD_PAGES))
+    page = F.floor(F.col("user_id") / F.lit(BOARD_PAGE_USERS))
     return flat.groupBy("date", page.alias("page")).agg(F.collect_list(entry).alias("data")).drop("page")
