@@ -102,10 +102,13 @@ def canonical(rows: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
 
     Rows without a name, a date or a parseable time are not results (see :func:`rejects`).
     """
-    r = _with_secs(rows).where(F.col("name").isNotNull() & F.col("date").isNotNull() & F.col("secs").isNotNull())
+    # min ignores nulls, so filtering after the aggregate gives the same rows and
+    # keeps the parse out of pushed-down filters (it runs once per row)
     return (
-        r.groupBy(*keys(by, "name", "date"))
+        _with_secs(rows)
+        .groupBy(*keys(by, "name", "date"))
         .agg(F.min("secs").alias("secs"))
+        .where(F.col("name").isNotNull() & F.col("date").isNotNull() & F.col("secs").isNotNull())
         .withColumn("time", format_secs("secs"))
     )
 
@@ -118,9 +121,9 @@ def rejects(rows: DataFrame) -> DataFrame:
 
 def ingest(stored_raw: DataFrame, incoming: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
     """The whole update: repair + dedupe stored rows, add new ones, canonicalise."""
-    stored = clean_stored(stored_raw, by)
-    merged = append_rows(stored, new_rows(incoming, stored, by))
-    return canonical(merged, by)
+    stored = _with_secs(clean_stored(stored_raw, by))
+    fresh = new_rows(_with_secs(incoming), stored, by)  # both sides parsed once; secs carried through
+    return canonical(append_rows(stored, fresh), by)
 
 
 def progress_marker(results: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
