@@ -25,6 +25,10 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("PODIUM_DRIVER_MEMORY", "16g"))
+        # generated code for wide text expressions can exceed HotSpot's 8000-byte
+        # JIT limit and would then run interpreted; let the JIT compile it
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
+        .config("spark.executor.extraJavaOptions", "-XX:-DontCompileHugeMethods")
     )
     if master:
         builder = builder.master(master)
