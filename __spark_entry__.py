@@ -192,6 +192,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[f"median_times_{p}"] = _res(lambda r, by, p=p: med.median_times(r, by, p))
         q[f"longest_streak_{p}"] = _res(lambda r, by, p=p: st.longest_streak(r, by, p, 3))
     q["period_wins_month_league"] = _res(lambda r, by: rk.period_wins(r, by, "month"), league=True)
+    q["daily_message_league"] = _res(rp.daily_message, league=True)
+    q["rank_distribution_league"] = _res(lambda r, by: rk.rank_distribution(r, by, "year"), league=True)
+    q["medal_counts_league"] = _res(lambda r, by: rk.medal_counts(r, by, "week"), league=True)
+    q["text_bar_league"] = _res(rp.text_bar, league=True)
+    q["fastest_three_month_league"] = _res(lambda r, by: rk.fastest(r, by, "month", 3), league=True)
+    q["longest_streak_month_league"] = _res(lambda r, by: st.longest_streak(r, by, "month", 3), league=True)
+    q["weekday_medians_league"] = _res(lambda r, by: med.weekday_medians(r, by, "year"), league=True)
     q["median_times_month_league"] = _res(lambda r, by: med.median_times(r, by, "month"), league=True)
     return q
 
@@ -318,11 +325,12 @@ def _wins_cte(p: str, by: str = "") -> str:
 )"""
 
 
-def _fastest_cte(p: str) -> str:
+def _fastest_cte(p: str, by: str = "") -> str:
+    b = f"{by}, " if by else ""
     return f"""fast as (
   select * from (
-    select {_trunc(p)} as period_start,
-           cast(row_number() over (partition by {_trunc(p)} order by secs, date, name) as bigint) as pos,
+    select {b}{_trunc(p)} as period_start,
+           cast(row_number() over (partition by {b}{_trunc(p)} order by secs, date, name) as bigint) as pos,
            name, date, secs, time,
            concat(time, ' by ', name, ' on ', strftime(date, '%a, %b %d'), {NL}) as line
     from results) f0 where pos <= 3
@@ -340,30 +348,35 @@ def _median_cte(p: str, by: str = "") -> str:
 )"""
 
 
-def _longest_cte(p: str) -> str:
+def _longest_cte(p: str, by: str = "") -> str:
+    b = f"{by}, " if by else ""
     return f"""longest as (
-  select period_start, name, streak, date,
+  select {b}period_start, name, streak, date,
          concat(name, ': ', cast(streak as varchar), ', ending on ', strftime(date, '%a, %b %d'), {NL}) as line,
-         cast(row_number() over (partition by period_start order by date, name) as bigint) as pos
-  from (select {_trunc(p)} as period_start, name, streak, date,
-               rank() over (partition by {_trunc(p)} order by streak desc) as r from streaks) l0
+         cast(row_number() over (partition by {b}period_start order by date, name) as bigint) as pos
+  from (select {b}{_trunc(p)} as period_start, name, streak, date,
+               rank() over (partition by {b}{_trunc(p)} order by streak desc) as r from streaks) l0
   where r = 1 and streak >= 3
 )"""
 
 
-def _parts_sql(periods: str, spec: str, heads_case: str, key: str = "period_start") -> str:
+def _parts_sql(periods: str, spec: str, heads_case: str, key: str = "period_start", by: str = "") -> str:
+    ks = [by, key] if by else [key]
+    sel_p = ", ".join(f"p.{k}" for k in ks)
+    sel_h = ", ".join(f"h.{k}" for k in ks)
+    on = " and ".join(f"pg.{k} = h.{k}" for k in [*ks, "section"])
     return f"""pages as (
-  select {key}, section, cast(floor((pos - 1) / 50) as bigint) as page, string_agg(line, '' order by pos, o1, o2) as body
+  select {", ".join(ks)}, section, cast(floor((pos - 1) / 50) as bigint) as page, string_agg(line, '' order by pos, o1, o2) as body
   from lines group by all
 ),
 periods as ({periods}),
 spec as (select * from (values {spec}) v(message, seq, section, always)),
-heads as (select p.{key}, s.message, s.seq, s.section, s.always, {heads_case} as header from periods p cross join spec s)
-select h.{key}, h.message, h.seq, h.section, coalesce(pg.page, 0) as page,
+heads as (select {sel_p}, s.message, s.seq, s.section, s.always, {heads_case} as header from periods p cross join spec s)
+select {sel_h}, h.message, h.seq, h.section, coalesce(pg.page, 0) as page,
        concat(case when coalesce(pg.page, 0) = 0 and h.seq > 1 then {NL} else '' end,
               case when coalesce(pg.page, 0) = 0 and (pg.body is not null or h.always) then h.header else '' end,
               coalesce(pg.body, '')) as text
-from heads h left join pages pg on pg.{key} = h.{key} and pg.section = h.section"""
+from heads h left join pages pg on {on}"""
 
 
 def _report_sql(p: str) -> str:
@@ -524,6 +537,45 @@ left join no on no.period_start = p.period_start and no.name = p.name"""
         f"concat('*', strftime(p.date, '%A, %B %d'), '*', {NL})",
         key="date",
     )
+    o["daily_message_league"] = _with(
+        LEAGUE_RESULTS,
+        *_streaks_cte("league"),
+        *_broken_cte("league"),
+        _standings_cte("league"),
+        f"""lines as (select league, date, 'standings' as section,
+             rnk + row_number() over (partition by league, date, secs order by name) - 1 as pos,
+             cast(null as bigint) as o1, cast(null as varchar) as o2, {_line_sql()} as line from standings)""",
+    ) + ", " + _parts_sql(
+        "select distinct league, date from results",
+        "(1, 1, 'standings', true)",
+        f"concat('*', strftime(p.date, '%A, %B %d'), '*', {NL})",
+        key="date",
+        by="league",
+    )
+    o["rank_distribution_league"] = (
+        _with(LEAGUE_RESULTS, _ranked("league, date"))
+        + f"select league, {_trunc('year')} as period_start, name, rnk, count(*) as n from ranked group by all"
+    )
+    o["medal_counts_league"] = (
+        _with(LEAGUE_RESULTS, _ranked("league, date"))
+        + f"select league, {_trunc('week')} as period_start, name, rnk, count(*) as n from ranked where rnk <= 3 group by all"
+    )
+    o["text_bar_league"] = _with(LEAGUE_RESULTS) + """select league, date, name, secs, relative,
+  concat(repeat('━', relative), repeat('　', 8 - relative)) as bar
+from (select r.league, r.date, r.name, r.secs,
+             cast(floor(cast(7 as double) / cast(m.max_secs as double) * cast(r.secs as double)) as integer) as relative
+      from results r join (select league, date, max(secs) as max_secs from results group by all) m
+        on m.league = r.league and m.date = r.date) t"""
+    o["fastest_three_month_league"] = _with(LEAGUE_RESULTS, _fastest_cte("month", "league")) + "select * from fast"
+    o["longest_streak_month_league"] = (
+        _with(LEAGUE_RESULTS, *_streaks_cte("league"), _longest_cte("month", "league")) + "select * from longest"
+    )
+    o["weekday_medians_league"] = _with(LEAGUE_RESULTS) + f"""select league, period_start, name, dow, weekday, weekday_order,
+  median(secs) / cast(60 as double) as median_minutes
+from (select league, {_trunc('year')} as period_start, name, cast(dayofweek(date) + 1 as integer) as dow,
+             ['Su', 'M', 'Tu', 'W', 'Th', 'F', 'Sa'][dayofweek(date) + 1] as weekday,
+             cast((dayofweek(date) + 6) % 7 + 1 as integer) as weekday_order, secs from results) w
+group by all"""
     o["daily_plot_data"] = _with(RESULTS, *_streaks_cte(), *_broken_cte(), _standings_cte()) + """select s.date, s.name,
   cast(n.players - (s.rnk + row_number() over (partition by s.date, s.secs order by s.name) - 1) + 1 as bigint) as name_order,
   s.secs, s.time,
