@@ -12,15 +12,20 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from podium.functions.texts import (
+    DATE_LONG,
+    DATE_SHORT,
+    MONTH_NAME,
+    NON_SATURDAY,
+    SATURDAY,
+    WEEK_LABEL,
+    WEEKDAY_LABELS,
+    fill,
+)
 from podium.util import as_col
 
 PERIODS = ("day", "week", "month", "year")
 
-# Weekday labels for dayofweek 1..7 (1 = Sunday … 7 = Saturday),
-# and their display order, Monday first.
-WEEKDAY_LABELS = ["Su", "M", "Tu", "W", "Th", "F", "Sa"]
-WEEKDAY_DISPLAY_ORDER = ["M", "Tu", "W", "Th", "F", "Sa", "Su"]
-
 
 def as_of_default(zone: str = "America/Chicago") -> dt.date:
     """Today in the league's time zone (the reference date when none is given)."""
@@ -47,7 +52,7 @@ def period_label(period_start, period: str) -> Column:
     """Title text of a period: ``Week 31``, ``July``, ``2000``, ``Wednesday, August 01``."""
     p = as_col(period_start)
     if period == "week":
-        return F.concat(F.lit("Week "), F.weekofyear(p).cast("string"))
+        return fill(WEEK_LABEL, n=F.weekofyear(p))
     if period == "month":
         return month_text(p)
     if period == "year":
@@ -87,17 +92,17 @@ def in_period(date, as_of: dt.date, period: str, offset: int = 0) -> Column:
 
 
 def month_text(date) -> Column:
-    return F.date_format(as_col(date), "MMMM")
+    return F.date_format(as_col(date), MONTH_NAME)
 
 
 def date_text_short(date) -> Column:
     """``Sat, Aug 02``."""
-    return F.date_format(as_col(date), "EEE, MMM dd")
+    return F.date_format(as_col(date), DATE_SHORT)
 
 
 def date_text_long(date) -> Column:
     """``Saturday, August 02``."""
-    return F.date_format(as_col(date), "EEEE, MMMM dd")
+    return F.date_format(as_col(date), DATE_LONG)
 
 
 def weekday_label(date) -> Column:
@@ -114,4 +119,4 @@ def weekday_order(date) -> Column:
 
 
 def saturday_check(date) -> Column:
-    return F.when(F.dayofweek(as_col(date)) == 7, F.lit("Saturday")).otherwise(F.lit("Non-Saturday"))
+    return F.when(F.dayofweek(as_col(date)) == 7, F.lit(SATURDAY)).otherwise(F.lit(NON_SATURDAY))

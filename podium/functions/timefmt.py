@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from podium.functions.texts import TIME_FORMAT, TIME_FORMAT_UNPADDED
 from podium.util import as_col
 
 _TIME_RE = r"^[0-9]+:[0-9]+$"
@@ -41,7 +42,7 @@ def format_secs(secs) -> Column:
     s = as_col(secs)
     return F.when(
         s.isNotNull(),
-        F.format_string("%d:%02d", F.floor(s / F.lit(60)), F.pmod(s, F.lit(60))),
+        F.format_string(TIME_FORMAT, F.floor(s / F.lit(60)), F.pmod(s, F.lit(60))),
     )
 
 
@@ -50,7 +51,7 @@ def format_secs_unpadded(secs) -> Column:
     s = as_col(secs)
     return F.when(
         s.isNotNull(),
-        F.format_string("%d:%d", F.floor(s / F.lit(60)), F.pmod(s, F.lit(60))),
+        F.format_string(TIME_FORMAT_UNPADDED, F.floor(s / F.lit(60)), F.pmod(s, F.lit(60))),
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from podium.functions.calendar import period_col, saturday_check, weekday_label, weekday_order
+from podium.functions.texts import MEDIAN_LINE, fill
 from podium.functions.timefmt import format_secs, minutes
 from podium.operators.ranking import ranked_position
 from podium.util import keys
@@ -32,7 +33,7 @@ def median_times(results: DataFrame, by: Sequence[str] | None = None, period: st
     out = ranked_position(out, grp, "median_secs", "name")
     return out.select(
         *grp, "name", "median_secs", format_secs("median_secs").alias("median_time"), "pos"
-    ).withColumn("line", F.concat(F.col("name"), F.lit(": "), F.col("median_time"), F.lit("\n")))
+    ).withColumn("line", fill(MEDIAN_LINE, name="name", time="median_time"))
 
 
 def weekday_medians(results: DataFrame, by: Sequence[str] | None = None, period: str = "year") -> DataFrame:

@@ -23,11 +23,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from podium.functions.calendar import date_text_short, period_col
+from podium.functions.texts import CROWN, FASTEST_LINE, MEDALS, fill
 from podium.util import checked_broadcast, keys, null_safe_join
 
-# Medal and crown marks used in report text.
-MEDALS = {1: ":first_place_medal:", 2: ":second_place_medal:", 3: ":third_place_medal:"}
-CROWN = ":crown:"
 
 
 def day_rank(
@@ -162,7 +160,7 @@ def fastest(results: DataFrame, by: Sequence[str] | None = None, period: str = "
         .withColumn("pos", F.row_number().over(w))
         .where(F.col("pos") <= k)
     )
-    line = F.concat(F.col("time"), F.lit(" by "), F.col("name"), F.lit(" on "), date_text_short("date"), F.lit("\n"))
+    line = fill(FASTEST_LINE, time="time", name="name", day=date_text_short("date"))
     return top.select(
         *keys(by, "period_start"), F.col("pos").cast("bigint").alias("pos"), "name", "date", "secs", "time", line.alias("line")
     )

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from podium.functions.calendar import date_text_short, period_col
+from podium.functions.texts import STREAK_LINE, STREAK_SHOWN_FROM, fill
 from podium.operators.ranking import winners
 from podium.util import keys, null_safe_join
 
@@ -50,7 +51,7 @@ def longest_streak(
     results: DataFrame,
     by: Sequence[str] | None = None,
     period: str = "month",
-    min_streak: int = 3,
+    min_streak: int = STREAK_SHOWN_FROM,
     streak_table: DataFrame | None = None,
 ) -> DataFrame:
     """Per period, the highest streak reached on a day inside it (history before the period counts).
@@ -61,7 +62,7 @@ def longest_streak(
     s = s.withColumn("period_start", period_col("date", period))
     w = Window.partitionBy(*keys(by, "period_start")).orderBy(F.col("streak").desc())
     top = s.withColumn("r", F.rank().over(w)).where((F.col("r") == 1) & (F.col("streak") >= min_streak))
-    line = F.concat(F.col("name"), F.lit(": "), F.col("streak").cast("string"), F.lit(", ending on "), date_text_short("date"), F.lit("\n"))
+    line = fill(STREAK_LINE, name="name", streak="streak", day=date_text_short("date"))
     pos = Window.partitionBy(*keys(by, "period_start")).orderBy("date", "name")
     return top.select(
         *keys(by, "period_start", "name"), "streak", "date", line.alias("line"), F.row_number().over(pos).cast("bigint").alias("pos")

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from podium.functions.calendar import as_of_default, period_range
+from podium.functions.texts import DAILY_TITLE
 from podium.functions.timefmt import format_secs
 from podium.operators import ingest as ing
 from podium.operators import streaks as st
@@ -147,7 +148,7 @@ def _kind_messages(parts: DataFrame, kind: str, key: str) -> DataFrame:
     from podium.functions.calendar import period_label
 
     m = parts.withColumnRenamed(key, "period_start").withColumn("kind", F.lit(kind))
-    title = F.lit("Leaderboard") if kind == "daily" else period_label("period_start", kind)
+    title = F.lit(DAILY_TITLE) if kind == "daily" else period_label("period_start", kind)
     return m.withColumn("title", title)
 
 

@@ -16,7 +16,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from podium.functions import texts as tx
 from podium.functions.calendar import date_text_long, period_col, period_label
+from podium.functions.texts import fill
 from podium.operators import medians, ranking
 from podium.operators import streaks as st
 from podium.util import keys, null_safe_join
@@ -77,23 +79,19 @@ def daily_standings(results: DataFrame, by: Sequence[str] | None = None, streak_
     Lines of a day are ordered by ``(secs, name)``; ``rnk`` is the competition rank.
     """
     x = _ranked_day(results, by, streak_table)
+    shown = tx.STREAK_SHOWN_FROM
     streak_text = F.when(
-        (F.col("rnk") == 1) & (F.col("streak") >= 3), F.concat(F.lit("("), F.col("streak").cast("string"), F.lit("-day streak)"))
+        (F.col("rnk") == 1) & (F.col("streak") >= shown), fill(tx.STREAK_NOTE, n="streak")
     ).otherwise(F.lit(""))
-    broken_text = F.when(
-        F.col("broken_streak") > 2, F.concat(F.lit("("), F.col("broken_streak").cast("string"), F.lit("-day streak broken)"))
-    ).otherwise(F.lit(""))
-    medal = _medal(F.col("rnk"), ranking.MEDALS, F.lit(""))
-    line = F.concat(
-        F.coalesce(F.col("name"), F.lit("NA")),
-        F.lit(": "),
-        F.coalesce(F.col("time"), F.lit("NA")),
-        F.lit(" "),
-        F.col("medal"),
-        F.lit(" "),
-        F.col("streak_text"),
-        F.col("broken_text"),
-        F.lit("\n"),
+    broken_text = F.when(F.col("broken_streak") >= shown, fill(tx.BROKEN_NOTE, n="broken_streak")).otherwise(F.lit(""))
+    medal = _medal(F.col("rnk"), tx.MEDALS, F.lit(""))
+    line = fill(
+        tx.DAILY_LINE,
+        name=F.coalesce(F.col("name"), F.lit(tx.MISSING)),
+        time=F.coalesce(F.col("time"), F.lit(tx.MISSING)),
+        medal="medal",
+        streak_note="streak_text",
+        broken_note="broken_text",
     )
     return (
         x.select(
@@ -123,15 +121,13 @@ def daily_plot_data(results: DataFrame, by: Sequence[str] | None = None, streak_
     x = x.withColumn("pos", F.col("rnk") + F.row_number().over(tie) - 1)
     n = ranking.participants(results, by)
     x = null_safe_join(x, n, keys(by, "date"), "left")
-    streak_text = F.when(
-        (F.col("rnk") == 1) & (F.col("streak") >= 3), F.concat(F.col("streak").cast("string"), F.lit("-day streak"))
-    )
+    streak_text = F.when((F.col("rnk") == 1) & (F.col("streak") >= tx.STREAK_SHOWN_FROM), fill(tx.PLOT_STREAK_NOTE, n="streak"))
     return x.select(
         *keys(by, "date", "name"),
         (F.col("players") - F.col("pos") + 1).cast("bigint").alias("name_order"),
         "secs",
         "time",
-        _medal(F.col("rnk"), {1: "1", 2: "2", 3: "3"}, F.lit("")).alias("medal"),
+        _medal(F.col("rnk"), tx.PLOT_MEDALS, F.lit("")).alias("medal"),
         streak_text.alias("streak_text"),
     )
 
@@ -140,10 +136,10 @@ def text_bar(results: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
     """A 0-7 cell bar per result, relative to the day's slowest time, padded to 8 cells."""
     m = ranking.day_max(results, by)
     x = null_safe_join(results, m, keys(by, "date"), "left")
-    relative = F.floor(F.try_divide(F.lit(7.0), F.col("max_secs").cast("double")) * F.col("secs").cast("double")).cast("int")
+    scale = F.lit(tx.BAR_SCALE).cast("double")
+    relative = F.floor(F.try_divide(scale, F.col("max_secs").cast("double")) * F.col("secs").cast("double")).cast("int")
     x = x.withColumn("relative", relative)
-    # Bar and blank cells.
-    bar = F.concat(F.repeat(F.lit("━"), F.col("relative")), F.repeat(F.lit("　"), F.lit(8) - F.col("relative")))
+    bar = F.concat(F.repeat(F.lit(tx.BAR_CELL), F.col("relative")), F.repeat(F.lit(tx.BAR_BLANK), F.lit(tx.BAR_WIDTH) - F.col("relative")))
     return x.select(*keys(by, "date", "name"), "secs", "relative", bar.alias("bar"))
 
 
@@ -192,7 +188,7 @@ def _parts(periods: DataFrame, grp: list[str], sections: list[tuple], lines: Dat
     header = by_section(3, F.lit(None).cast("string"))
     always = by_section(4, F.lit(None).cast("boolean"))
     first = F.col("page") == 0
-    sep = F.when(first & (F.col("seq") > 1), F.lit("\n")).otherwise(F.lit(""))
+    sep = F.when(first & (F.col("seq") > 1), F.lit(tx.SECTION_SEPARATOR)).otherwise(F.lit(""))
     head = F.when(first & ((F.col("last_pos") > 0) | always), header).otherwise(F.lit(""))
     return (
         pages.withColumn("seq", seq)
@@ -218,7 +214,7 @@ def daily_message(
     tie = Window.partitionBy(*keys(by, "date", "secs")).orderBy("name")
     s = s.withColumn("pos", F.col("rnk") + F.row_number().over(tie) - 1)
     days = results.select(*grp).distinct()
-    sections = [(1, 1, "standings", F.concat(F.lit("*"), date_text_long("date"), F.lit("*\n")), True)]
+    sections = [(1, 1, "standings", fill(tx.DAILY_HEADER, day=date_text_long("date")), True)]
     return _parts(days, grp, sections, _lines(s, grp, "standings"), page_size)
 
 
@@ -226,9 +222,9 @@ def weekly_message(results: DataFrame, by: Sequence[str] | None = None, page_siz
     """``*Week N wins*`` and the medal table, per ISO week."""
     grp = keys(by, "period_start")
     table = ranking.medal_table(results, by, "week")
-    lines = table.withColumn("line", F.concat(F.col("name"), F.lit(": "), F.col("placements"), F.lit("\n")))
+    lines = table.withColumn("line", fill(tx.MEDAL_LINE, name="name", placements="placements"))
     weeks = results.select(*keys(by), period_col("date", "week").alias("period_start")).distinct()
-    head = F.concat(F.lit("*"), period_label("period_start", "week"), F.lit(" wins*\n"))
+    head = fill(tx.WEEK_HEADER, label=period_label("period_start", "week"))
     return _parts(weeks, grp, [(1, 1, "wins", head, True)], _lines(lines, grp, "wins"), page_size)
 
 
@@ -246,22 +242,19 @@ def period_message(
     """
     grp = keys(by, "period_start")
     s = streak_table if streak_table is not None else st.streaks(results, by)
-    wins = ranking.period_wins(results, by, period).withColumn(
-        "line", F.concat(F.col("name"), F.lit(": "), F.col("n").cast("string"), F.lit(" "), F.col("mark"), F.lit("\n"))
-    )
+    wins = ranking.period_wins(results, by, period).withColumn("line", fill(tx.WINS_LINE, name="name", n="n", mark="mark"))
     lines = (
         _lines(wins, grp, "wins")
         .unionByName(_lines(ranking.fastest(results, by, period, 3), grp, "fastest"))
         .unionByName(_lines(medians.median_times(results, by, period), grp, "medians"))
-        .unionByName(_lines(st.longest_streak(results, by, period, 3, s), grp, "streak"))
+        .unionByName(_lines(st.longest_streak(results, by, period, tx.STREAK_SHOWN_FROM, s), grp, "streak"))
     )
     periods = results.select(*keys(by), period_col("date", period).alias("period_start")).distinct()
-    wins_head = F.concat(F.lit("*"), period_label("period_start", period), F.lit(" results*\n\n*Wins*\n"))
     heads = {
-        "wins": wins_head,
-        "fastest": F.lit("*Fastest times*\n"),
-        "medians": F.lit("*Median times*\n"),
-        "streak": F.lit("*Longest streak*\n"),
+        "wins": fill(tx.RESULTS_HEADER, label=period_label("period_start", period)),
+        "fastest": F.lit(tx.FASTEST_HEADER),
+        "medians": F.lit(tx.MEDIANS_HEADER),
+        "streak": F.lit(tx.STREAK_HEADER),
     }
     if period == "year":
         layout = [(1, 1, "wins"), (2, 1, "medians"), (3, 1, "fastest"), (3, 2, "streak")]
