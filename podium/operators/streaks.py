@@ -41,6 +41,25 @@ def extend_streaks(day_results: DataFrame, previous: DataFrame, by: Sequence[str
     return j.select(*keys(by, "name", "date"), (F.coalesce(F.col("prev"), F.lit(0)) + 1).cast("bigint").alias("streak"))
 
 
+def streaks_from(results: DataFrame, carried: DataFrame, from_day, by: Sequence[str] | None = None) -> DataFrame:
+    """Streak rows for days ``>= from_day`` from those days' results and the streaks running on ``from_day - 1``.
+
+    Runs of consecutive wins are found among the recomputed days only; a run
+    that starts exactly on ``from_day`` continues the carried streak.  Used to
+    redo the days after late results without reading earlier history.
+    """
+    won = winners(results.where(F.col("date") >= F.lit(from_day)), by).select(*keys(by, "name", "date"))
+    player = keys(by, "name")
+    island = F.date_sub(F.col("date"), F.dense_rank().over(Window.partitionBy(*player).orderBy("date")))
+    k = F.dense_rank().over(Window.partitionBy(*player, "island").orderBy("date"))
+    runs = won.withColumn("island", island).withColumn("k", k)
+    runs = runs.withColumn("starts_at_from", F.date_sub(F.col("date"), F.col("k") - 1) == F.lit(from_day))
+    carry = carried.select(*player, F.col("streak").alias("carry"))
+    j = null_safe_join(runs, carry, player, "left")
+    bonus = F.when(F.col("starts_at_from"), F.coalesce(F.col("carry"), F.lit(0))).otherwise(F.lit(0))
+    return j.select(*keys(by, "name", "date"), (F.col("k") + bonus).cast("bigint").alias("streak"))
+
+
 def results_with_streaks(results: DataFrame, by: Sequence[str] | None = None, streak_table: DataFrame | None = None) -> DataFrame:
     """Results with the streak of each winning row (null on rows that did not win)."""
     s = streak_table if streak_table is not None else streaks(results, by)

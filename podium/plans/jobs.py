@@ -102,6 +102,7 @@ def update_streaks(
     as_of: dt.date,
     by: Sequence[str] | None = None,
     rebuild: bool = False,
+    late_from: dt.date | None = None,
 ) -> DataFrame:
     """Keep the winners-only streak table current through ``as_of``; return its rows for ``as_of - 1 .. as_of``.
 
@@ -109,17 +110,38 @@ def update_streaks(
     day before ``as_of`` only two ``date`` partitions are read (results of
     ``as_of``, streaks of the day before) and one partition is appended; when
     it is ``as_of`` or later nothing is done (reruns are free); otherwise
-    (first run, a gap) — or with ``rebuild=True``, after late results for a
-    day already processed — the table is rebuilt from history into a fresh
-    generation folder and ``_through`` is repointed to it (the old generation
-    is never overwritten while it may be read).
+    (first run, a gap, or ``rebuild=True``) the table is rebuilt from history
+    into a fresh generation folder and ``_through`` is repointed to it (the old
+    generation is never overwritten while it may be read).
+
+    ``late_from=d``: results arrived late for day ``d`` (already processed).
+    Only days ``>= d`` are recomputed — from their results and the streaks
+    running on ``d - 1``, which are checkpointed first so the rewrite of those
+    days (dynamic partition overwrite) never reads the files it replaces.
     """
     marker_schema = T.StructType([T.StructField("through", T.DateType()), T.StructField("generation", T.StringType())])
     marker = _read_or_empty(spark, f"{streak_path}/_through", marker_schema).collect()  # at most one row
     through = marker[0].through if marker else None
     generation = marker[0].generation if marker else None
     yesterday = as_of - dt.timedelta(days=1)
-    if not rebuild and generation is not None and through is not None and through >= yesterday:
+    if late_from is not None and not rebuild and generation is not None and through is not None and late_from <= through:
+        from podium.session import checkpoint_dir
+
+        checkpoint_dir(spark)
+        table = f"{streak_path}/{generation}"
+        stored = _read_or_empty(spark, table, _streak_schema(by))
+        carried = stored.where(F.col("date") == F.lit(late_from - dt.timedelta(days=1))).checkpoint(eager=True)
+        upto = max(through, as_of)
+        redo = st.streaks_from(results.where(F.col("date") <= F.lit(upto)), carried, late_from, by)
+        (
+            redo.select(*keys(by, "name"), "streak", "date")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("date")
+            .parquet(table)
+        )
+        through = upto
+    elif not rebuild and generation is not None and through is not None and through >= yesterday:
         table = f"{streak_path}/{generation}"
         if through == yesterday:
             stored = _read_or_empty(spark, table, _streak_schema(by))

@@ -51,9 +51,21 @@ def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str] | None = No
     )
 
 
-def write_messages(messages: DataFrame, path: str, fmt: str = "json") -> None:
-    """Report messages (one row per by / period / message / part) for a poster to send in order."""
-    messages.write.mode("append").format(fmt).save(path)
+def write_messages(messages: DataFrame, path: str, fmt: str = "json", partition_by: Sequence[str] = ("kind", "period_start")) -> None:
+    """Report messages (one row per by / period / message / part) for a poster to send in order.
+
+    Written with dynamic partition overwrite on ``(kind, period_start)``: a
+    rerun of the same report replaces its own partitions instead of adding a
+    second copy, and other reports' partitions are untouched.
+    """
+    cols = [c for c in partition_by if c in messages.columns]
+    (
+        messages.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*cols)
+        .format(fmt)
+        .save(path)
+    )
 
 
 def write_marker(marker: DataFrame, path: str) -> None:

@@ -43,7 +43,9 @@ def test_daily_and_month_jobs(spark, tmp_path):
     jobs.run_ingest(spark, str(boards), table)
     out, marker = str(tmp_path / "messages"), str(tmp_path / "marker")
     jobs.run_daily(spark, table, out, marker, dt.date(2024, 1, 3))
+    jobs.run_daily(spark, table, out, marker, dt.date(2024, 1, 3))  # rerun: replaced, not duplicated
     msg = spark.read.json(out)
+    assert {r.kind for r in msg.collect()} == {"daily"} and msg.count() == 1
     text = "".join(r.text for r in msg.orderBy("seq", "page").collect())
     assert text == "*Wednesday, January 03*\na: 0:20 :first_place_medal: (3-day streak)\nb: 0:50 :second_place_medal: \nc: 1:05 :third_place_medal: \n"
     assert spark.read.parquet(marker).collect()[0].latest_date == dt.date(2024, 1, 3)
@@ -110,3 +112,26 @@ def test_stream_small_batches_and_repeats(spark, tmp_path):
     (tmp_path / "boards" / "2024-01-03b.json").rename(tmp_path / "boards" / "2024-01-03.json.1")
     start_board_stream(spark, str(boards), table, str(tmp_path / "ckpt"), max_files_per_trigger=1).awaitTermination()
     assert jobs.read_stored(spark, table).count() == 7
+
+
+def test_late_results_recompute_only_later_days(spark, tmp_path):
+    from podium.operators import streaks as st
+    from tests.conftest import results_df
+
+    def rows(day5_winner):
+        out = []
+        for day in range(1, 11):
+            w = day5_winner if day == 5 else ("a" if day not in (8,) else "b")
+            out += [(w, f"2024-01-{day:02d}", 10), ("c", f"2024-01-{day:02d}", 90)]
+        return out
+
+    path = str(tmp_path / "streaks")
+    before = results_df(spark, rows("a"))
+    for day in range(1, 11):
+        jobs.update_streaks(spark, before, path, dt.date(2024, 1, day))
+    after = results_df(spark, rows("c"))  # a late, faster result changes day 5's winner
+    jobs.update_streaks(spark, after, path, dt.date(2024, 1, 10), late_from=dt.date(2024, 1, 5))
+    gen = spark.read.parquet(path + "/_through").collect()[0].generation
+    got = {(x.name, x.date): x.streak for x in spark.read.parquet(f"{path}/{gen}").collect()}
+    want = {(x.name, x.date): x.streak for x in st.streaks(after).collect()}
+    assert got == want
