@@ -193,6 +193,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[f"longest_streak_{p}"] = _res(lambda r, by, p=p: st.longest_streak(r, by, p, 3))
     q["period_wins_month_league"] = _res(lambda r, by: rk.period_wins(r, by, "month"), league=True)
     q["daily_message_league"] = _res(rp.daily_message, league=True)
+    for p in ("week", "year"):
+        q[f"time_points_{p}"] = _res(lambda r, by, p=p: med.time_points(r, by, p))
+        q[f"minutes_extent_{p}"] = _res(lambda r, by, p=p: med.minutes_extent(r, by, p))
     q["rank_distribution_league"] = _res(lambda r, by: rk.rank_distribution(r, by, "year"), league=True)
     q["medal_counts_league"] = _res(lambda r, by: rk.medal_counts(r, by, "week"), league=True)
     q["text_bar_league"] = _res(rp.text_bar, league=True)
@@ -508,17 +511,13 @@ from (select {_trunc('year')} as period_start, name, cast(dayofweek(date) + 1 as
              ['Su', 'M', 'Tu', 'W', 'Th', 'F', 'Sa'][dayofweek(date) + 1] as weekday,
              cast((dayofweek(date) + 6) % 7 + 1 as integer) as weekday_order, secs from results) w
 group by all"""
-    name_order = f"""no as (
-  select period_start, name, median_secs,
-         cast(row_number() over (partition by period_start order by median_secs desc, name desc) as bigint) as name_order
-  from (select {_trunc('month')} as period_start, name, median(secs) as median_secs from results group by all) n0
-)"""
-    o["name_order"] = _with(RESULTS, name_order) + "select * from no"
-    o["time_points"] = _with(RESULTS, name_order) + f"""select p.period_start, p.name, p.date, p.minutes, p.saturday_check, no.name_order
-from (select {_trunc('month')} as period_start, name, date, secs / cast(60 as double) as minutes,
+    o["name_order"] = _with(RESULTS, _name_order_cte("month")) + "select * from no"
+    for p, suffix in (("month", ""), ("week", "_week"), ("year", "_year")):
+        o[f"time_points{suffix}"] = _with(RESULTS, _name_order_cte(p)) + f"""select p.period_start, p.name, p.date, p.minutes, p.saturday_check, no.name_order
+from (select {_trunc(p)} as period_start, name, date, secs / cast(60 as double) as minutes,
              case when dayofweek(date) = 6 then 'Saturday' else 'Non-Saturday' end as saturday_check from results) p
 left join no on no.period_start = p.period_start and no.name = p.name"""
-    o["minutes_extent"] = _with(RESULTS) + f"""select {_trunc('month')} as period_start, min(secs / cast(60 as double)) as min_minutes,
+        o[f"minutes_extent{suffix}"] = _with(RESULTS) + f"""select {_trunc(p)} as period_start, min(secs / cast(60 as double)) as min_minutes,
   max(secs / cast(60 as double)) as max_minutes from results group by 1"""
     o["daily_standings"] = (
         _with(RESULTS, *_streaks_cte(), *_broken_cte(), _standings_cte()) + f"select *, {_line_sql()} as line from standings"
@@ -629,6 +628,14 @@ from (select r.date, r.name, r.secs,
     return o
 
 
+def _name_order_cte(p: str) -> str:
+    return f"""no as (
+  select period_start, name, median_secs,
+         cast(row_number() over (partition by period_start order by median_secs desc, name desc) as bigint) as name_order
+  from (select {_trunc(p)} as period_start, name, median(secs) as median_secs from results group by all) n0
+)"""
+
+
 def _league_report_sql(p: str) -> str:
     """Monthly report per league (every CTE carries the league key)."""
     fast = f"""fast as (

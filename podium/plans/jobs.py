@@ -165,6 +165,15 @@ def update_streaks(
     return rows.where((F.col("date") >= F.lit(yesterday)) & (F.col("date") <= F.lit(as_of)))
 
 
+def read_streaks(spark: SparkSession, streak_path: str, by: Sequence[str] | None = None) -> DataFrame:
+    """The current generation of the streak table kept by :func:`update_streaks`."""
+    marker_schema = T.StructType([T.StructField("through", T.DateType()), T.StructField("generation", T.StringType())])
+    marker = _read_or_empty(spark, f"{streak_path}/_through", marker_schema).collect()
+    if not marker:
+        return spark.createDataFrame([], _streak_schema(by))
+    return _read_or_empty(spark, f"{streak_path}/{marker[0].generation}", _streak_schema(by))
+
+
 def _kind_messages(parts: DataFrame, kind: str, key: str) -> DataFrame:
     """Tag message parts with their kind and the upload title the reference uses."""
     from podium.functions.calendar import period_label
@@ -212,14 +221,25 @@ def run_daily(
 
 
 def period_report_for(
-    results: DataFrame, as_of: dt.date, by: Sequence[str] | None = None, period: str = "month", offset: int | None = None
+    results: DataFrame,
+    as_of: dt.date,
+    by: Sequence[str] | None = None,
+    period: str = "month",
+    offset: int | None = None,
+    streak_table: DataFrame | None = None,
 ) -> DataFrame:
-    """Week: the current ISO week (offset 0); month / year: the previous one (offset -1)."""
+    """Week: the current ISO week (offset 0); month / year: the previous one (offset -1).
+
+    ``streak_table`` (e.g. :func:`read_streaks`) spares the scan of history for the longest streak.
+    """
     if offset is None:
         offset = 0 if period == "week" else -1
+    start, end = period_range(as_of, period, offset)
+    in_range = (F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(end))
     if period == "week":
-        start, end = period_range(as_of, period, offset)
-        return rp.weekly_message(results.where((F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(end))), by)
+        return rp.weekly_message(results.where(in_range), by)
+    if streak_table is not None:
+        return rp.period_message(results.where(in_range), by, period, streak_table=streak_table.where(in_range))
     return rp.period_report_for(results, as_of, by, period, offset)
 
 
@@ -230,10 +250,13 @@ def run_period(
     period: str,
     as_of: dt.date | None = None,
     by: Sequence[str] | None = None,
+    streak_path: str | None = None,
 ) -> None:
     as_of = as_of or as_of_default()
     results = read_canonical(spark, table_path, by)
-    write_messages(_kind_messages(period_report_for(results, as_of, by, period), period, "period_start"), messages_path)
+    streak_table = read_streaks(spark, streak_path, by) if streak_path else None
+    parts = period_report_for(results, as_of, by, period, streak_table=streak_table)
+    write_messages(_kind_messages(parts, period, "period_start"), messages_path)
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -243,7 +266,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--boards", help="landed board JSON folder (ingest)")
     p.add_argument("--messages", help="messages output path")
     p.add_argument("--marker", help="progress marker path (daily)")
-    p.add_argument("--streaks", help="incremental streak table path (daily)")
+    p.add_argument("--streaks", help="incremental streak table path (daily keeps it; month / year read it)")
     p.add_argument("--as-of", type=dt.date.fromisoformat, default=None)
     p.add_argument("--by", default="", help="comma-separated league keys")
     a = p.parse_args(argv)
@@ -254,7 +277,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif a.job == "daily":
         run_daily(spark, a.table, a.messages, a.marker, a.as_of, by, a.streaks)
     else:
-        run_period(spark, a.table, a.messages, a.job, a.as_of, by)
+        run_period(spark, a.table, a.messages, a.job, a.as_of, by, a.streaks)
 
 
 if __name__ == "__main__":

@@ -135,3 +135,16 @@ def test_late_results_recompute_only_later_days(spark, tmp_path):
     got = {(x.name, x.date): x.streak for x in spark.read.parquet(f"{path}/{gen}").collect()}
     want = {(x.name, x.date): x.streak for x in st.streaks(after).collect()}
     assert got == want
+
+
+def test_cli_and_month_from_streak_table(spark, tmp_path):
+    boards, table = _boards(tmp_path), str(tmp_path / "table")
+    streaks, daily, month = str(tmp_path / "streaks"), str(tmp_path / "daily"), str(tmp_path / "month")
+    jobs.main(["ingest", "--table", table, "--boards", str(boards)])
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        jobs.main(["daily", "--table", table, "--messages", daily, "--as-of", day, "--streaks", streaks])
+    assert {r.period_start.day for r in spark.read.json(daily).select(F.to_date("period_start").alias("period_start")).collect()} == {1, 2, 3}
+    jobs.main(["month", "--table", table, "--messages", month, "--as-of", "2024-02-10", "--streaks", streaks])
+    whole = "".join(p.text for p in spark.read.json(month).orderBy("message", "seq", "page").collect())
+    assert whole.endswith("*Longest streak*\na: 3, ending on Wed, Jan 03\n")
+    assert spark.read.json(month).select("title").distinct().collect()[0].title == "January"
