@@ -28,6 +28,9 @@ from podium.util import checked_broadcast, keys, null_safe_join
 
 
 
+RANK_PLAIN_KEYS = ("date", "secs")
+
+
 def day_rank(
     results: DataFrame, by: Sequence[str] | None = None, method: str = "histogram", checked: bool = False
 ) -> DataFrame:
@@ -48,7 +51,9 @@ def day_rank(
     ranks = hist.select(*day, "secs", (F.coalesce(F.sum("n").over(faster), F.lit(0)) + 1).cast("bigint").alias("rnk"))
     if checked:
         ranks = checked_broadcast(ranks)
-    return null_safe_join(results, ranks, [*day, "secs"], "left")
+    # date and secs never match when null (a row without a day or a time has no rank);
+    # league keys match null-safely
+    return null_safe_join(results, ranks, [*day, "secs"], "left", plain=RANK_PLAIN_KEYS)
 
 
 def ranked_position(

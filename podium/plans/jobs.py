@@ -196,8 +196,7 @@ def daily_report_for(
     if streak_rows is None:
         history = results.where(F.col("date") <= F.lit(as_of))
         streak_rows = st.streaks(history, by).where(F.col("date") >= F.lit(as_of - dt.timedelta(days=1)))
-    standings = rp.daily_standings(day, by, streak_rows)
-    return rp.daily_message(day, by, standings=standings)
+    return rp.daily_message(day, by, streak_table=streak_rows)
 
 
 def run_daily(

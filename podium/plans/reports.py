@@ -21,7 +21,7 @@ from podium.functions.calendar import date_text_long, period_col, period_label
 from podium.functions.texts import fill
 from podium.operators import medians, ranking
 from podium.operators import streaks as st
-from podium.util import keys, null_safe_join
+from podium.util import keys, null_safe_join, partition_keys
 
 PAGE_SIZE = 50
 
@@ -68,16 +68,25 @@ def _day_extras(results: DataFrame, by, streak_table: DataFrame | None) -> DataF
     return stacked.groupBy(*k).agg(F.max("streak").alias("streak"), F.max("broken_streak").alias("broken_streak"))
 
 
+def _tie_window(df: DataFrame, by) -> Window:
+    """Order among equal times of a day, by name.  Keyed like the rank join, so it reuses that shuffle."""
+    part = partition_keys(df, keys(by, "date", "secs"), plain=ranking.RANK_PLAIN_KEYS)
+    return Window.partitionBy(*part).orderBy("name")
+
+
 def _ranked_day(results: DataFrame, by, streak_table: DataFrame | None) -> DataFrame:
+    """Ranked results with a unique line position and the day extras.
+
+    ``pos = rank + place among equal times by name``: the window covers one
+    (day, time) and is keyed like the rank join, so it runs on the rank join's
+    partitioning before the extras join re-keys the rows by name.
+    """
     r = ranking.day_rank(results, by)
+    r = r.withColumn("pos", (F.col("rnk") + F.row_number().over(_tie_window(r, by)) - 1).cast("bigint"))
     return null_safe_join(r, _day_extras(results, by, streak_table), keys(by, "date", "name"), "left")
 
 
-def daily_standings(results: DataFrame, by: Sequence[str] | None = None, streak_table: DataFrame | None = None) -> DataFrame:
-    """One line per player and day: ``name: time medal (N-day streak)(N-day streak broken)``.
-
-    Lines of a day are ordered by ``(secs, name)``; ``rnk`` is the competition rank.
-    """
+def _standings(results: DataFrame, by, streak_table: DataFrame | None) -> DataFrame:
     x = _ranked_day(results, by, streak_table)
     shown = tx.STREAK_SHOWN_FROM
     streak_text = F.when(
@@ -99,6 +108,7 @@ def daily_standings(results: DataFrame, by: Sequence[str] | None = None, streak_
             "time",
             "secs",
             "rnk",
+            "pos",
             "streak",
             "broken_streak",
             medal.alias("medal"),
@@ -109,6 +119,14 @@ def daily_standings(results: DataFrame, by: Sequence[str] | None = None, streak_
     )
 
 
+def daily_standings(results: DataFrame, by: Sequence[str] | None = None, streak_table: DataFrame | None = None) -> DataFrame:
+    """One line per player and day: ``name: time medal (N-day streak)(N-day streak broken)``.
+
+    Lines of a day are ordered by ``(secs, name)``; ``rnk`` is the competition rank.
+    """
+    return _standings(results, by, streak_table).drop("pos")
+
+
 def daily_plot_data(results: DataFrame, by: Sequence[str] | None = None, streak_table: DataFrame | None = None) -> DataFrame:
     """The table behind the daily lollipop chart; ``name_order`` 1 is the slowest (bottom).
 
@@ -117,8 +135,6 @@ def daily_plot_data(results: DataFrame, by: Sequence[str] | None = None, streak_
     over its distinct times rather than sorted in one task.
     """
     x = _ranked_day(results, by, streak_table)
-    tie = Window.partitionBy(*keys(by, "date", "secs")).orderBy("name")
-    x = x.withColumn("pos", F.col("rnk") + F.row_number().over(tie) - 1)
     n = ranking.participants(results, by)
     x = null_safe_join(x, n, keys(by, "date"), "left")
     streak_text = F.when((F.col("rnk") == 1) & (F.col("streak") >= tx.STREAK_SHOWN_FROM), fill(tx.PLOT_STREAK_NOTE, n="streak"))
@@ -204,15 +220,11 @@ def _lines(df: DataFrame, grp: list[str], section: str, pos: str = "pos", o1: st
 
 
 def daily_message(
-    results: DataFrame, by: Sequence[str] | None = None, page_size: int = PAGE_SIZE, standings: DataFrame | None = None
+    results: DataFrame, by: Sequence[str] | None = None, page_size: int = PAGE_SIZE, streak_table: DataFrame | None = None
 ) -> DataFrame:
-    """``*Weekday, Month dd*`` and one standings line per player, per day."""
+    """``*Weekday, Month dd*`` and one standings line per player, per day (unique line positions)."""
     grp = keys(by, "date")
-    s = standings if standings is not None else daily_standings(results, by)
-    # unique line position = rank + place among equal times by name: the window
-    # covers one (day, time) only, so a busy day is not sorted in one task
-    tie = Window.partitionBy(*keys(by, "date", "secs")).orderBy("name")
-    s = s.withColumn("pos", F.col("rnk") + F.row_number().over(tie) - 1)
+    s = _standings(results, by, streak_table)
     days = results.select(*grp).distinct()
     sections = [(1, 1, "standings", fill(tx.DAILY_HEADER, day=date_text_long("date")), True)]
     return _parts(days, grp, sections, _lines(s, grp, "standings"), page_size)

@@ -17,16 +17,23 @@ def keys(by: Sequence[str] | None, *more: str) -> list[str]:
     return [*(by or []), *more]
 
 
-def null_safe_join(left, right, on: Sequence[str], how: str = "inner"):
-    """Equi-join on ``on`` where null keys match each other (``<=>``).
+def null_safe_join(left, right, on: Sequence[str], how: str = "inner", plain: Sequence[str] = ()):
+    """Equi-join on ``on`` where null keys match each other (``<=>``); keys in ``plain`` use ``=``.
 
     Spark still plans it as an equi-join (hash / sort-merge on the keys), not a
-    nested loop.  Output keeps one copy of each key column, taken from the left.
+    nested loop; a null-safe key is hashed as ``(coalesce(k, default), isnull(k))``
+    (see :func:`partition_keys`).  Output keeps one copy of each key column,
+    taken from the left (from either side for a full join).
     """
     from functools import reduce
 
     l, r = left.alias("__l"), right.alias("__r")
-    cond = reduce(lambda a, b: a & b, [F.col(f"__l.{k}").eqNullSafe(F.col(f"__r.{k}")) for k in on])
+
+    def eq(k):
+        a, b = F.col(f"__l.{k}"), F.col(f"__r.{k}")
+        return a == b if k in plain else a.eqNullSafe(b)
+
+    cond = reduce(lambda a, b: a & b, [eq(k) for k in on])
     joined = l.join(r, cond, how)
     if how in ("left_anti", "anti", "left_semi", "semi"):
         return joined.select(*[F.col(f"__l.{c}").alias(c) for c in left.columns])
@@ -44,6 +51,31 @@ def null_safe_join(left, right, on: Sequence[str], how: str = "inner"):
     )
 
 
+def partition_keys(df, on: Sequence[str], plain: Sequence[str] = ()) -> list[Column]:
+    """Window / repartition keys equal to those Spark hashes for :func:`null_safe_join` on ``on``.
+
+    A window partitioned by these reuses the join's shuffle (same expressions),
+    instead of shuffling again on the raw columns.
+    """
+    from pyspark.sql import types as T
+
+    defaults = {
+        T.StringType: "",
+        T.DateType: __import__("datetime").date(1970, 1, 1),
+        T.BooleanType: False,
+    }
+    types = {f.name: f.dataType for f in df.schema.fields}
+    out: list[Column] = []
+    for k in on:
+        if k in plain:
+            out.append(F.col(k))
+            continue
+        t = types[k]
+        default = defaults.get(type(t), 0)
+        out += [F.coalesce(F.col(k), F.lit(default).cast(t)), F.isnull(F.col(k))]
+    return out
+
+
 def _row_bytes(df) -> int:
     """Estimated bytes per row from the schema (JVM default sizes when available)."""
     try:

@@ -67,3 +67,18 @@ def test_checked_broadcast_both_ways(spark):
         assert "BroadcastHashJoin" not in _plan(big.join(checked_broadcast(small, max_bytes=8), "k"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_tie_window_reuses_rank_join_shuffle(spark):
+    """With no broadcasts (as at scale) the line-position window runs on the rank join's partitioning."""
+    lg = fx.league_results(spark, SF)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines = _plan(rp.daily_message(lg, ["league"])).split("\n")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    i = next(i for i, l in enumerate(lines) if "Window [row_number()" in l)
+    below = " ".join(lines[i + 1 : i + 4])
+    assert "SortMergeJoin" in below and "Exchange" not in below
