@@ -44,12 +44,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir``; only when the session has none (local
     tests) a fresh local folder is created and registered.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not path and sc.getCheckpointDir() is not None:
+        # SparkContext checkpoint folders get a per-application sub-folder; use its parent
+        path = sc.getCheckpointDir().rsplit("/", 1)[0]
     if not path:
         path = tempfile.mkdtemp(prefix="podium-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # noqa: BLE001 - a session may refuse to change it; the context keeps it
+            pass
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 
