@@ -26,7 +26,7 @@ from podium.functions.timefmt import format_secs
 from podium.operators import ingest as ing
 from podium.operators import streaks as st
 from podium.plans import reports as rp
-from podium.sources.sinks import append_results, write_marker, write_messages
+from podium.sources.sinks import append_results, overwrite_partitions, write_marker, write_messages
 from podium.sources.tables import read_board
 from podium.util import keys, null_safe_join
 
@@ -54,11 +54,40 @@ def read_stored(spark: SparkSession, table_path: str, by: Sequence[str] | None =
         return spark.createDataFrame([], stored_schema(by))
 
 
-def read_canonical(spark: SparkSession, table_path: str, by: Sequence[str] | None = None) -> DataFrame:
-    """One row per (by…, name, date): the fastest stored time."""
+def read_canonical(
+    spark: SparkSession, table_path: str, by: Sequence[str] | None = None, canonical_path: str | None = None
+) -> DataFrame:
+    """One row per (by…, name, date): the fastest stored time.
+
+    With ``canonical_path`` (kept by :func:`compact_days`) the rows are read as
+    they are; otherwise they are derived from the stored rows with a grouped
+    ``min`` (a shuffle of the days read).
+    """
+    if canonical_path:
+        schema = T.StructType(
+            [*[T.StructField(k, T.StringType(), True) for k in (by or [])],
+             T.StructField("name", T.StringType(), True), T.StructField("secs", T.IntegerType(), True),
+             T.StructField("time", T.StringType(), True), T.StructField("date", T.DateType(), True)]
+        )
+        return _read_or_empty(spark, canonical_path, schema)
     return ing.canonical(read_stored(spark, table_path, by), by)
 
 
+def compact_days(
+    spark: SparkSession, table_path: str, canonical_path: str, days: DataFrame, by: Sequence[str] | None = None
+) -> None:
+    """Rewrite the canonical table's partitions for ``days`` (a ``date`` column) from the stored rows.
+
+    Reads only those days of the stored table (semi-join on the partition
+    column) and replaces only those days of the canonical table (dynamic
+    partition overwrite of a different path), so a rerun gives the same table.
+    """
+    d = days.select("date").distinct()
+    rows = read_stored(spark, table_path, by).join(d, "date", "left_semi")
+    canon = ing.canonical(rows, by).select(*keys(by, "name"), "secs", "time", "date")
+    overwrite_partitions(canon, canonical_path, by)
+
+
 def append_new_rows(rows: DataFrame, table_path: str, by: Sequence[str] | None = None) -> None:
     """Append ``(by…, name, date, secs)`` rows the table does not hold yet.
 
@@ -74,9 +103,18 @@ def append_new_rows(rows: DataFrame, table_path: str, by: Sequence[str] | None =
     append_results(ing.new_rows(rows, stored, by), table_path, by)
 
 
-def run_ingest(spark: SparkSession, board_dir: str, table_path: str, by: Sequence[str] | None = None) -> None:
-    """Landed board JSON (one document per day) -> new rows of the results table."""
-    append_new_rows(ing.flatten_board(read_board(spark, board_dir), by), table_path, by)
+def run_ingest(
+    spark: SparkSession, board_dir: str, table_path: str, by: Sequence[str] | None = None, canonical_path: str | None = None
+) -> None:
+    """Landed board JSON (one document per day) -> new rows of the results table.
+
+    With ``canonical_path`` the canonical table is then refreshed for the days
+    the boards cover.
+    """
+    flat = ing.flatten_board(read_board(spark, board_dir), by)
+    append_new_rows(flat, table_path, by)
+    if canonical_path:
+        compact_days(spark, table_path, canonical_path, flat.select("date"), by)
 
 
 def _streak_schema(by: Sequence[str] | None) -> T.StructType:
@@ -207,11 +245,12 @@ def run_daily(
     as_of: dt.date | None = None,
     by: Sequence[str] | None = None,
     streak_path: str | None = None,
+    canonical_path: str | None = None,
 ) -> None:
     """Post one day.  With ``streak_path`` the streak table is kept incrementally and only
     two days of results are read; without it, streaks are recomputed from history."""
     as_of = as_of or as_of_default()
-    results = read_canonical(spark, table_path, by)
+    results = read_canonical(spark, table_path, by, canonical_path)
     streak_rows = update_streaks(spark, results, streak_path, as_of, by) if streak_path else None
     write_messages(_kind_messages(daily_report_for(results, as_of, by, streak_rows), "daily", "date"), messages_path)
     if marker_path:
@@ -250,9 +289,10 @@ def run_period(
     as_of: dt.date | None = None,
     by: Sequence[str] | None = None,
     streak_path: str | None = None,
+    canonical_path: str | None = None,
 ) -> None:
     as_of = as_of or as_of_default()
-    results = read_canonical(spark, table_path, by)
+    results = read_canonical(spark, table_path, by, canonical_path)
     streak_table = read_streaks(spark, streak_path, by) if streak_path else None
     parts = period_report_for(results, as_of, by, period, streak_table=streak_table)
     write_messages(_kind_messages(parts, period, "period_start"), messages_path)
@@ -268,15 +308,16 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--streaks", help="incremental streak table path (daily keeps it; month / year read it)")
     p.add_argument("--as-of", type=dt.date.fromisoformat, default=None)
     p.add_argument("--by", default="", help="comma-separated league keys")
+    p.add_argument("--canonical", help="compacted canonical table path (ingest keeps it; reports read it)")
     a = p.parse_args(argv)
     by = [k for k in a.by.split(",") if k] or None
     spark = SparkSession.builder.getOrCreate()
     if a.job == "ingest":
-        run_ingest(spark, a.boards, a.table, by)
+        run_ingest(spark, a.boards, a.table, by, a.canonical)
     elif a.job == "daily":
-        run_daily(spark, a.table, a.messages, a.marker, a.as_of, by, a.streaks)
+        run_daily(spark, a.table, a.messages, a.marker, a.as_of, by, a.streaks, a.canonical)
     else:
-        run_period(spark, a.table, a.messages, a.job, a.as_of, by, a.streaks)
+        run_period(spark, a.table, a.messages, a.job, a.as_of, by, a.streaks, a.canonical)
 
 
 if __name__ == "__main__":

@@ -148,3 +148,16 @@ def test_cli_and_month_from_streak_table(spark, tmp_path):
     whole = "".join(p.text for p in spark.read.json(month).orderBy("message", "seq", "page").collect())
     assert whole.endswith("*Longest streak*\na: 3, ending on Wed, Jan 03\n")
     assert spark.read.json(month).select("title").distinct().collect()[0].title == "January"
+
+
+def test_compacted_canonical_table(spark, tmp_path):
+    boards, table, canon = _boards(tmp_path), str(tmp_path / "table"), str(tmp_path / "canonical")
+    jobs.run_ingest(spark, str(boards), table, canonical_path=canon)
+    _land(boards, "2024-01-03", [("a", 19)])  # a correction for one day
+    jobs.run_ingest(spark, str(boards), table, canonical_path=canon)
+    want = sorted((r.name, r.date, r.secs, r.time) for r in jobs.read_canonical(spark, table).collect())
+    got = sorted((r.name, r.date, r.secs, r.time) for r in jobs.read_canonical(spark, table, canonical_path=canon).collect())
+    assert got == want and ("a", dt.date(2024, 1, 3), 19, "0:19") in got
+    out = str(tmp_path / "daily")
+    jobs.run_daily(spark, table, out, None, dt.date(2024, 1, 3), canonical_path=canon)
+    assert "a: 0:19 :first_place_medal: (3-day streak)\n" in "".join(r.text for r in spark.read.json(out).collect())
