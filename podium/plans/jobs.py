@@ -111,7 +111,7 @@ def run_ingest(
     With ``canonical_path`` the canonical table is then refreshed for the days
     the boards cover.
     """
-    flat = ing.flatten_board(read_board(spark, board_dir), by)
+    flat = ing.flatten_board(read_board(spark, board_dir, by=by), by)
     append_new_rows(flat, table_path, by)
     if canonical_path:
         compact_days(spark, table_path, canonical_path, flat.select("date"), by)

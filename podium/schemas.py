@@ -43,6 +43,11 @@ LEADERBOARD = T.StructType(
     ]
 )
 
+def leaderboard_schema(by=None) -> T.StructType:
+    """The board document schema plus league keys, filled from ``league=<value>/`` folder names."""
+    return T.StructType([*LEADERBOARD.fields, *[T.StructField(k, T.StringType(), True) for k in (by or [])]])
+
+
 STREAKS = T.StructType(
     [
         T.StructField("name", T.StringType(), True),

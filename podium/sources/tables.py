@@ -31,14 +31,15 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_board(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_board(spark: SparkSession, path: str, multi_line: bool = False, by=None) -> DataFrame:
     """Landed leaderboard JSON, one document per puzzle day.
 
     A document carries ``data`` (the entries) and optionally ``date``; when the
     date is absent it is taken from a ``YYYY-MM-DD.json`` file name, as the
-    files are named by day.
+    files are named by day.  League keys (``by``) come from ``league=<value>/``
+    folders (partition discovery).
     """
-    df = spark.read.schema(schemas.LEADERBOARD).option("multiLine", str(multi_line).lower()).json(path)
+    df = spark.read.schema(schemas.leaderboard_schema(by)).option("multiLine", str(multi_line).lower()).json(path)
     return with_file_date(df)
 
 

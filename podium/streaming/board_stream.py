@@ -35,7 +35,7 @@ def start_board_stream(
     max_files_per_trigger: int | None = None,
 ):
     """Start the ingest stream; returns the ``StreamingQuery``."""
-    reader = spark.readStream.schema(schemas.LEADERBOARD)
+    reader = spark.readStream.schema(schemas.leaderboard_schema(by))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     flat = flatten_board(with_file_date(reader.json(board_dir)), by)

@@ -161,3 +161,24 @@ def test_compacted_canonical_table(spark, tmp_path):
     out = str(tmp_path / "daily")
     jobs.run_daily(spark, table, out, None, dt.date(2024, 1, 3), canonical_path=canon)
     assert "a: 0:19 :first_place_medal: (3-day streak)\n" in "".join(r.text for r in spark.read.json(out).collect())
+
+
+def test_leagues_from_folders_batch_and_stream(spark, tmp_path):
+    boards = tmp_path / "boards"
+    _land(boards / "league=east", "2024-01-01", [("a", 30), ("b", 40)])
+    _land(boards / "league=east", "2024-01-02", [("a", 31), ("b", 20)])
+    _land(boards / "league=west", "2024-01-01", [("a", 50), ("z", 10)])
+    table = str(tmp_path / "table")
+    jobs.run_ingest(spark, str(boards), table, ["league"])
+    got = sorted((r.league, r.name, r.date.day, r.secs) for r in jobs.read_stored(spark, table, ["league"]).collect())
+    assert got == [("east", "a", 1, 30), ("east", "a", 2, 31), ("east", "b", 1, 40), ("east", "b", 2, 20),
+                   ("west", "a", 1, 50), ("west", "z", 1, 10)]
+    stream_table = str(tmp_path / "stream_table")
+    start_board_stream(spark, str(boards), stream_table, str(tmp_path / "ckpt"), ["league"]).awaitTermination()
+    assert sorted(tuple(r) for r in jobs.read_stored(spark, stream_table, ["league"]).collect()) == sorted(
+        tuple(r) for r in jobs.read_stored(spark, table, ["league"]).collect()
+    )
+    out = str(tmp_path / "daily")
+    jobs.run_daily(spark, table, out, None, dt.date(2024, 1, 1), ["league"])
+    texts = {r.league: r.text for r in spark.read.json(out).collect()}
+    assert texts["west"] == "*Monday, January 01*\nz: 0:10 :first_place_medal: \na: 0:50 :second_place_medal: \n"
