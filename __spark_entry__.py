@@ -16,7 +16,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from podium.functions import calendar as cal
 from podium.functions.timefmt import format_secs, format_secs_unpadded, parse_time, repair_time
 from podium.operators import ingest as ing
 from podium.operators import medians as med

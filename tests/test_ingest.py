@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from podium.operators import ingest as ing
 from podium.schemas import LEADERBOARD, RESULTS_RAW

@@ -4,7 +4,6 @@ import json
 from pyspark.sql import functions as F
 
 from podium.plans import jobs
-from podium.plans import reports as rp
 from podium.streaming.board_stream import start_board_stream
 
 

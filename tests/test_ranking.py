@@ -1,4 +1,3 @@
-import datetime as dt
 import random
 
 from hypothesis import given, settings
