@@ -1,4 +1,7 @@
-"""Skew probe: one league-day holding a third of all rows, ranked two ways.
+"""Skew probe: one league-day holding a third of all rows.
+
+Full day rank two ways (window vs histogram join), and top-3 per day with and
+without the partial ``WindowGroupLimit`` before the shuffle.
 
 Builds results from the driver's ``orders`` + ``customer`` (every order a player;
 every third order moved onto one hot day), then runs the full day rank as a
@@ -24,19 +27,23 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
-def _task_reads(log_dir: str) -> dict[int, list[int]]:
-    per_stage: dict[int, list[int]] = {}
+def _task_reads(log_dir: str, group: str) -> dict[int, list[int]]:
+    """Shuffle records read per task, per stage, for the jobs of one job group."""
+    events = []
     for f in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True):
-        if os.path.isdir(f):
-            continue
-        with open(f) as fh:
-            for line in fh:
-                ev = json.loads(line)
-                if ev.get("Event") != "SparkListenerTaskEnd":
-                    continue
-                m = ev.get("Task Metrics") or {}
-                recs = (m.get("Shuffle Read Metrics") or {}).get("Total Records Read", 0)
-                per_stage.setdefault(ev["Stage ID"], []).append(recs)
+        if not os.path.isdir(f):
+            with open(f) as fh:
+                events += [json.loads(line) for line in fh]
+    stages = set()
+    for ev in events:
+        if ev.get("Event") == "SparkListenerJobStart" and (ev.get("Properties") or {}).get("spark.jobGroup.id") == group:
+            stages |= set(ev.get("Stage IDs", []))
+    per_stage: dict[int, list[int]] = {}
+    for ev in events:
+        if ev.get("Event") == "SparkListenerTaskEnd" and ev["Stage ID"] in stages:
+            m = ev.get("Task Metrics") or {}
+            recs = (m.get("Shuffle Read Metrics") or {}).get("Total Records Read", 0)
+            per_stage.setdefault(ev["Stage ID"], []).append(recs)
     return per_stage
 
 
@@ -50,8 +57,10 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     scratch = tempfile.mkdtemp(prefix="podium-skew-")
     out = {}
-    for method in ("window", "histogram"):
-        log_dir = os.path.join(scratch, f"events-{method}")
+    runs = [("rank:window", {}), ("rank:histogram", {}),
+            ("top3:limit-before-shuffle", {}), ("top3:no-limit", {"spark.sql.optimizer.windowGroupLimitThreshold": "-1"})]
+    for method, extra in runs:
+        log_dir = os.path.join(scratch, f"events-{method.replace(':', '-')}")
         os.makedirs(log_dir)
         spark = (
             SparkSession.builder.master("local[8]")
@@ -70,8 +79,10 @@ def main(argv):
             .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
             .config("spark.sql.autoBroadcastJoinThreshold", "-1")
             .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-            .getOrCreate()
         )
+        for k, v in extra.items():
+            spark = spark.config(k, v)
+        spark = spark.getOrCreate()
         spark.sparkContext.setLogLevel("ERROR")
         o = spark.read.parquet(f"{sf_dir}/orders.parquet")
         c = spark.read.parquet(f"{sf_dir}/customer.parquet")
@@ -86,14 +97,18 @@ def main(argv):
             )
             .withColumn("time", format_secs("secs"))
         )
-        path = os.path.join(scratch, f"results-{method}")
+        path = os.path.join(scratch, f"results-{method.replace(':', '-')}")
         res.write.parquet(path)
         r = spark.read.parquet(path)
-        ranked = rk.day_rank(r, ["league"], method=method)
-        ranked.write.format("noop").mode("overwrite").save()
+        if method.startswith("rank:"):
+            out_df = rk.day_rank(r, ["league"], method=method.split(":")[1])
+        else:
+            out_df = rk.top_ranks(r, ["league"], 3)
+        spark.sparkContext.setJobGroup("measured", method)
+        out_df.write.format("noop").mode("overwrite").save()
         n = r.count()
         spark.stop()
-        stages = _task_reads(log_dir)
+        stages = _task_reads(log_dir, "measured")
         heavy = max(stages.values(), key=lambda v: max(v) if v else 0)
         out[method] = {
             "rows": n,
@@ -101,6 +116,7 @@ def main(argv):
             "heaviest_stage_max_task_records": max(heavy),
             "heaviest_stage_median_task_records": int(statistics.median(heavy)),
             "heaviest_stage_tasks": len(heavy),
+            "total_shuffle_records": sum(sum(v) for v in stages.values()),
         }
         print(json.dumps({"method": method, **out[method]}))
 
