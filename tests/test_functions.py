@@ -66,3 +66,10 @@ def test_period_range_wraps():
     assert cal.period_range(dt.date(2001, 8, 1), "year", -1) == (dt.date(2000, 1, 1), dt.date(2001, 1, 1))
     assert cal.period_range(dt.date(2001, 8, 1), "week") == (dt.date(2001, 7, 30), dt.date(2001, 8, 6))
     assert cal.period_range(dt.date(2001, 8, 1), "day", -1) == (dt.date(2001, 7, 31), dt.date(2001, 8, 1))
+
+
+def test_in_period_and_offsets(spark):
+    df = spark.createDataFrame([(dt.date(2001, 6, 30),), (dt.date(2001, 7, 1),), (dt.date(2001, 7, 31),), (dt.date(2001, 8, 1),)], "d date")
+    got = [r.d.isoformat() for r in df.where(cal.in_period("d", dt.date(2001, 8, 1), "month", -1)).collect()]
+    assert got == ["2001-07-01", "2001-07-31"]
+    assert cal.period_range(dt.date(2001, 8, 1), "week", -1) == (dt.date(2001, 7, 23), dt.date(2001, 7, 30))

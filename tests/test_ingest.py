@@ -103,3 +103,11 @@ def test_read_sheet_csv_declared_types(spark, tmp_path):
     assert [f.dataType.simpleString() for f in df.schema.fields] == ["timestamp_ntz", "string", "string", "date"]
     got = ing.canonical(ing.clean_stored(df)).collect()
     assert sorted((r.name, r.secs, r.time) for r in got) == [("a", 45, "0:45"), ("b", 65, "1:05")]
+
+
+def test_format_incoming_padded_and_not(spark):
+    flat = spark.createDataFrame([(D, "a", 65), (D, "b", 600)], "date date, name string, secs int")
+    padded = sorted(tuple(r) for r in ing.format_incoming(flat).collect())
+    unpadded = sorted(tuple(r) for r in ing.format_incoming(flat, padded=False).collect())
+    assert padded == [("a", "1:05", D), ("b", "10:00", D)]
+    assert unpadded == [("a", "1:5", D), ("b", "10:0", D)]
