@@ -27,6 +27,14 @@ from podium.sources import fixtures as fx
 LEAGUE = ["league"]
 
 
+def _sf(sf_dir: str):
+    tag = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    try:
+        return float(tag)
+    except ValueError:
+        return tag
+
+
 def _run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -77,7 +85,7 @@ def main() -> int:
         "value": round(sum(timings.values()), 3),
         "unit": "sec",
         "queries": timings,
-        "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+        "sf": _sf(sf_dir),
         "cpus": cpus,
         "repeat": repeat,
         "fixture_prep_sec": round(prep, 3),
