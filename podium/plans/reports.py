@@ -4,8 +4,9 @@ Tables are unbounded and stay distributed.  Text is assembled per message
 *part*: each section of a message (wins, fastest, medians, longest streak,
 daily standings) is cut into pages of at most ``page_size`` lines, and one row
 is produced per ``(by…, period, message, seq, page)``.  Concatenating the parts
-of a message in ``(seq, page)`` order gives the whole message text; no group
-ever concatenates more than ``page_size`` lines.
+of a message in ``(seq, page)`` order gives the whole message text — a sink
+sends them in that order; no group ever concatenates more than ``page_size``
+lines.
 """
 
 from __future__ import annotations
@@ -276,12 +277,6 @@ def period_message(
     return _parts(periods, grp, sections, lines, page_size)
 
 
-def message_text(parts: DataFrame, by: Sequence[str] | None = None, period_key: str = "period_start") -> DataFrame:
-    """Whole message text per message (report-sized outputs and tests only)."""
-    grp = keys(by, period_key, "message")
-    return parts.groupBy(*grp).agg(F.expr("listagg(text, '') WITHIN GROUP (ORDER BY seq, page)").alias("text"))
-
-
 def period_report_for(
     results: DataFrame, as_of: dt.date, by: Sequence[str] | None = None, period: str = "month", offset: int = -1
 ) -> DataFrame:

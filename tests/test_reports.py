@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from podium.plans import reports as rp
-from tests.conftest import results_df
+from tests.conftest import message_text, results_df
 
 
 def _day_rows():
@@ -17,7 +17,7 @@ def _day_rows():
 
 def test_daily_message_text(spark):
     r = results_df(spark, _day_rows())
-    text = {x.date.day: x.text for x in rp.message_text(rp.daily_message(r), period_key="date").collect()}
+    text = {x.date.day: x.text for x in message_text(rp.daily_message(r), period_key="date")}
     assert text[3] == (
         "*Wednesday, January 03*\n"
         "a: 0:30 :first_place_medal: (3-day streak)\n"
@@ -52,7 +52,7 @@ def test_paging_keeps_all_lines(spark):
 
 def test_month_report_layout(spark):
     rows = _day_rows()
-    text = rp.message_text(rp.period_message(results_df(spark, rows), None, "month")).collect()[0].text
+    text = message_text(rp.period_message(results_df(spark, rows), None, "month"))[0].text
     assert text.startswith("*January results*\n\n*Wins*\na: 4 :crown:\nb: 1 \n\n*Fastest times*\n")
     assert "\n*Median times*\na: 0:30\nb: 0:45\nc: 1:10\nd: 1:30\n" in text
     assert text.endswith("\n*Longest streak*\na: 4, ending on Thu, Jan 04\n")
@@ -60,19 +60,19 @@ def test_month_report_layout(spark):
 
 def test_month_without_long_streak_ends_blank(spark):
     rows = [("a", "2024-01-01", 10), ("b", "2024-01-02", 10)]
-    text = rp.message_text(rp.period_message(results_df(spark, rows), None, "month")).collect()[0].text
+    text = message_text(rp.period_message(results_df(spark, rows), None, "month"))[0].text
     assert text.endswith("*Median times*\na: 0:10\nb: 0:10\n\n")
 
 
 def test_year_report_three_messages(spark):
-    msgs = {x.message: x.text for x in rp.message_text(rp.period_message(results_df(spark, _day_rows()), None, "year")).collect()}
+    msgs = {x.message: x.text for x in message_text(rp.period_message(results_df(spark, _day_rows()), None, "year"))}
     assert msgs[1].startswith("*2024 results*\n\n*Wins*\n")
     assert msgs[2].startswith("*Median times*\n")
     assert msgs[3].startswith("*Fastest times*\n") and "\n*Longest streak*\n" in msgs[3]
 
 
 def test_week_report(spark):
-    text = rp.message_text(rp.weekly_message(results_df(spark, _day_rows()))).collect()[0].text
+    text = message_text(rp.weekly_message(results_df(spark, _day_rows())))[0].text
     assert text.startswith("*Week 1 wins*\na: :first_place_medal::first_place_medal::first_place_medal::first_place_medal:\n")
 
 
