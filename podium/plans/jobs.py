@@ -82,24 +82,40 @@ def compact_days(
     column) and replaces only those days of the canonical table (dynamic
     partition overwrite of a different path), so a rerun gives the same table.
     """
-    d = days.select("date").distinct()
-    rows = read_stored(spark, table_path, by).join(d, "date", "left_semi")
+    rows = _on_days(read_stored(spark, table_path, by), days.select("date"), None)
     canon = ing.canonical(rows, by).select(*keys(by, "name"), "secs", "time", "date")
     overwrite_partitions(canon, canonical_path, by)
 
 
+MAX_PRUNE_DAYS = 50_000
+
+
+def _on_days(stored: DataFrame, rows: DataFrame, by: Sequence[str] | None) -> DataFrame:
+    """Restrict stored rows to the days present in ``rows``.
+
+    The distinct dates of a batch are bounded by the calendar (at most 366 per
+    year covered), not by the data, so they are fetched and applied as an
+    ``IN`` filter on the partition column: only those partitions are read and
+    no join (which would gather a busy day into one task) is needed.  A
+    backfill spanning more days than ``MAX_PRUNE_DAYS`` uses a semi-join.
+    """
+    dates = rows.select("date").distinct().limit(MAX_PRUNE_DAYS + 1).collect()
+    if len(dates) <= MAX_PRUNE_DAYS:
+        return stored.where(F.col("date").isin([r.date for r in dates if r.date is not None]))
+    return null_safe_join(stored, rows.select(*keys(by, "date")).distinct(), keys(by, "date"), "left_semi")
+
+
 def append_new_rows(rows: DataFrame, table_path: str, by: Sequence[str] | None = None) -> None:
     """Append ``(by…, name, date, secs)`` rows the table does not hold yet.
 
-    The stored side is first restricted to the days present in ``rows`` (a
-    semi-join on the partition column, so only those partitions are read).
+    The stored side is first restricted to the days present in ``rows`` (see
+    :func:`_on_days`: only those partitions are read).
     """
     spark = rows.sparkSession
     rows = rows.select(*keys(by, "name"), format_secs("secs").alias("time"), F.col("secs").cast("int").alias("secs"), "date")
     # the same board polled twice in one batch gives the same rows twice
     rows = rows.dropDuplicates(keys(by, "name", "date", "secs"))
-    days = rows.select(*keys(by, "date")).distinct()
-    stored = null_safe_join(read_stored(spark, table_path, by), days, keys(by, "date"), "left_semi")
+    stored = _on_days(read_stored(spark, table_path, by), rows, by)
     append_results(ing.new_rows(rows, stored, by), table_path, by)
 
 

@@ -181,3 +181,13 @@ def test_leagues_from_folders_batch_and_stream(spark, tmp_path):
     jobs.run_daily(spark, table, out, None, dt.date(2024, 1, 1), ["league"])
     texts = {r.league: r.text for r in spark.read.json(out).collect()}
     assert texts["west"] == "*Monday, January 01*\nz: 0:10 :first_place_medal: \na: 0:50 :second_place_medal: \n"
+
+
+def test_stored_side_pruned_to_batch_days(spark, tmp_path):
+    boards, table = _boards(tmp_path), str(tmp_path / "table")
+    jobs.run_ingest(spark, str(boards), table)
+    batch = spark.createDataFrame([("a", 20, dt.date(2024, 1, 3))], "name string, secs int, date date")
+    pruned = jobs._on_days(jobs.read_stored(spark, table), batch, None)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "2024-01-03" in plan and "Join" not in plan
+    assert {r.date.day for r in pruned.collect()} == {3}
