@@ -228,6 +228,26 @@ def read_streaks(spark: SparkSession, streak_path: str, by: Sequence[str] | None
     return _read_or_empty(spark, f"{streak_path}/{marker[0].generation}", _streak_schema(by))
 
 
+def update_marker(spark: SparkSession, posted: DataFrame, marker_path: str, by: Sequence[str] | None = None) -> None:
+    """Raise each league's last posted day to the newest day in ``posted``; other leagues keep theirs.
+
+    The merged marker is checkpointed before the old one is replaced, so the
+    write never reads the files it overwrites.
+    """
+    from podium.session import checkpoint_dir
+
+    checkpoint_dir(spark)
+    schema = T.StructType([*[T.StructField(k, T.StringType(), True) for k in (by or [])], T.StructField("latest_date", T.DateType(), True)])
+    old = _read_or_empty(spark, marker_path, schema)
+    merged = (
+        old.unionByName(ing.progress_marker(posted, by))
+        .groupBy(*keys(by))
+        .agg(F.max("latest_date").alias("latest_date"))
+        .checkpoint(eager=True)
+    )
+    write_marker(merged, marker_path)
+
+
 def _kind_messages(parts: DataFrame, kind: str, key: str) -> DataFrame:
     """Tag message parts with their kind and the upload title the reference uses."""
     from podium.functions.calendar import period_label
@@ -270,8 +290,7 @@ def run_daily(
     streak_rows = update_streaks(spark, results, streak_path, as_of, by) if streak_path else None
     write_messages(_kind_messages(daily_report_for(results, as_of, by, streak_rows), "daily", "date"), messages_path)
     if marker_path:
-        marker = ing.progress_marker(results.where(F.col("date") == F.lit(as_of)), by)
-        write_marker(marker, marker_path)
+        update_marker(spark, results.where(F.col("date") == F.lit(as_of)), marker_path, by)
 
 
 def period_report_for(

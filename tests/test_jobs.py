@@ -191,3 +191,16 @@ def test_stored_side_pruned_to_batch_days(spark, tmp_path):
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan and "2024-01-03" in plan and "Join" not in plan
     assert {r.date.day for r in pruned.collect()} == {3}
+
+
+def test_marker_keeps_other_leagues(spark, tmp_path):
+    boards = tmp_path / "boards"
+    _land(boards / "league=east", "2024-01-01", [("a", 30)])
+    _land(boards / "league=east", "2024-01-02", [("a", 31)])
+    _land(boards / "league=west", "2024-01-01", [("z", 10)])
+    table, marker = str(tmp_path / "table"), str(tmp_path / "marker")
+    jobs.run_ingest(spark, str(boards), table, ["league"])
+    jobs.run_daily(spark, table, str(tmp_path / "d1"), marker, dt.date(2024, 1, 1), ["league"])
+    jobs.run_daily(spark, table, str(tmp_path / "d2"), marker, dt.date(2024, 1, 2), ["league"])
+    got = {r.league: r.latest_date.day for r in spark.read.parquet(marker).collect()}
+    assert got == {"east": 2, "west": 1}
