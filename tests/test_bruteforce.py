@@ -107,3 +107,30 @@ def test_streaks_from_late_day_equals_full(spark, winners, cut):
     carried = st.streaks(r).where(f"date = date'{(start - dt.timedelta(days=1)).isoformat()}'")
     redo = {(x.name, x.date): x.streak for x in st.streaks_from(r, carried, start).collect()}
     assert redo == {k: v for k, v in full.items() if k[1] >= start}
+
+
+@settings(max_examples=6, deadline=None)
+@given(rows_strategy)
+def test_week_message_matches_brute_force(spark, rows):
+    r = results_df(spark, [(n, (DAY0 + dt.timedelta(days=d)).isoformat(), s) for n, d, s in rows])
+    got = {m.period_start: m.text for m in message_text(rp.weekly_message(r))}
+    medals = {1: ":first_place_medal:", 2: ":second_place_medal:", 3: ":third_place_medal:"}
+    by_day = {}
+    for n, d, s in rows:
+        by_day.setdefault(DAY0 + dt.timedelta(days=d), []).append((n, s))
+    weeks = {}
+    for day, rs in by_day.items():
+        week = day - dt.timedelta(days=day.weekday())
+        counts = weeks.setdefault(week, {})
+        for n, s in rs:
+            rank = 1 + sum(1 for _, t in rs if t < s)
+            if rank <= 3:
+                counts.setdefault(n, {1: 0, 2: 0, 3: 0})[rank] += 1
+    want = {}
+    for week, counts in weeks.items():
+        def key(item):  # golds, silvers, bronzes descending, none last, then name
+            n, c = item
+            return tuple(-c[k] if c[k] else 1 for k in (1, 2, 3)) + (n,)
+        lines = "".join(f"{n}: {''.join(medals[k] * c[k] for k in (1, 2, 3))}\n" for n, c in sorted(counts.items(), key=key))
+        want[week] = f"*Week {week.isocalendar()[1]} wins*\n" + lines
+    assert got == want
