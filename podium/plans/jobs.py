@@ -78,9 +78,10 @@ def compact_days(
 ) -> None:
     """Rewrite the canonical table's partitions for ``days`` (a ``date`` column) from the stored rows.
 
-    Reads only those days of the stored table (semi-join on the partition
-    column) and replaces only those days of the canonical table (dynamic
-    partition overwrite of a different path), so a rerun gives the same table.
+    Reads only those days of the stored table (a partition filter, see
+    :func:`_on_days`) and replaces only those days of the canonical table
+    (dynamic partition overwrite of a different path), so a rerun gives the
+    same table.
     """
     rows = _on_days(read_stored(spark, table_path, by), days.select("date"), None)
     canon = ing.canonical(rows, by).select(*keys(by, "name"), "secs", "time", "date")
