@@ -11,6 +11,11 @@ oracle does it that way, independently of the Spark formulation.
 from __future__ import annotations
 
 import datetime as dt
+import os
+import sys
+
+# importable when loaded by file path from another working directory
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession

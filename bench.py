@@ -12,6 +12,11 @@ from __future__ import annotations
 
 import json
 import os
+import sys
+
+# importable when loaded by file path from another working directory
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+import os
 import statistics
 import sys
 import time
