@@ -22,7 +22,7 @@ from podium.functions.calendar import date_text_long, period_col, period_label
 from podium.functions.texts import fill
 from podium.operators import medians, ranking
 from podium.operators import streaks as st
-from podium.util import keys, null_safe_join, partition_keys
+from podium.util import checked_broadcast, keys, null_safe_join, partition_keys
 
 PAGE_SIZE = 50
 
@@ -75,20 +75,23 @@ def _tie_window(df: DataFrame, by) -> Window:
     return Window.partitionBy(*part).orderBy("name")
 
 
-def _ranked_day(results: DataFrame, by, streak_table: DataFrame | None) -> DataFrame:
+def _ranked_day(results: DataFrame, by, streak_table: DataFrame | None, checked: bool = False) -> DataFrame:
     """Ranked results with a unique line position and the day extras.
 
     ``pos = rank + place among equal times by name``: the window covers one
     (day, time) and is keyed like the rank join, so it runs on the rank join's
     partitioning before the extras join re-keys the rows by name.
     """
-    r = ranking.day_rank(results, by)
+    r = ranking.day_rank(results, by, checked=checked)
     r = r.withColumn("pos", (F.col("rnk") + F.row_number().over(_tie_window(r, by)) - 1).cast("bigint"))
-    return null_safe_join(r, _day_extras(results, by, streak_table), keys(by, "date", "name"), "left")
+    extras = _day_extras(results, by, streak_table)
+    if checked:
+        extras = checked_broadcast(extras)
+    return null_safe_join(r, extras, keys(by, "date", "name"), "left")
 
 
-def _standings(results: DataFrame, by, streak_table: DataFrame | None) -> DataFrame:
-    x = _ranked_day(results, by, streak_table)
+def _standings(results: DataFrame, by, streak_table: DataFrame | None, checked: bool = False) -> DataFrame:
+    x = _ranked_day(results, by, streak_table, checked)
     shown = tx.STREAK_SHOWN_FROM
     streak_text = F.when(
         (F.col("rnk") == 1) & (F.col("streak") >= shown), fill(tx.STREAK_NOTE, n="streak")
@@ -120,22 +123,29 @@ def _standings(results: DataFrame, by, streak_table: DataFrame | None) -> DataFr
     )
 
 
-def daily_standings(results: DataFrame, by: Sequence[str] | None = None, streak_table: DataFrame | None = None) -> DataFrame:
+def daily_standings(
+    results: DataFrame, by: Sequence[str] | None = None, streak_table: DataFrame | None = None, checked: bool = False
+) -> DataFrame:
     """One line per player and day: ``name: time medal (N-day streak)(N-day streak broken)``.
 
     Lines of a day are ordered by ``(secs, name)``; ``rnk`` is the competition rank.
+    ``checked=True`` measures the two small sides (rank histogram, day extras)
+    and broadcasts each only if it fits (:func:`podium.util.checked_broadcast`),
+    so the results need not be shuffled for them.
     """
-    return _standings(results, by, streak_table).drop("pos")
+    return _standings(results, by, streak_table, checked).drop("pos")
 
 
-def daily_plot_data(results: DataFrame, by: Sequence[str] | None = None, streak_table: DataFrame | None = None) -> DataFrame:
+def daily_plot_data(
+    results: DataFrame, by: Sequence[str] | None = None, streak_table: DataFrame | None = None, checked: bool = False
+) -> DataFrame:
     """The table behind the daily lollipop chart; ``name_order`` 1 is the slowest (bottom).
 
     ``name_order = players - (rank + earlier names at the same time) + 1``; the
     tie position is a window over ``(by…, date, secs)``, so a busy day is spread
     over its distinct times rather than sorted in one task.
     """
-    x = _ranked_day(results, by, streak_table)
+    x = _ranked_day(results, by, streak_table, checked)
     n = ranking.participants(results, by)
     x = null_safe_join(x, n, keys(by, "date"), "left")
     streak_text = F.when((F.col("rnk") == 1) & (F.col("streak") >= tx.STREAK_SHOWN_FROM), fill(tx.PLOT_STREAK_NOTE, n="streak"))
@@ -221,11 +231,15 @@ def _lines(df: DataFrame, grp: list[str], section: str, pos: str = "pos", o1: st
 
 
 def daily_message(
-    results: DataFrame, by: Sequence[str] | None = None, page_size: int = PAGE_SIZE, streak_table: DataFrame | None = None
+    results: DataFrame,
+    by: Sequence[str] | None = None,
+    page_size: int = PAGE_SIZE,
+    streak_table: DataFrame | None = None,
+    checked: bool = False,
 ) -> DataFrame:
     """``*Weekday, Month dd*`` and one standings line per player, per day (unique line positions)."""
     grp = keys(by, "date")
-    s = _standings(results, by, streak_table)
+    s = _standings(results, by, streak_table, checked)
     days = results.select(*grp).distinct()
     sections = [(1, 1, "standings", fill(tx.DAILY_HEADER, day=date_text_long("date")), True)]
     return _parts(days, grp, sections, _lines(s, grp, "standings"), page_size)

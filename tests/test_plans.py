@@ -82,3 +82,11 @@ def test_tie_window_reuses_rank_join_shuffle(spark):
     i = next(i for i, l in enumerate(lines) if "Window [row_number()" in l)
     below = " ".join(lines[i + 1 : i + 4])
     assert "SortMergeJoin" in below and "Exchange" not in below
+
+
+def test_checked_daily_same_rows_and_broadcast(spark):
+    r = fx.league_results(spark, SF)
+    want = sorted(tuple(x) for x in rp.daily_standings(r, ["league"]).collect())
+    checked = rp.daily_standings(r, ["league"], checked=True)
+    assert sorted(tuple(x) for x in checked.collect()) == want
+    assert _plan(checked).count("BroadcastHashJoin") >= 2
