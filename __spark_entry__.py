@@ -197,6 +197,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[f"longest_streak_{p}"] = _res(lambda r, by, p=p: st.longest_streak(r, by, p, 3))
     q["period_wins_month_league"] = _res(lambda r, by: rk.period_wins(r, by, "month"), league=True)
     q["daily_message_league"] = _res(rp.daily_message, league=True)
+    q["participants_league"] = _res(rk.participants, league=True)
+    q["publish_guard_league"] = _res(lambda r, by: rp.publish_guard(r, by, "month"), league=True)
+    q["results_with_streaks_league"] = _res(st.results_with_streaks, league=True)
+    q["period_wins_year_league"] = _res(lambda r, by: rk.period_wins(r, by, "year"), league=True)
+    q["median_times_year_league"] = _res(lambda r, by: med.median_times(r, by, "year"), league=True)
+    q["report_text_year_league"] = _res(lambda r, by: rp.period_message(r, by, "year"), league=True)
     for p in ("week", "year"):
         q[f"time_points_{p}"] = _res(lambda r, by, p=p: med.time_points(r, by, p))
         q[f"minutes_extent_{p}"] = _res(lambda r, by, p=p: med.minutes_extent(r, by, p))
@@ -555,6 +561,18 @@ left join no on no.period_start = p.period_start and no.name = p.name"""
         key="date",
         by="league",
     )
+    o["participants_league"] = _with(LEAGUE_RESULTS) + "select league, date, count(*) as players from results group by all"
+    o["publish_guard_league"] = (
+        _with(LEAGUE_RESULTS)
+        + f"select league, {_trunc('month')} as period_start, count(*) as rows, max(date) as latest_date from results group by all"
+    )
+    o["results_with_streaks_league"] = _with(LEAGUE_RESULTS, *_streaks_cte("league")) + """select r.league, r.name, r.date, r.secs, r.time, s.streak
+from results r left join streaks s on s.league = r.league and s.name = r.name and s.date = r.date"""
+    o["period_wins_year_league"] = _with(LEAGUE_RESULTS, _ranked("league, date"), _wins_cte("year", "league")) + (
+        "select league, period_start, name, n, rnk, pos, case when rnk = 1 then ':crown:' else '' end as mark from wins"
+    )
+    o["median_times_year_league"] = _with(LEAGUE_RESULTS, _median_cte("year", "league")) + "select * from med"
+    o["report_text_year_league"] = _league_report_sql("year")
     o["rank_distribution_league"] = (
         _with(LEAGUE_RESULTS, _ranked("league, date"))
         + f"select league, {_trunc('year')} as period_start, name, rnk, count(*) as n from ranked group by all"
@@ -664,7 +682,11 @@ def _league_report_sql(p: str) -> str:
   union all select league, period_start, 'medians', pos, null, null, line from med
   union all select league, period_start, 'streak', pos, null, null, line from longest
 )"""
-    spec = "(1, 1, 'wins', true), (1, 2, 'fastest', true), (1, 3, 'medians', true), (1, 4, 'streak', false)"
+    spec = (
+        "(1, 1, 'wins', true), (2, 1, 'medians', true), (3, 1, 'fastest', true), (3, 2, 'streak', false)"
+        if p == "year"
+        else "(1, 1, 'wins', true), (1, 2, 'fastest', true), (1, 3, 'medians', true), (1, 4, 'streak', false)"
+    )
     heads = (
         f"case s.section when 'wins' then concat('*', {_label(p, 'p.period_start')}, ' results*', {NL}, {NL}, '*Wins*', {NL})"
         f" when 'fastest' then concat('*Fastest times*', {NL}) when 'medians' then concat('*Median times*', {NL})"
