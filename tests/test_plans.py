@@ -23,6 +23,9 @@ def test_no_cartesian_or_single_partition(spark, name):
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
     assert "SinglePartition" not in plan
+    # all work stays in the JVM: no Python UDF / pandas evaluation anywhere
+    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
+        assert node not in plan
 
 
 def test_top_ranks_limit_before_shuffle(spark):
