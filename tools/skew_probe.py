@@ -52,13 +52,17 @@ def main(argv):
     from pyspark.sql import functions as F
 
     from podium.functions.timefmt import format_secs
+    from pyspark.sql import Window
+
+    from podium.operators import medians as med
     from podium.operators import ranking as rk
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     scratch = tempfile.mkdtemp(prefix="podium-skew-")
     out = {}
     runs = [("rank:window", {}), ("rank:histogram", {}),
-            ("top3:limit-before-shuffle", {}), ("top3:no-limit", {"spark.sql.optimizer.windowGroupLimitThreshold": "-1"})]
+            ("top3:limit-before-shuffle", {}), ("top3:no-limit", {"spark.sql.optimizer.windowGroupLimitThreshold": "-1"}),
+            ("median:aggregate", {}), ("median:window", {})]
     for method, extra in runs:
         log_dir = os.path.join(scratch, f"events-{method.replace(':', '-')}")
         os.makedirs(log_dir)
@@ -87,12 +91,20 @@ def main(argv):
         o = spark.read.parquet(f"{sf_dir}/orders.parquet")
         c = spark.read.parquet(f"{sf_dir}/customer.parquet")
         hot = F.pmod(F.col("o_orderkey"), F.lit(3)) == 0
+        if method.startswith("median:"):
+            # one player with a third of all rows, all in one month (a single hot median group)
+            hot_day = F.make_date(F.lit(1998), F.lit(1), (F.pmod(F.col("o_orderkey"), F.lit(28)) + 1).cast("int"))
+            name = F.when(hot, F.lit("hot")).otherwise(F.concat(F.lit("p"), F.col("o_orderkey").cast("string")))
+            date = F.when(hot, hot_day).otherwise(F.col("o_orderdate").cast("date"))
+        else:
+            name = F.concat(F.lit("p"), F.col("o_orderkey").cast("string"))
+            date = F.when(hot, F.lit("1998-01-01").cast("date")).otherwise(F.col("o_orderdate").cast("date"))
         res = (
             o.join(c, o.o_custkey == c.c_custkey)
             .select(
                 F.when(hot, F.lit("HOT")).otherwise(F.col("c_mktsegment")).alias("league"),
-                F.concat(F.lit("p"), F.col("o_orderkey").cast("string")).alias("name"),
-                F.when(hot, F.lit("1998-01-01").cast("date")).otherwise(F.col("o_orderdate").cast("date")).alias("date"),
+                name.alias("name"),
+                date.alias("date"),
                 (F.lit(20) + F.floor(F.col("o_totalprice") / F.lit(1000))).cast("int").alias("secs"),
             )
             .withColumn("time", format_secs("secs"))
@@ -102,6 +114,16 @@ def main(argv):
         r = spark.read.parquet(path)
         if method.startswith("rank:"):
             out_df = rk.day_rank(r, ["league"], method=method.split(":")[1])
+        elif method == "median:aggregate":
+            out_df = med.median_times(r, ["league"], "month")
+        elif method == "median:window":
+            # the exact median by sorting each player's rows (what a window-based median does)
+            g = ["league", "m", "name"]
+            x = r.withColumn("m", F.trunc("date", "month"))
+            w = Window.partitionBy(*g).orderBy("secs")
+            x = x.withColumn("i", F.row_number().over(w)).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*g)))
+            mid = (F.col("i") == F.floor((F.col("n") + 1) / 2)) | (F.col("i") == F.floor(F.col("n") / 2) + 1)
+            out_df = x.where(mid).groupBy(*g).agg(F.avg("secs").alias("median"))
         else:
             out_df = rk.top_ranks(r, ["league"], 3)
         spark.sparkContext.setJobGroup("measured", method)
