@@ -138,6 +138,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "format_time": _format(format_secs),
         "format_time_unpadded": _format(format_secs_unpadded),
         "repair_time": _repair,
+        "time_rejects": lambda s, d: ing.rejects(fx.sheet(s, d)),
         "dedupe_keep_first": lambda s, d: _stored(s, d),
         "flatten_board": _flatten,
         "pair_positional": _positional,
@@ -464,6 +465,8 @@ def oracle_sql() -> dict[str, str]:
         _with(BOARD_FLAT) + f"select date, name, secs, {_fmt_unpadded('secs')} as time from board_flat where secs is not null"
     )
     o["repair_time"] = _with(SHEET, REPAIRED) + "select * from repaired"
+    o["time_rejects"] = _with(SHEET) + f"""select submitted_at, name, time, date, {_parse('time')} as secs from sheet
+where name is null or date is null or {_parse('time')} is null"""
     o["dedupe_keep_first"] = _with(SHEET, REPAIRED, STORED) + "select * from stored"
     o["flatten_board"] = _with(BOARD_FLAT) + "select date, name, secs from board_flat where secs is not null"
     o["new_rows"] = _with(SHEET, REPAIRED, STORED, INCOMING, NEW_ROWS) + "select * from new_rows"
