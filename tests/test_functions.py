@@ -20,6 +20,8 @@ def test_parse_time_cases(spark):
         "": None,
         None: None,
         "99999999999:00": None,  # overflow -> null, never an error
+        " 1:05 ": 65,  # surrounding spaces from a sheet export
+        "1:05:00": None,
     }
     df = spark.createDataFrame([(k,) for k in cases], "t string")
     got = {r.t: r.s for r in df.select("t", parse_time("t").alias("s")).collect()}
