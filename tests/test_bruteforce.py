@@ -134,3 +134,30 @@ def test_week_message_matches_brute_force(spark, rows):
         lines = "".join(f"{n}: {''.join(medals[k] * c[k] for k in (1, 2, 3))}\n" for n, c in sorted(counts.items(), key=key))
         want[week] = f"*Week {week.isocalendar()[1]} wins*\n" + lines
     assert got == want
+
+
+@settings(max_examples=5, deadline=None)
+@given(rows_strategy)
+def test_year_fastest_and_streak_message_matches_brute_force(spark, rows):
+    r = results_df(spark, [(n, (DAY0 + dt.timedelta(days=d)).isoformat(), s) for n, d, s in rows])
+    got = {(m.period_start, m.message): m.text for m in message_text(rp.period_message(r, None, "year"))}
+    by_day = {}
+    for n, d, s in rows:
+        by_day.setdefault(DAY0 + dt.timedelta(days=d), []).append((n, s))
+    streak = {}
+    for day in sorted(by_day):
+        best = min(s for _, s in by_day[day])
+        for n in sorted(n for n, s in by_day[day] if s == best):
+            streak[(n, day)] = streak.get((n, day - dt.timedelta(days=1)), 0) + 1
+    for year in {day.year for day in by_day}:
+        ys = dt.date(year, 1, 1)
+        rs = sorted(((s, day, n) for day, v in by_day.items() if day.year == year for n, s in v))[:3]
+        fast = "".join(f"{_fmt(s)} by {n} on {day:%a, %b %d}\n" for s, day, n in rs)
+        ss = {k: v for k, v in streak.items() if k[1].year == year}
+        top = max(ss.values())
+        tail = ""
+        if top >= 3:
+            tail = "*Longest streak*\n" + "".join(
+                f"{n}: {v}, ending on {day:%a, %b %d}\n" for (n, day), v in sorted(ss.items(), key=lambda x: (x[0][1], x[0][0])) if v == top
+            )
+        assert got[(ys, 3)] == "*Fastest times*\n" + fast + "\n" + tail
