@@ -32,6 +32,11 @@ from podium.sources import fixtures as fx
 from podium.sources.tables import parse_board_text
 from podium.streaming import board_stream
 
+try:  # the corpus operators are an optional subpackage
+    from podium.llm import queries as corpus
+except ImportError:
+    corpus = None
+
 AS_OF = dt.date(2001, 8, 1)
 LEAGUE = ["league"]
 
@@ -214,6 +219,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["longest_streak_month_league"] = _res(lambda r, by: st.longest_streak(r, by, "month", 3), league=True)
     q["weekday_medians_league"] = _res(lambda r, by: med.weekday_medians(r, by, "year"), league=True)
     q["median_times_month_league"] = _res(lambda r, by: med.median_times(r, by, "month"), league=True)
+    if corpus is not None:
+        q.update(corpus.QUERIES)
     return q
 
 
@@ -650,6 +657,8 @@ from (select r.date, r.name, r.secs,
         "select league, period_start, name, n, rnk, pos, case when rnk = 1 then ':crown:' else '' end as mark from wins"
     )
     o["median_times_month_league"] = _with(LEAGUE_RESULTS, _median_cte("month", "league")) + "select * from med"
+    if corpus is not None:
+        o.update(corpus.ORACLE_SQL)
     return o
 
 
