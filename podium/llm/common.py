@@ -7,6 +7,9 @@ executor costs a re-read, never a recomputation of another stage.
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,11 +64,15 @@ def in_order(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     given in ``order`` should end in something unique, so that one hot leading
     key is cut into many ranges.
     """
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    placed = in_order_by(df, order).withColumn("_at", F.monotonically_increasing_id())
     placed = placed.withColumn("_part", F.shiftright("_at", 33)).withColumn("_row", F.col("_at").bitwiseAND((1 << 33) - 1))
     return staged(placed.drop("_at"), name)
 
 
+def in_order_by(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def part_offsets(sums: dict[int, int]) -> dict[int, int]:
     """The running total before each part; ``sums`` has one number per part (bounded by the number of partitions)."""
     out, total = {}, 0
@@ -92,3 +99,23 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], spread: Co
     r = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     l = left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     return l.join(r, [*on, "_salt"], how).drop("_salt")
+
+
+_SHIPPED: set[str] = set()
+
+
+def mapped(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow`` after this package was sent to the executors (once per application)."""
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        path = os.path.join(tempfile.mkdtemp(), "corpus_operators.zip")  # the driver serves it from here
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for folder, _, names in os.walk(root):
+                for name in names:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.relpath(full, os.path.dirname(root)))
+        sc.addPyFile(path)
+        _SHIPPED.add(sc.applicationId)
+    return df.mapInArrow(function, schema)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from podium.llm import chat_format, mixing, quality_rules, url_filters
+from podium.llm import chat_format, jaccard_join, mixing, quality_rules, token_store, url_filters, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_token_store": token_store.op2_token_store,
     "op3_chat_format": chat_format.op3_chat_format,
+    "op4_warc": warc.op4_warc,
+    "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_url_filters": url_filters.op6_url_filters,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
@@ -14,5 +17,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_mixing": mixing.ORACLE,
     "op3_chat_format": chat_format.ORACLE,
+    "op4_warc": warc.ORACLE,
+    "op5_jaccard_join": jaccard_join.ORACLE,
     "op6_url_filters": url_filters.ORACLE,
 }
