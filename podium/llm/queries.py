@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from podium.llm import chat_format, jaccard_join, license_scan, line_dedup, mixing, quality_rules, token_store, url_filters, warc
+from podium.llm import chat_format, decontaminate, jaccard_join, license_scan, line_dedup, mixing, quality_rules, token_store, url_filters, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_url_filters": url_filters.op6_url_filters,
     "op7_license_scan": license_scan.op7_license_scan,
+    "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
