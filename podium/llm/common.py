@@ -11,6 +11,7 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,9 +28,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: while a list stands here, :func:`staged` notes its paths in it
+_noted: list[str] | None = None
+
+
+@contextmanager
+def noting(paths: list[str]):
+    """Note the paths staged inside the block, for a caller that knows when they are spent."""
+    global _noted
+    outer, _noted = _noted, paths
+    try:
+        yield paths
+    finally:
+        _noted = outer
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back (cuts the lineage)."""
     path = scratch_path(df.sparkSession, name)
+    if _noted is not None:
+        _noted.append(path)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._staged_path = path
