@@ -32,7 +32,8 @@ from podium.sources import fixtures as fx
 from podium.sources.tables import parse_board_text
 from podium.streaming import board_stream
 
-try:  # the corpus operators are an optional subpackage
+try:  # the corpus operators and their pipeline are optional
+    import corpus_pipeline
     from podium.llm import queries as corpus
 except ImportError:
     corpus = None
@@ -221,6 +222,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["median_times_month_league"] = _res(lambda r, by: med.median_times(r, by, "month"), league=True)
     if corpus is not None:
         q.update(corpus.QUERIES)
+        q["pipeline"] = corpus_pipeline.run
     return q
 
 
@@ -659,6 +661,8 @@ from (select r.date, r.name, r.secs,
     o["median_times_month_league"] = _with(LEAGUE_RESULTS, _median_cte("month", "league")) + "select * from med"
     if corpus is not None:
         o.update(corpus.ORACLE_SQL)
+        if corpus_pipeline.ORACLE_SQL:
+            o["pipeline"] = corpus_pipeline.ORACLE_SQL
     return o
 
 
