@@ -7,6 +7,7 @@ executor costs a re-read, never a recomputation of another stage.
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -49,6 +50,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     if _noted is not None:
         _noted.append(path)
     df.write.parquet(path)
+    # the driver drops shuffle files only when it collects the plans that refer to them
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._staged_path = path
     return out

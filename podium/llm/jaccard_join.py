@@ -328,9 +328,13 @@ def join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFram
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = staged(signatures(docs, k, num, den), "signed")
     known = signed.where("n > 0").groupBy("node", "n").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"))
-    classes = staged(known, "classes")
+    keyed = staged(known, "keyed")
+    marks = staged(signed.select("doc_id", "n", "node"), "marks")
+    unstage(signed)
+    lists = staged(_shared(_postings(keyed.where("rep IS NOT NULL")), num, den), "lists")
+    classes = staged(keyed.select("node", "rep"), "classes")
+    unstage(keyed)
     usable = classes.where("rep IS NOT NULL")
-    lists = staged(_shared(_postings(usable), num, den), "lists")
     star = verified(docs, usable, lists.where("center != node").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct(), k, num, den)
     first = staged(components(star), "contracted")
     labelled = lists.select("key", "n", "node").join(first, "node", "left").select("key", "n", "node", F.coalesce("component", "node").alias("label"))
@@ -342,7 +346,7 @@ def join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFram
     named = classes.select("node", "rep").join(whole, "node", "left").join(names, "component", "left")
     final = staged(named.select("node", F.coalesce("least", "rep").alias("named")), "named")
     unstage(lists, star, first, several, more, whole, classes)
-    out = salted_join(signed.select("doc_id", "n", "node"), final, ["node"], F.coalesce("doc_id", F.lit(0)))
+    out = salted_join(marks, final, ["node"], F.coalesce("doc_id", F.lit(0)))
     own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("named"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
