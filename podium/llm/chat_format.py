@@ -63,9 +63,9 @@ def fold(events: DataFrame) -> DataFrame:
     e = events.select(
         "conv_id", "msg",
         F.struct(
-            F.coalesce(F.col("seq").cast("long"), F.lit((1 << 63) - 1)).alias("seq"),
+            F.coalesce(F.col("seq").cast("long"), F.lit(1 << 62)).alias("seq"),
             F.coalesce("role", F.lit("")).alias("role"),
-            F.coalesce("text", F.lit("")).alias("text"),
+            F.when(F.col("kind") == "regenerate", "").otherwise(F.coalesce("text", F.lit(""))).alias("text"),
             "kind",
         ).alias("e"),
     )
