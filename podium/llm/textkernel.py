@@ -68,15 +68,17 @@ class Words:
         return mix64(h[at] + np.uint64(k)), at
 
 
-def hash_words(data: np.ndarray, start: np.ndarray, end: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """64-bit hash per word of its bytes; bytes of weight 0 (between words) do not count."""
+def hash_words(data: np.ndarray, start: np.ndarray, end: np.ndarray, weight: np.ndarray | None) -> np.ndarray:
+    """64-bit hash per word of its bytes; bytes of weight 0 (between words) do not count; None: all count."""
     if not len(start):
         return np.empty(0, np.uint64)
     a = int(start[0])
     stop = int(end[-1])
     span = np.diff(np.append(start, stop))
     at = np.arange(a, stop) - np.repeat(start, span)
-    value = (data[a:stop].astype(np.uint64) + np.uint64(1)) * weight[a:stop]
+    value = data[a:stop].astype(np.uint64) + np.uint64(1)
+    if weight is not None:
+        value *= weight[a:stop]
     h = np.add.reduceat(value * _power(int(span.max()))[at], start - a)
     return mix64(h + (end - start).astype(np.uint64))
 

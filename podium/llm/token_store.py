@@ -23,11 +23,12 @@ writes no file and reads back no row.
 
 from __future__ import annotations
 
-import re
+import json
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,42 +37,154 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podium.llm import huffman
+from podium.llm import textkernel as tk
 from podium.llm.common import in_order_by, mapped, part_offsets, scratch_path, staged, table, unstage
 
 MAGIC = b"CTF1"
 #: ids per block
 BLOCK = 1 << 17
 END_ID = 2
-#: pieces a worker remembers
-CACHE = 1 << 21
-#: A piece may begin at a space that a printable ASCII character or a letter follows: the
-#: pre-tokenizer never joins a character to a space after it, and looks behind nothing.
-_PIECE = re.compile(r" (?=[!-~À-߿])")
+#: pieces a worker remembers, and bytes of text it looks up at once
+CACHE, SLICE = 1 << 21, 1 << 21
+
+_PUNCT = np.zeros(256, bool)
+_PUNCT[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+#: bytes after a space that do not begin white space: printable ASCII, and leads other than C2, E1, E2, E3
+_AFTER_SPACE = np.zeros(256, bool)
+_AFTER_SPACE[33:127] = _AFTER_SPACE[0xC3:0xE1] = _AFTER_SPACE[0xE4:0xF5] = True
+
+
+def piece_starts(data: np.ndarray, row_at: np.ndarray) -> np.ndarray:
+    """Byte offsets at which pieces begin that the byte-level pre-tokenizer never joins.
+
+    Its pattern takes a space only as the first character of a word, number or
+    symbol run, and never crosses from a letter to punctuation; it looks behind
+    nothing, and ahead only past white space.  So a piece may begin at every
+    space that no white space follows, and at punctuation after a letter or
+    digit (ASCII, or Latin-1 without the two signs among them).
+    """
+    n = len(data)
+    if not n:
+        return np.empty(0, np.int64)
+    opens = np.zeros(n, bool)
+    opens[:-1] = (data[:-1] == 32) & _AFTER_SPACE[data[1:]]
+    before = _ALNUM[data[:-1]]
+    latin = (data[1:-1] >= 0x80) & (data[:-2] == 0xC3) & (data[1:-1] != 0x97) & (data[1:-1] != 0xB7)
+    before[1:] |= latin
+    opens[1:] |= before & _PUNCT[data[1:]]
+    opens[row_at[:-1][np.diff(row_at) > 0]] = True
+    return np.flatnonzero(opens)
+
+
+class Table:
+    """Hash of a piece -> its ids: open addressing in numpy arrays, emptied when half full."""
+
+    def __init__(self, entries: int = CACHE):
+        self.size = 2 * entries
+        self.clear()
+
+    def clear(self) -> None:
+        self.key = np.zeros(self.size, np.uint64)  # 0: free
+        self.at = np.zeros(self.size, np.int32)
+        self.used = self.n_ids = 0
+        self.first = np.zeros(1024, np.int64)
+        self.count = np.zeros(1024, np.int32)
+        self.ids = np.zeros(4096, np.uint32)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Entry of each hash, or -1."""
+        slot = (h % np.uint64(self.size)).astype(np.int64)
+        out = np.full(len(h), -1, np.int64)
+        todo = np.arange(len(h))
+        while len(todo):
+            key = self.key[slot[todo]]
+            hit = key == h[todo]
+            out[todo[hit]] = self.at[slot[todo[hit]]]
+            todo = todo[~hit & (key != 0)]
+            slot[todo] = (slot[todo] + 1) % self.size
+        return out
+
+    def add(self, h: np.ndarray, ids: list[list[int]]) -> None:
+        """New distinct hashes with their ids."""
+        count = np.array([len(x) for x in ids], np.int32)
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(count.sum()))
+        self.first = _room(self.first, self.used, len(h))
+        self.count = _room(self.count, self.used, len(h))
+        self.ids = _room(self.ids, self.n_ids, len(flat))
+        entry = np.arange(self.used, self.used + len(h))
+        self.count[entry] = count
+        self.first[entry] = self.n_ids + np.cumsum(count) - count
+        self.ids[self.n_ids : self.n_ids + len(flat)] = flat
+        self.used, self.n_ids = self.used + len(h), self.n_ids + len(flat)
+        slot = (h % np.uint64(self.size)).astype(np.int64)
+        todo = np.arange(len(h))
+        while len(todo):
+            free = todo[self.key[slot[todo]] == 0]
+            self.key[slot[free]] = h[free]  # of several for one slot the last stays
+            won = free[self.key[slot[free]] == h[free]]
+            self.at[slot[won]] = entry[won]
+            todo = np.setdiff1d(todo, won, assume_unique=True)
+            slot[todo] = (slot[todo] + 1) % self.size
+
+
+def _room(a: np.ndarray, used: int, more: int) -> np.ndarray:
+    return a if used + more <= len(a) else np.concatenate((a[:used], np.zeros(max(more, used) + more, a.dtype)))
 
 
 class Tokenizer:
-    """A tokenizers file whose results for space-begun pieces are remembered."""
+    """A tokenizers file; for byte-level ones the ids of pieces are remembered."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer as Loaded
 
         self.model = Loaded.from_file(path)
-        self.seen: dict[str, tuple[int, ...]] = {}
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        pieces = []
-        for t in texts:
-            p = _PIECE.split(t)
-            pieces.append([p[0], *[" " + x for x in p[1:]]])
-        if len(self.seen) > CACHE:
-            self.seen.clear()
-        seen = self.seen
-        new = list({x for p in pieces for x in p if x not in seen})
+        with open(path, encoding="utf-8") as f:
+            told = json.load(f)
+        pre = told.get("pre_tokenizer") or {}
+        plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        self.in_pieces = told.get("normalizer") is None and all(pre.get(k) == v for k, v in plain.items())
+        self.special = [x["content"].encode() for x in told.get("added_tokens") or []]
+        self.table = Table()
+
+    def whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of every row; null is the empty text."""
+        for _, _, data, row_at in tk.slices(column, SLICE):
+            raw = data.tobytes()
+            # a special token's string may lie across pieces: such texts are encoded whole
+            whole = not self.in_pieces or any(x in raw for x in self.special)
+            if whole:
+                yield from (np.array(x, np.uint32) for x in self.whole([raw[a:z].decode() for a, z in zip(row_at[:-1], row_at[1:])]))
+            else:
+                yield from self._by_pieces(data, raw, row_at)
+
+    def _by_pieces(self, data: np.ndarray, raw: bytes, row_at: np.ndarray) -> list[np.ndarray]:
+        start = piece_starts(data, row_at)
+        if not len(start):
+            return [np.empty(0, np.uint32)] * (len(row_at) - 1)
+        end = np.append(start[1:], len(data))
+        h = tk.hash_words(data, start, end, None) | np.uint64(1)
+        kinds, shown, of = np.unique(h, return_index=True, return_inverse=True)
+        if not ((end - start) == (end - start)[shown][of]).all():  # two pieces of one hash: never mind the pieces
+            return [np.array(x, np.uint32) for x in self.whole([raw[a:z].decode() for a, z in zip(row_at[:-1], row_at[1:])])]
+        if self.table.used + len(kinds) > CACHE:
+            self.table.clear()
+        entry = self.table.find(kinds)
+        new = np.flatnonzero(entry < 0)
         for lo in range(0, len(new), 4096):
             part = new[lo : lo + 4096]
-            for x, e in zip(part, self.model.encode_batch_fast(part, add_special_tokens=False)):
-                seen[x] = tuple(e.ids)
-        return [np.fromiter((i for x in p for i in seen[x]), np.uint32) for p in pieces]
+            at = shown[part]
+            self.table.add(kinds[part], self.whole([raw[a:z].decode() for a, z in zip(start[at], end[at])]))
+            entry[part] = np.arange(self.table.used - len(part), self.table.used)
+        piece = entry[of]
+        count = self.table.count[piece].astype(np.int64)
+        total = np.concatenate(([0], np.cumsum(count)))
+        ids = self.table.ids[np.arange(total[-1]) + np.repeat(self.table.first[piece] - total[:-1], count)]
+        return np.split(ids, total[np.searchsorted(start, row_at[1:-1])])
 
 
 _TOKENIZERS: dict[str, Tokenizer] = {}
@@ -98,9 +211,10 @@ def tokenize(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
         part, start = TaskContext.get().partitionId(), 0
         model = tokenizer(path)
         for b in batches:
-            for lo in range(0, len(b), 128):
-                c = b.slice(lo, 128)
-                ids = [np.append(x, np.uint32(end_id)).astype("<u4") for x in model.encode([t or "" for t in c.column(1).to_pylist()])]
+            every = model.encode(b.column(1))
+            for lo in range(0, len(b), 512):
+                c = b.slice(lo, 512)
+                ids = [np.append(x, np.uint32(end_id)) for x in islice(every, len(c))]
                 n = np.array([len(x) for x in ids], np.int64)
                 at = start + np.cumsum(n) - n
                 start += int(n.sum())
@@ -128,8 +242,8 @@ def count_ids(tokens: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for b in batches:
-            for raw in b.column(0).to_pylist():
-                got = np.bincount(widen(raw))
+            for lo in range(0, len(b), 1024):
+                got = np.bincount(np.concatenate([widen(raw) for raw in b.column(0).slice(lo, 1024).to_pylist()]))
                 if len(got) > len(total):
                     got[: len(total)] += total
                     total = got

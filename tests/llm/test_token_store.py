@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from podium.llm import huffman, token_store
@@ -41,7 +42,7 @@ def test_length_limit_and_optimum():
     assert int((lengths * counts).sum()) == cost
 
 
-def test_pieces_encode_like_whole_texts():
+def test_pieces_encode_like_whole_texts(monkeypatch):
     from tokenizers import Tokenizer
 
     path = token_store.public_vocabulary()
@@ -49,7 +50,11 @@ def test_pieces_encode_like_whole_texts():
     random.seed(3)
     chars = ["a", "B", "é", " ", " ", "\n", "\t", " ", " ", "　", "\x85", "\x1c", "'", "s", "1", ".", "!", "日", "😀", "<|endoftext|>", " "]
     texts = ["".join(random.choice(chars) for _ in range(random.randint(0, 40))) for _ in range(3000)]
-    got = token_store.Tokenizer(path).encode(texts)
+    monkeypatch.setattr(token_store, "CACHE", 300)
+    monkeypatch.setattr(token_store, "SLICE", 200)
+    column = pa.array(texts)
+    got = list(token_store.Tokenizer(path).encode(column))
+    assert len(got) == len(texts)
     for t, ids in zip(texts, got):
         assert ids.tolist() == whole.encode(t, add_special_tokens=False).ids, repr(t)
 
