@@ -178,7 +178,8 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         F.col(text).alias("text"),
     )
     runs = repeated_runs(keyed.where("text IS NOT NULL").select("id", "th", "text"))
-    out = keyed.join(runs, ["id", "th"], "left")
+    # runs follow the corpus, so they are never broadcast, and the plan is the same at every size
+    out = keyed.join(runs.hint("merge"), ["id", "th"], "left")
     lines = F.split("text", "\n", -1)
     gone = lambda i: F.exists("removed", lambda r: (r["start"] <= i) & (i < r["end"]))
     kept = F.filter(lines, lambda x, i: ~gone(i))
