@@ -206,7 +206,8 @@ def _fetch(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
                     found[int(node[r])] = s.tobytes()
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], ["node", "shingles"])
 
-    texts = docs.select("doc_id", "text").join(nodes, F.col("doc_id") == F.col("rep")).select("node", "text")
+    # the classes follow the corpus, so they are never broadcast, and the plan is the same at every size
+    texts = docs.select("doc_id", "text").join(nodes.hint("merge"), F.col("doc_id") == F.col("rep")).select("node", "text")
     return staged(mapped(texts, sets, "node long, shingles binary").groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
 
 
@@ -359,7 +360,7 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Data
     found = join(docs, k, num, den)
     kept = staged(found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct(), "kept")
     whole = docs.select(F.col("doc_id").cast("long").alias("_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    stay = whole.join(kept, F.col("_id") == F.col("_kept")).dropDuplicates(["_id"])
+    stay = whole.join(kept.hint("merge"), F.col("_id") == F.col("_kept")).dropDuplicates(["_id"])
     return stay.select("doc.*").unionByName(whole.where("_id IS NULL").select("doc.*"))
 
 
