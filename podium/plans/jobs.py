@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,8 @@ from podium.functions.timefmt import format_secs
 from podium.operators import ingest as ing
 from podium.operators import streaks as st
 from podium.plans import reports as rp
-from podium.sources.sinks import append_results, overwrite_partitions, write_marker, write_messages
+from podium.session import child_names, delete_path, path_exists, replace_path, scratch_path
+from podium.sources.sinks import append_results, cluster_by_day, overwrite_partitions, write_marker, write_messages
 from podium.sources.tables import read_board
 from podium.util import keys, null_safe_join
 
@@ -44,14 +46,14 @@ def stored_schema(by: Sequence[str] | None = None) -> T.StructType:
     )
 
 
-def read_stored(spark: SparkSession, table_path: str, by: Sequence[str] | None = None) -> DataFrame:
-    """The stored rows (possibly several per player and day: corrections are appended)."""
-    try:
-        return spark.read.schema(stored_schema(by)).parquet(table_path)
-    except Exception as ex:  # noqa: BLE001 - first run: no table yet
-        if "PATH_NOT_FOUND" not in str(ex) and "does not exist" not in str(ex):
-            raise
-        return spark.createDataFrame([], stored_schema(by))
+def read_stored(spark: SparkSession, table_path: str, by: Sequence[str] | None = None, first_run: bool = False) -> DataFrame:
+    """The stored rows (possibly several per player and day: corrections are appended).
+
+    A missing table is an error, but for ``first_run`` (ingest into a new table).
+    """
+    if first_run:
+        return _read_or_empty(spark, table_path, stored_schema(by))
+    return spark.read.schema(stored_schema(by)).parquet(table_path)
 
 
 def read_canonical(
@@ -69,7 +71,7 @@ def read_canonical(
              T.StructField("name", T.StringType(), True), T.StructField("secs", T.IntegerType(), True),
              T.StructField("time", T.StringType(), True), T.StructField("date", T.DateType(), True)]
         )
-        return _read_or_empty(spark, canonical_path, schema)
+        return spark.read.schema(schema).parquet(canonical_path)
     return ing.canonical(read_stored(spark, table_path, by), by)
 
 
@@ -88,36 +90,67 @@ def compact_days(
     overwrite_partitions(canon, canonical_path, by)
 
 
-MAX_PRUNE_DAYS = 50_000
-
-
 def _on_days(stored: DataFrame, rows: DataFrame, by: Sequence[str] | None) -> DataFrame:
     """Restrict stored rows to the days present in ``rows``.
 
     The distinct dates of a batch are bounded by the calendar (at most 366 per
     year covered), not by the data, so they are fetched and applied as an
     ``IN`` filter on the partition column: only those partitions are read and
-    no join (which would gather a busy day into one task) is needed.  A
-    backfill spanning more days than ``MAX_PRUNE_DAYS`` uses a semi-join.
+    no join (which would gather a busy day into one task) is needed.  Rows
+    without a date are never stored (:func:`append_new_rows`).
     """
-    dates = rows.select("date").distinct().limit(MAX_PRUNE_DAYS + 1).collect()
-    if len(dates) <= MAX_PRUNE_DAYS:
-        return stored.where(F.col("date").isin([r.date for r in dates if r.date is not None]))
-    return null_safe_join(stored, rows.select(*keys(by, "date")).distinct(), keys(by, "date"), "left_semi")
+    dates = rows.select("date").where("date IS NOT NULL").distinct().collect()
+    return stored.where(F.col("date").isin([r.date for r in dates]))
+
+
+def rejects_path(table_path: str) -> str:
+    """Where :func:`append_new_rows` keeps rows that are no results (hidden from readers of the table)."""
+    return f"{table_path.rstrip('/')}/_rejects"
+
+
+def _touched_path(table_path: str) -> str:
+    return f"{table_path.rstrip('/')}/_touched"
+
+
+_TOUCHED = T.StructType([T.StructField("batch", T.StringType()), T.StructField("date", T.DateType())])
+
+
+def read_rejects(spark: SparkSession, table_path: str, by: Sequence[str] | None = None) -> DataFrame:
+    """Rows that came without a name, a date or a time, each once."""
+    return _read_or_empty(spark, rejects_path(table_path), stored_schema(by))
 
 
 def append_new_rows(rows: DataFrame, table_path: str, by: Sequence[str] | None = None) -> None:
     """Append ``(by…, name, date, secs)`` rows the table does not hold yet.
 
     The stored side is first restricted to the days present in ``rows`` (see
-    :func:`_on_days`: only those partitions are read).
+    :func:`_on_days`: only those partitions are read).  Rows without a name, a
+    date or a time go to the rejects of the table, once.  The days that get new
+    rows are logged before the rows are appended, so that what was derived from
+    the table earlier can be brought up to date whoever polled again.
     """
     spark = rows.sparkSession
     rows = rows.select(*keys(by, "name"), format_secs("secs").alias("time"), F.col("secs").cast("int").alias("secs"), "date")
     # the same board polled twice in one batch gives the same rows twice
     rows = rows.dropDuplicates(keys(by, "name", "date", "secs"))
-    stored = _on_days(read_stored(spark, table_path, by), rows, by)
-    append_results(ing.new_rows(rows, stored, by), table_path, by)
+    bad = F.col("name").isNull() | F.col("date").isNull() | F.col("secs").isNull()
+    lost = null_safe_join(rows.where(bad), read_rejects(spark, table_path, by), keys(by, "name", "date", "secs"), "left_anti")
+    lost = _snapshot(lost, "rejects")
+    if not lost.isEmpty():
+        lost.write.mode("append").parquet(rejects_path(table_path))
+    good = rows.where(~bad)
+    stored = _on_days(read_stored(spark, table_path, by, first_run=True), good, by)
+    fresh = _snapshot(ing.new_rows(good, stored, by), "fresh")
+    days = fresh.select(F.lit(uuid.uuid4().hex).alias("batch"), "date").distinct()
+    days.coalesce(1).write.mode("append").parquet(_touched_path(table_path))
+    append_results(fresh, table_path, by)
+
+
+def _snapshot(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder: read twice, and never while the files it comes from change."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def run_ingest(
@@ -142,12 +175,39 @@ def _streak_schema(by: Sequence[str] | None) -> T.StructType:
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except Exception as ex:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(ex) and "does not exist" not in str(ex):
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
+
+
+_MARKER = T.StructType([T.StructField(c, t) for c, t in (("through", T.DateType()), ("generation", T.StringType()), ("previous", T.StringType()))])
+
+
+def _streak_marker(spark: SparkSession, streak_path: str):
+    rows = _read_or_empty(spark, f"{streak_path}/_through", _MARKER).collect()  # at most one row
+    return rows[0] if rows else None
+
+
+def _unseen(spark: SparkSession, table_path: str | None, streak_path: str) -> list:
+    """(batch, earliest day) of the polls this streak table has not taken in yet; one row per poll since its last update."""
+    if table_path is None:
+        return []
+    seen = _read_or_empty(spark, f"{streak_path}/_seen", T.StructType(_TOUCHED.fields[:1]))
+    touched = _read_or_empty(spark, _touched_path(table_path), _TOUCHED)
+    return touched.join(seen, "batch", "left_anti").groupBy("batch").agg(F.min("date").alias("date")).collect()
+
+
+def _known_until(through: dt.date, unseen: list, late_from: dt.date | None = None) -> dt.date:
+    """The last day whose streaks still hold: the day before the earliest change, ``through`` at most."""
+    changed = [r.date for r in unseen if r.date is not None] + ([late_from] if late_from else [])
+    return min([through, *[d - dt.timedelta(days=1) for d in changed]])
+
+
+def _redone(results: DataFrame, stored: DataFrame, known: dt.date, upto: dt.date, by: Sequence[str] | None) -> DataFrame:
+    """Streak rows of the days after ``known`` through ``upto``, continuing the stored ones of ``known``."""
+    carried = stored.where(F.col("date") == F.lit(known))
+    rows = st.streaks_from(results.where(F.col("date") <= F.lit(upto)), carried, known + dt.timedelta(days=1), by)
+    return rows.select(*keys(by, "name"), "streak", "date")
 
 
 def update_streaks(
@@ -158,95 +218,99 @@ def update_streaks(
     by: Sequence[str] | None = None,
     rebuild: bool = False,
     late_from: dt.date | None = None,
+    table_path: str | None = None,
 ) -> DataFrame:
     """Keep the winners-only streak table current through ``as_of``; return its rows for ``as_of - 1 .. as_of``.
 
-    ``<streak_path>/_through`` records the last day processed.  When it is the
-    day before ``as_of`` only two ``date`` partitions are read (results of
-    ``as_of``, streaks of the day before) and one partition is appended; when
-    it is ``as_of`` or later nothing is done (reruns are free); otherwise
-    (first run, a gap, or ``rebuild=True``) the table is rebuilt from history
-    into a fresh generation folder and ``_through`` is repointed to it (the old
-    generation is never overwritten while it may be read).
-
-    ``late_from=d``: results arrived late for day ``d`` (already processed).
-    Only days ``>= d`` are recomputed — from their results and the streaks
-    running on ``d - 1``, which are checkpointed first so the rewrite of those
-    days (dynamic partition overwrite) never reads the files it replaces.
+    ``<streak_path>/_through`` names the last day processed and the folder
+    (generation) that holds the rows.  Days after it, one or many, are computed
+    from their results and the streaks of the last day, and written as new
+    ``date`` partitions; readers see them when ``_through`` moves.
+
+    With ``table_path`` the days that polls have changed since the last update
+    are read from that table's log (:func:`append_new_rows`); ``late_from``
+    names such a day by hand.  Then a new generation takes over the rows before
+    the earliest changed day (winners only, so few) and recomputes the rest;
+    the generation readers may hold is left alone until the next but one.
+
+    The table is rebuilt from history only on the first run or with ``rebuild``.
     """
-    marker_schema = T.StructType([T.StructField("through", T.DateType()), T.StructField("generation", T.StringType())])
-    marker = _read_or_empty(spark, f"{streak_path}/_through", marker_schema).collect()  # at most one row
-    through = marker[0].through if marker else None
-    generation = marker[0].generation if marker else None
-    yesterday = as_of - dt.timedelta(days=1)
-    if late_from is not None and not rebuild and generation is not None and through is not None and late_from <= through:
-        from podium.session import checkpoint_dir
-
-        checkpoint_dir(spark)
-        table = f"{streak_path}/{generation}"
-        stored = _read_or_empty(spark, table, _streak_schema(by))
-        carried = stored.where(F.col("date") == F.lit(late_from - dt.timedelta(days=1))).checkpoint(eager=True)
+    marker = _streak_marker(spark, streak_path)
+    unseen = _unseen(spark, table_path, streak_path)
+    old = marker.generation if marker else None
+    through = marker.through if marker else None
+    stored = _read_or_empty(spark, f"{streak_path}/{old}", _streak_schema(by)) if marker else None
+    known = _known_until(through, unseen, late_from) if marker else None
+    generation = old
+    if marker is None or rebuild:
+        generation = f"gen-{as_of.isoformat()}-{uuid.uuid4().hex[:8]}"
+        upto = max(through, as_of) if through else as_of
+        rows = st.streaks(results.where(F.col("date") <= F.lit(upto)), by).select(*keys(by, "name"), "streak", "date")
+    elif known < through:
+        generation = f"gen-{as_of.isoformat()}-{uuid.uuid4().hex[:8]}"
         upto = max(through, as_of)
-        redo = st.streaks_from(results.where(F.col("date") <= F.lit(upto)), carried, late_from, by)
-        (
-            redo.select(*keys(by, "name"), "streak", "date")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("date")
-            .parquet(table)
-        )
-        through = upto
-    elif not rebuild and generation is not None and through is not None and through >= yesterday:
-        table = f"{streak_path}/{generation}"
-        if through == yesterday:
-            stored = _read_or_empty(spark, table, _streak_schema(by))
-            today = st.extend_streaks(results.where(F.col("date") == F.lit(as_of)), stored.where(F.col("date") == F.lit(yesterday)), by)
-            # a rerun after a failure between this append and the marker write adds nothing
-            today = null_safe_join(today, stored.where(F.col("date") == F.lit(as_of)), keys(by, "name", "date"), "left_anti")
-            today.select(*keys(by, "name"), "streak", "date").write.mode("append").partitionBy("date").parquet(table)
-            through = as_of
+        rows = stored.where(F.col("date") <= F.lit(known)).select(*keys(by, "name"), "streak", "date").unionByName(_redone(results, stored, known, upto, by))
     else:
-        import uuid
-
-        generation = f"gen-{as_of.isoformat()}-{uuid.uuid4().hex[:8]}"
-        table = f"{streak_path}/{generation}"
-        full = st.streaks(results.where(F.col("date") <= F.lit(as_of)), by)
-        full.select(*keys(by, "name"), "streak", "date").write.mode("overwrite").partitionBy("date").parquet(table)
-        through = as_of
-    spark.createDataFrame([(through, generation)], marker_schema).coalesce(1).write.mode("overwrite").parquet(
-        f"{streak_path}/_through"
-    )
+        upto = max(through, as_of)
+        rows = _redone(results, stored, through, upto, by) if upto > through else None
+    table = f"{streak_path}/{generation}"
+    if rows is not None:
+        # only days no reader looks at yet are written: a new folder, or partitions after ``through``
+        clustered = cluster_by_day(rows, ["date"], order=["name"])
+        clustered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(table)
+        previous = old if old != generation else marker.previous
+        new = f"{streak_path}/_through-{uuid.uuid4().hex}"
+        spark.createDataFrame([(upto, generation, previous)], _MARKER).coalesce(1).write.parquet(new)
+        replace_path(spark, new, f"{streak_path}/_through")
+        for name in child_names(spark, streak_path):
+            if name.startswith("gen-") and name not in (generation, previous):
+                delete_path(spark, f"{streak_path}/{name}")
+    if unseen:
+        spark.createDataFrame([(r.batch,) for r in unseen], "batch string").coalesce(1).write.mode("append").parquet(f"{streak_path}/_seen")
     rows = _read_or_empty(spark, table, _streak_schema(by))
-    return rows.where((F.col("date") >= F.lit(yesterday)) & (F.col("date") <= F.lit(as_of)))
+    return rows.where((F.col("date") >= F.lit(as_of - dt.timedelta(days=1))) & (F.col("date") <= F.lit(as_of)))
 
 
-def read_streaks(spark: SparkSession, streak_path: str, by: Sequence[str] | None = None) -> DataFrame:
-    """The current generation of the streak table kept by :func:`update_streaks`."""
-    marker_schema = T.StructType([T.StructField("through", T.DateType()), T.StructField("generation", T.StringType())])
-    marker = _read_or_empty(spark, f"{streak_path}/_through", marker_schema).collect()
-    if not marker:
-        return spark.createDataFrame([], _streak_schema(by))
-    return _read_or_empty(spark, f"{streak_path}/{marker[0].generation}", _streak_schema(by))
+def read_streaks(
+    spark: SparkSession,
+    streak_path: str,
+    by: Sequence[str] | None = None,
+    results: DataFrame | None = None,
+    upto: dt.date | None = None,
+    table_path: str | None = None,
+) -> DataFrame:
+    """The streak table kept by :func:`update_streaks`; a path without one is an error.
+
+    With ``results`` the rows are complete through ``upto``: days the table
+    lacks, or that polls have changed since (logged by ``table_path``), are
+    recomputed from their results and the streaks before them.
+    """
+    marker = _streak_marker(spark, streak_path)
+    if marker is None:
+        raise FileNotFoundError(f"no streak table at {streak_path}; the daily job keeps one")
+    stored = _read_or_empty(spark, f"{streak_path}/{marker.generation}", _streak_schema(by))
+    stored = stored.where(F.col("date") <= F.lit(marker.through))
+    if results is None or upto is None:
+        return stored
+    known = _known_until(marker.through, _unseen(spark, table_path, streak_path))
+    if known >= upto:
+        return stored
+    valid = stored.where(F.col("date") <= F.lit(known))
+    return valid.unionByName(_redone(results, valid, known, upto, by))
 
 
 def update_marker(spark: SparkSession, posted: DataFrame, marker_path: str, by: Sequence[str] | None = None) -> None:
     """Raise each league's last posted day to the newest day in ``posted``; other leagues keep theirs.
 
-    The merged marker is checkpointed before the old one is replaced, so the
-    write never reads the files it overwrites.
+    The merged marker is written beside the old one and takes its place, so no
+    file is read while it is replaced and no checkpoint is needed.
     """
-    from podium.session import checkpoint_dir
-
-    checkpoint_dir(spark)
     schema = T.StructType([*[T.StructField(k, T.StringType(), True) for k in (by or [])], T.StructField("latest_date", T.DateType(), True)])
     old = _read_or_empty(spark, marker_path, schema)
-    merged = (
-        old.unionByName(ing.progress_marker(posted, by))
-        .groupBy(*keys(by))
-        .agg(F.max("latest_date").alias("latest_date"))
-        .checkpoint(eager=True)
-    )
-    write_marker(merged, marker_path)
+    merged = old.unionByName(ing.progress_marker(posted, by)).groupBy(*keys(by)).agg(F.max("latest_date").alias("latest_date"))
+    new = f"{marker_path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    write_marker(merged, new)
+    replace_path(spark, new, marker_path)
 
 
 def _kind_messages(parts: DataFrame, kind: str, key: str) -> DataFrame:
@@ -284,11 +348,12 @@ def run_daily(
     streak_path: str | None = None,
     canonical_path: str | None = None,
 ) -> None:
-    """Post one day.  With ``streak_path`` the streak table is kept incrementally and only
-    two days of results are read; without it, streaks are recomputed from history."""
+    """Post one day.  With ``streak_path`` the streak table is kept incrementally and only the days
+    since its last update (or since the earliest day polled again) are read; without it, streaks
+    are recomputed from history."""
     as_of = as_of or as_of_default()
     results = read_canonical(spark, table_path, by, canonical_path)
-    streak_rows = update_streaks(spark, results, streak_path, as_of, by) if streak_path else None
+    streak_rows = update_streaks(spark, results, streak_path, as_of, by, table_path=table_path) if streak_path else None
     write_messages(_kind_messages(daily_report_for(results, as_of, by, streak_rows), "daily", "date"), messages_path)
     if marker_path:
         update_marker(spark, results.where(F.col("date") == F.lit(as_of)), marker_path, by)
@@ -301,10 +366,13 @@ def period_report_for(
     period: str = "month",
     offset: int | None = None,
     streak_table: DataFrame | None = None,
+    lookback_days: int | None = None,
 ) -> DataFrame:
     """Week: the current ISO week (offset 0); month / year: the previous one (offset -1).
 
     ``streak_table`` (e.g. :func:`read_streaks`) spares the scan of history for the longest streak.
+    ``lookback_days`` counts streaks from results of that many days before ``as_of`` only (the
+    literal monthly report looks back 90), so longer streaks are cut; the default is all history.
     """
     if offset is None:
         offset = 0 if period == "week" else -1
@@ -312,6 +380,8 @@ def period_report_for(
     in_range = (F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(end))
     if period == "week":
         return rp.weekly_message(results.where(in_range), by)
+    if lookback_days is not None:
+        streak_table = st.streaks(rp.lookback(results, as_of, lookback_days), by)
     if streak_table is not None:
         return rp.period_message(results.where(in_range), by, period, streak_table=streak_table.where(in_range))
     return rp.period_report_for(results, as_of, by, period, offset)
@@ -326,11 +396,16 @@ def run_period(
     by: Sequence[str] | None = None,
     streak_path: str | None = None,
     canonical_path: str | None = None,
+    lookback_days: int | None = None,
 ) -> None:
+    """Post one period; ``lookback_days`` as in :func:`period_report_for`."""
     as_of = as_of or as_of_default()
     results = read_canonical(spark, table_path, by, canonical_path)
-    streak_table = read_streaks(spark, streak_path, by) if streak_path else None
-    parts = period_report_for(results, as_of, by, period, streak_table=streak_table)
+    streak_table = None
+    if streak_path and period != "week":
+        _, end = period_range(as_of, period, -1)
+        streak_table = read_streaks(spark, streak_path, by, results, end - dt.timedelta(days=1), table_path)
+    parts = period_report_for(results, as_of, by, period, streak_table=streak_table, lookback_days=lookback_days)
     write_messages(_kind_messages(parts, period, "period_start"), messages_path)
 
 
@@ -342,6 +417,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--messages", help="messages output path")
     p.add_argument("--marker", help="progress marker path (daily)")
     p.add_argument("--streaks", help="incremental streak table path (daily keeps it; month / year read it)")
+    p.add_argument("--lookback-days", type=int, default=None, help="streaks of month / year from so many days only (literal form: 90)")
     p.add_argument("--as-of", type=dt.date.fromisoformat, default=None)
     p.add_argument("--by", default="", help="comma-separated league keys")
     p.add_argument("--canonical", help="compacted canonical table path (ingest keeps it; reports read it)")
@@ -353,7 +429,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif a.job == "daily":
         run_daily(spark, a.table, a.messages, a.marker, a.as_of, by, a.streaks, a.canonical)
     else:
-        run_period(spark, a.table, a.messages, a.job, a.as_of, by, a.streaks, a.canonical)
+        run_period(spark, a.table, a.messages, a.job, a.as_of, by, a.streaks, a.canonical, a.lookback_days)
 
 
 if __name__ == "__main__":

@@ -15,27 +15,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-FILES_PER_DAY = 4
+def cluster_by_day(df: DataFrame, keys: Sequence[str], files_per_day: int | None = None, order: Sequence[str] = ("secs", "name")) -> DataFrame:
+    """Cluster rows by day, so that a day is written to as few files as its size asks for.
 
-
-def _cluster_by_day(df: DataFrame, keys: list[str], files_per_day: int) -> DataFrame:
-    """Cluster rows by day, each day spread over ``files_per_day`` writers.
-
-    Repartitioning on the day alone would give a busy day (or a one-day batch)
-    to a single task; a hash of the name splits it into ``files_per_day``
-    buckets, and AQE merges buckets that are small.
+    A rebalance on the day: AQE cuts a busy day (or a one-day batch) into
+    several writers by size and merges small days into one.  With
+    ``files_per_day`` a day is dealt to that many writers by a hash of the name
+    instead.
     """
-    bucket = F.pmod(F.xxhash64("name"), F.lit(files_per_day))
-    return df.repartition(*[F.col(k) for k in keys], bucket).sortWithinPartitions(*keys, "secs", "name")
+    if files_per_day is None:
+        out = df.hint("rebalance", *[F.col(k) for k in keys])
+    else:
+        out = df.repartition(*[F.col(k) for k in keys], F.pmod(F.xxhash64("name"), F.lit(files_per_day)))
+    return out.sortWithinPartitions(*keys, *order)
 
 
-def append_results(df: DataFrame, path: str, by: Sequence[str] | None = None, files_per_day: int = FILES_PER_DAY) -> None:
+def append_results(df: DataFrame, path: str, by: Sequence[str] | None = None, files_per_day: int | None = None) -> None:
     """Append rows to the ``date``-partitioned results table (files clustered by day)."""
     keys = [*(by or []), "date"]
-    _cluster_by_day(df, keys, files_per_day).write.mode("append").partitionBy("date").parquet(path)
+    cluster_by_day(df, keys, files_per_day).write.mode("append").partitionBy("date").parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str] | None = None, files_per_day: int = FILES_PER_DAY) -> None:
+def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str] | None = None, files_per_day: int | None = None) -> None:
     """Replace only the ``date`` partitions present in ``df`` (dynamic overwrite), e.g. to compact them.
 
     ``path`` must not be a table ``df`` reads from: write the compacted days to a
@@ -43,7 +44,7 @@ def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str] | None = No
     """
     keys = [*(by or []), "date"]
     (
-        _cluster_by_day(df, keys, files_per_day)
+        cluster_by_day(df, keys, files_per_day)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date")

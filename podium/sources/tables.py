@@ -27,7 +27,7 @@ def read_results_raw(spark: SparkSession, path: str, fmt: str = "parquet", leagu
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """A canonical results table written by :func:`podium.sources.sinks.write_results`."""
+    """A canonical results table written by :func:`podium.sources.sinks.overwrite_partitions`."""
     return spark.read.parquet(path)
 
 
