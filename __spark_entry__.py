@@ -251,33 +251,40 @@ def _label(p: str, x: str = "period_start") -> str:
     }[p]
 
 
-_PLAYER = "concat('player_', cast(o_custkey % 8 as varchar))"
 _SECS = "cast(20 + floor(o_totalprice / 1000) as integer)"
+_CUSTOMER = "concat('player_', cast(o_custkey as varchar))"
+_DAY = "(case when o_orderkey % 5 = 0 then cast(date_trunc('year', o_orderdate) as date) else cast(o_orderdate as date) end)"
+_WEEK = f"cast(floor(({_DAY} - date '1990-01-01') / 7) as bigint)"
+_PLAYER = f"(case when o_orderkey % 2 = 0 then concat('regular_', cast({_WEEK} % 8 as varchar)) else {_CUSTOMER} end)"
+_RESULT_SECS = f"(case when o_orderkey % 2 = 0 then cast(20 + floor(o_totalprice / 8000) as integer) else {_SECS} end)"
 
 RESULTS = f"""results as (
   select name, date, secs, {_fmt('secs')} as time from (
-    select {_PLAYER} as name, cast(o_orderdate as date) as date, min({_SECS}) as secs
+    select {_PLAYER} as name, {_DAY} as date, min({_RESULT_SECS}) as secs
     from orders group by 1, 2) r0
 )"""
 
 LEAGUE_RESULTS = f"""results as (
   select league, name, date, secs, {_fmt('secs')} as time from (
-    select c_mktsegment as league, concat('player_', cast(o_custkey as varchar)) as name,
-           cast(o_orderdate as date) as date, min({_SECS}) as secs
+    select case when o_custkey % 101 <> 0 then c_mktsegment end as league,
+           case when o_custkey % 499 <> 0 or o_orderkey % 2 = 0 then {_PLAYER} end as name,
+           {_DAY} as date, min({_RESULT_SECS}) as secs
     from orders join customer on o_custkey = c_custkey group by 1, 2, 3) r0
 )"""
 
 SHEET = f"""sheet as (
-  select o_orderdate + to_seconds(o_orderkey % 86400) as submitted_at, {_PLAYER} as name,
-         concat(case when m = 0 then '' else cast(m as varchar) end, ':', printf('%02d', s % 60)) as time,
+  select o_orderdate + to_seconds(o_orderkey % 86400) as submitted_at,
+         case when o_orderkey % 503 <> 0 then {_CUSTOMER} end as name,
+         case when o_orderkey % 509 = 0 then 'dnf'
+              else concat(case when m = 0 then '' else cast(m as varchar) end, ':', printf('%02d', s % 60)) end as time,
          cast(o_orderdate as date) as date
-  from (select *, {_SECS} as s, cast(floor({_SECS} / 60) as bigint) as m from orders
-        where o_orderpriority <> '1-URGENT') o
+  from (select *, {_SECS} as s, cast(floor({_SECS} / 60) as bigint) as m from orders) o
 )"""
 
 INCOMING = f"""incoming as (
-  select distinct {_PLAYER} as name, {_fmt('s')} as time, cast(o_orderdate as date) as date
-  from (select *, {_SECS} as s from orders where o_orderpriority in ('1-URGENT', '2-HIGH')) o
+  select distinct {_CUSTOMER} as name, {_fmt('s')} as time, cast(o_orderdate as date) as date
+  from (select *, {_SECS} - case when o_orderpriority = '1-URGENT' then 7 else 0 end as s
+        from orders where o_orderpriority in ('1-URGENT', '2-HIGH')) o
 )"""
 
 BOARD_FLAT = """board_flat as (

@@ -17,6 +17,10 @@ from podium.functions.timefmt import format_secs, format_secs_unpadded, parse_ti
 from podium.util import keys, null_safe_join
 
 
+#: tasks a day's stored rows are dealt to when days are matched
+DAY_SALTS = 16
+
+
 def flatten_board(docs: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
     """Nested board documents -> ``(by…, date, name, secs)``, unsolved entries dropped."""
     e = docs.select(*keys(by, "date"), F.explode("data").alias("e"))
@@ -79,12 +83,15 @@ def new_rows(incoming: DataFrame, stored: DataFrame, by: Sequence[str] | None =
 def orphan_rows(stored: DataFrame, incoming: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
     """Stored rows of the days being loaded that the incoming board does not have.
 
-    Only days present in ``incoming`` are compared (a semi-join on the day, which
-    Spark can also use to prune ``date`` partitions of the stored table).
+    Only days present in ``incoming`` are compared: a semi-join with the days,
+    each repeated once per salt, so that the stored rows of a busy day are dealt
+    to ``DAY_SALTS`` tasks by a hash of the name.
     """
     on = keys(by, "name", "date", "secs")
-    days = incoming.select(*keys(by, "date")).distinct()
-    st = null_safe_join(_with_secs(stored), days, keys(by, "date"), "left_semi")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(DAY_SALTS - 1))).alias("__salt")
+    days = incoming.select(*keys(by, "date")).distinct().select(*keys(by, "date"), salts)
+    dealt = _with_secs(stored).withColumn("__salt", F.pmod(F.xxhash64("name"), F.lit(DAY_SALTS)).cast("int"))
+    st = null_safe_join(dealt, days, keys(by, "date", "__salt"), "left_semi", plain=("__salt",)).drop("__salt")
     out = null_safe_join(st, _with_secs(incoming).select(*on), on, "left_anti")
     return out if "secs" in stored.columns else out.drop("secs")
 

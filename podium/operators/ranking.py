@@ -57,7 +57,14 @@ def day_rank(
 
 
 def ranked_position(
-    df: DataFrame, group: Sequence[str], value: str, tiebreak: str, descending: bool = False, out: str = "pos"
+    df: DataFrame,
+    group: Sequence[str],
+    value: str | Sequence[str],
+    tiebreak: str,
+    descending: bool = False,
+    out: str = "pos",
+    tie_descending: bool | None = None,
+    rank: str | None = None,
 ) -> DataFrame:
     """``row_number()`` over ``group`` ordered by ``(value, tiebreak)``, without sorting a whole group in one task.
 
@@ -66,19 +73,24 @@ def ranked_position(
     ``(group, value)`` (aggregated map-side; bounded by distinct values, e.g.
     whole or half seconds), the second from a window over ``(group, value)``
     only — so a group holding a third of all rows is spread over its distinct
-    values.  ``descending`` orders both ``value`` and ``tiebreak`` descending.
-    Null values come last.
+    values.  ``value`` may be several columns.  ``descending`` orders ``value``
+    descending, and ``tiebreak`` too unless ``tie_descending`` says otherwise.
+    Null values come last.  ``rank`` names a column for the competition rank.
     """
     g = list(group)
-    v = F.col(value)
-    vorder = v.desc_nulls_last() if descending else v.asc_nulls_last()
-    torder = F.col(tiebreak).desc_nulls_last() if descending else F.col(tiebreak).asc_nulls_last()
-    hist = df.groupBy(*g, value).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*g).orderBy(vorder).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = hist.select(*g, value, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    j = null_safe_join(df, offsets, [*g, value], "left")
-    tie = Window.partitionBy(*g, value).orderBy(torder)
-    return j.withColumn(out, (F.col("__off") + F.row_number().over(tie)).cast("bigint")).drop("__off")
+    values = [value] if isinstance(value, str) else list(value)
+    down = descending if tie_descending is None else tie_descending
+    vorder = [F.col(v).desc_nulls_last() if descending else F.col(v).asc_nulls_last() for v in values]
+    torder = F.col(tiebreak).desc_nulls_last() if down else F.col(tiebreak).asc_nulls_last()
+    hist = df.groupBy(*g, *values).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*g).orderBy(*vorder).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = hist.select(*g, *values, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    j = null_safe_join(df, offsets, [*g, *values], "left")
+    tie = Window.partitionBy(*g, *values).orderBy(torder)
+    j = j.withColumn(out, (F.col("__off") + F.row_number().over(tie)).cast("bigint"))
+    if rank:
+        j = j.withColumn(rank, (F.col("__off") + 1).cast("bigint"))
+    return j.drop("__off")
 
 
 def top_ranks(results: DataFrame, by: Sequence[str] | None = None, k: int = 1) -> DataFrame:
@@ -125,17 +137,9 @@ def medal_table(results: DataFrame, by: Sequence[str] | None = None, period: str
     placements = F.concat(
         *[F.repeat(F.lit(MEDALS[k]), F.coalesce(F.col(c), F.lit(0)).cast("int")) for k, c in ((1, "firsts"), (2, "silvers"), (3, "thirds"))]
     )
-    order = Window.partitionBy(*keys(by, "period_start")).orderBy(
-        F.col("firsts").desc_nulls_last(), F.col("silvers").desc_nulls_last(), F.col("thirds").desc_nulls_last(), "name"
-    )
-    return counts.select(
-        *keys(by, "period_start", "name"),
-        placements.alias("placements"),
-        "firsts",
-        "silvers",
-        "thirds",
-        F.row_number().over(order).cast("bigint").alias("pos"),
-    )
+    table = counts.select(*keys(by, "period_start", "name"), placements.alias("placements"), "firsts", "silvers", "thirds")
+    # equal counts are many and distinct counts few: a busy period is spread over its counts
+    return ranked_position(table, keys(by, "period_start"), ("firsts", "silvers", "thirds"), "name", descending=True, tie_descending=False)
 
 
 def period_wins(results: DataFrame, by: Sequence[str] | None = None, period: str = "month") -> DataFrame:
@@ -143,14 +147,10 @@ def period_wins(results: DataFrame, by: Sequence[str] | None = None, period: str
     won = with_period(winners(results, by), period)
     n = won.groupBy(*keys(by, "period_start", "name")).agg(F.count(F.lit(1)).alias("n"))
     grp = keys(by, "period_start")
-    by_n = Window.partitionBy(*grp).orderBy(F.col("n").desc())
-    pos = Window.partitionBy(*grp).orderBy(F.col("n").desc(), "name")
-    return n.select(
-        *keys(by, "period_start", "name"),
-        "n",
-        F.rank().over(by_n).cast("bigint").alias("rnk"),
-        F.row_number().over(pos).cast("bigint").alias("pos"),
-    ).withColumn("mark", F.when(F.col("rnk") == 1, F.lit(CROWN)).otherwise(F.lit("")))
+    r = ranked_position(n, grp, "n", "name", descending=True, tie_descending=False, rank="rnk")
+    return r.select(*keys(by, "period_start", "name"), "n", "rnk", "pos").withColumn(
+        "mark", F.when(F.col("rnk") == 1, F.lit(CROWN)).otherwise(F.lit(""))
+    )
 
 
 def fastest(results: DataFrame, by: Sequence[str] | None = None, period: str = "month", k: int = 3) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from podium.functions.calendar import date_text_short, period_col
 from podium.functions.texts import STREAK_LINE, STREAK_SHOWN_FROM, fill
-from podium.operators.ranking import winners
+from podium.operators.ranking import ranked_position, winners
 from podium.util import keys, null_safe_join
 
 
@@ -79,13 +79,12 @@ def longest_streak(
     """
     s = streak_table if streak_table is not None else streaks(results, by)
     s = s.withColumn("period_start", period_col("date", period))
-    w = Window.partitionBy(*keys(by, "period_start")).orderBy(F.col("streak").desc())
-    top = s.withColumn("r", F.rank().over(w)).where((F.col("r") == 1) & (F.col("streak") >= min_streak))
+    grp = keys(by, "period_start")
+    # a grouped max (combined map-side), then the ties' positions: no window over a whole period
+    best = s.groupBy(*grp).agg(F.max("streak").alias("streak")).where(F.col("streak") >= min_streak)
+    top = null_safe_join(s, best, [*grp, "streak"], "left_semi")
     line = fill(STREAK_LINE, name="name", streak="streak", day=date_text_short("date"))
-    pos = Window.partitionBy(*keys(by, "period_start")).orderBy("date", "name")
-    return top.select(
-        *keys(by, "period_start", "name"), "streak", "date", line.alias("line"), F.row_number().over(pos).cast("bigint").alias("pos")
-    )
+    return ranked_position(top, grp, "date", "name").select(*grp, "name", "streak", "date", line.alias("line"), "pos")
 
 
 def first_winner(results: DataFrame, by: Sequence[str] | None = None, streak_table: DataFrame | None = None) -> DataFrame:

@@ -146,8 +146,11 @@ def daily_plot_data(
     over its distinct times rather than sorted in one task.
     """
     x = _ranked_day(results, by, streak_table, checked)
-    n = ranking.participants(results, by)
-    x = null_safe_join(x, n, keys(by, "date"), "left")
+    # players of a day from its histogram of times, joined back on (day, time) as the ranks are
+    day = keys(by, "date")
+    hist = results.groupBy(*day, "secs").agg(F.count(F.lit(1)).alias("n"))
+    players = F.sum("n").over(Window.partitionBy(*day)).alias("players")
+    x = null_safe_join(x, hist.select(*day, "secs", players), [*day, "secs"], "left")
     streak_text = F.when((F.col("rnk") == 1) & (F.col("streak") >= tx.STREAK_SHOWN_FROM), fill(tx.PLOT_STREAK_NOTE, n="streak"))
     return x.select(
         *keys(by, "date", "name"),
@@ -161,11 +164,14 @@ def daily_plot_data(
 
 def text_bar(results: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
     """A 0-7 cell bar per result, relative to the day's slowest time, padded to 8 cells."""
-    m = ranking.day_max(results, by)
-    x = null_safe_join(results, m, keys(by, "date"), "left")
+    # a bar depends on the day and the time alone, so it is worked out once per (day, time) and
+    # joined back on both: a busy day is spread over its distinct times
+    day = keys(by, "date")
+    times = results.select(*day, "secs").where(F.col("secs").isNotNull()).distinct()
+    x = null_safe_join(times, ranking.day_max(times, by), day, "left")
     scale = F.lit(tx.BAR_SCALE).cast("double")
     relative = F.floor(F.try_divide(scale, F.col("max_secs").cast("double")) * F.col("secs").cast("double")).cast("int")
-    x = x.withColumn("relative", relative)
+    x = null_safe_join(results, x.select(*day, "secs", relative.alias("relative")), [*day, "secs"], "left", plain=("date", "secs"))
     bar = F.concat(F.repeat(F.lit(tx.BAR_CELL), F.col("relative")), F.repeat(F.lit(tx.BAR_BLANK), F.lit(tx.BAR_WIDTH) - F.col("relative")))
     return x.select(*keys(by, "date", "name"), "secs", "relative", bar.alias("bar"))
 

@@ -4,13 +4,19 @@ The reference has no data of its own; these views give it the shapes it reads
 (a results sheet, an incoming board, a nested board document) and grow with the
 input tables.  Each has a DuckDB twin in ``__spark_entry__.py``.
 
-- ``results``: 8 players (``player_<custkey mod 8>``), one row per player and day,
-  time = fastest order of that day (20 s + 1 s per 1000 of order value).
-- ``league_results``: leagues = market segments, players = customers.
-- ``sheet``: raw stored rows, one per order outside priority ``1-URGENT``; times
-  under a minute are written ``:45`` as a form export does.
-- ``incoming``: formatted new rows, priorities ``1-URGENT`` and ``2-HIGH``;
-  ``2-HIGH`` is in both, so some rows are already stored.
+- ``results``: one row per player and day, time = fastest order of that day.
+  Players are the customers (``player_<custkey>``, 20 s + 1 s per 1000 of order
+  value) and, for every even order, eight fast regulars (``regular_<k>``, 20 s +
+  1 s per 8000) who take turns by the week, so that there are streaks, broken
+  streaks and ties at the top.  Every fifth order falls on New Year's Day, so
+  that there are crowded days.  Rows grow with the orders.
+- ``league_results``: the same, leagues = market segments; customers with a key
+  divisible by 101 have no league and those with a key divisible by 499 no name.
+- ``sheet``: raw stored rows, one per order, under ``player_<custkey>``; times
+  under a minute are written ``:45`` as a form export does, order keys divisible
+  by 503 have no name and those divisible by 509 no readable time.
+- ``incoming``: formatted new rows, priorities ``1-URGENT`` and ``2-HIGH``; those
+  of ``1-URGENT`` are 7 s faster than the stored ones, so some rows are new.
 - ``board_flat`` / ``board_docs``: the board from ``events``; ``error`` events
   are unsolved entries.
 """
@@ -22,7 +28,7 @@ from pyspark.sql import functions as F
 
 from podium.functions.timefmt import format_secs
 
-PLAYERS = 8
+REGULARS = 8
 BOARD_PAGE_USERS = 100
 
 
@@ -30,9 +36,29 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _player(custkey: Column, players: int | None = PLAYERS) -> Column:
-    key = custkey % F.lit(players) if players else custkey
-    return F.concat(F.lit("player_"), key.cast("string"))
+def _customer() -> Column:
+    return F.concat(F.lit("player_"), F.col("o_custkey").cast("string"))
+
+
+def _regular() -> Column:
+    """Whether an order is a regular's (see the module's ``results``)."""
+    return F.col("o_orderkey") % 2 == 0
+
+
+def _day() -> Column:
+    day = F.col("o_orderdate").cast("date")
+    return F.when(F.col("o_orderkey") % 5 == 0, F.trunc(day, "year")).otherwise(day)
+
+
+def _player(day: Column) -> Column:
+    week = F.floor(F.datediff(day, F.lit("1990-01-01").cast("date")) / F.lit(7))
+    regular = F.concat(F.lit("regular_"), (week % F.lit(REGULARS)).cast("string"))
+    return F.when(_regular(), regular).otherwise(_customer())
+
+
+def _result_secs() -> Column:
+    fast = (F.lit(20) + F.floor(F.col("o_totalprice") / F.lit(8000))).cast("int")
+    return F.when(_regular(), fast).otherwise(_order_secs())
 
 
 def _order_secs() -> Column:
@@ -42,11 +68,7 @@ def _order_secs() -> Column:
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _table(spark, sf_dir, "orders")
     return (
-        o.select(
-            _player(F.col("o_custkey")).alias("name"),
-            F.col("o_orderdate").cast("date").alias("date"),
-            _order_secs().alias("s"),
-        )
+        o.select(_player(_day()).alias("name"), _day().alias("date"), _result_secs().alias("s"))
         .groupBy("name", "date")
         .agg(F.min("s").alias("secs"))
         .withColumn("time", format_secs("secs"))
@@ -54,15 +76,15 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def league_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
+    o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     c = _table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     return (
         o.join(c, o.o_custkey == c.c_custkey, "inner")
         .select(
-            F.col("c_mktsegment").alias("league"),
-            _player(F.col("o_custkey"), None).alias("name"),
-            F.col("o_orderdate").cast("date").alias("date"),
-            _order_secs().alias("s"),
+            F.when(F.col("o_custkey") % 101 != 0, F.col("c_mktsegment")).alias("league"),
+            F.when((F.col("o_custkey") % 499 != 0) | _regular(), _player(_day())).alias("name"),
+            _day().alias("date"),
+            _result_secs().alias("s"),
         )
         .groupBy("league", "name", "date")
         .agg(F.min("s").alias("secs"))
@@ -71,19 +93,20 @@ def league_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _table(spark, sf_dir, "orders").where(F.col("o_orderpriority") != "1-URGENT")
+    o = _table(spark, sf_dir, "orders")
     s = _order_secs()
     mins = F.floor(s / F.lit(60))
+    written = F.concat(
+        F.when(mins == 0, F.lit("")).otherwise(mins.cast("string")),
+        F.lit(":"),
+        F.format_string("%02d", F.pmod(s, F.lit(60))),
+    )
     return o.select(
         F.timestamp_add("SECOND", F.pmod(F.col("o_orderkey"), F.lit(86400)).cast("int"), F.col("o_orderdate")).alias(
             "submitted_at"
         ),
-        _player(F.col("o_custkey")).alias("name"),
-        F.concat(
-            F.when(mins == 0, F.lit("")).otherwise(mins.cast("string")),
-            F.lit(":"),
-            F.format_string("%02d", F.pmod(s, F.lit(60))),
-        ).alias("time"),
+        F.when(F.col("o_orderkey") % 503 != 0, _customer()).alias("name"),
+        F.when(F.col("o_orderkey") % 509 == 0, F.lit("dnf")).otherwise(written).alias("time"),
         F.col("o_orderdate").cast("date").alias("date"),
     )
 
@@ -91,8 +114,8 @@ def sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _table(spark, sf_dir, "orders").where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
     return o.select(
-        _player(F.col("o_custkey")).alias("name"),
-        format_secs(_order_secs()).alias("time"),
+        _customer().alias("name"),
+        format_secs(_order_secs() - F.when(F.col("o_orderpriority") == "1-URGENT", 7).otherwise(0)).alias("time"),
         F.col("o_orderdate").cast("date").alias("date"),
     ).distinct()
 
