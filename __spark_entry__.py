@@ -362,7 +362,7 @@ def _fastest_cte(p: str, by: str = "") -> str:
     select {b}{_trunc(p)} as period_start,
            cast(row_number() over (partition by {b}{_trunc(p)} order by secs, date, name) as bigint) as pos,
            name, date, secs, time,
-           concat(time, ' by ', name, ' on ', strftime(date, '%a, %b %d'), {NL}) as line
+           concat(time, ' by ', coalesce(name, 'NA'), ' on ', strftime(date, '%a, %b %d'), {NL}) as line
     from results) f0 where pos <= 3
 )"""
 
@@ -372,7 +372,7 @@ def _median_cte(p: str, by: str = "") -> str:
     return f"""med as (
   select {b}period_start, name, median_secs, {_fmt('median_secs')} as median_time,
          cast(row_number() over (partition by {b}period_start order by median_secs, name) as bigint) as pos,
-         concat(name, ': ', {_fmt('median_secs')}, {NL}) as line
+         concat(coalesce(name, 'NA'), ': ', {_fmt('median_secs')}, {NL}) as line
   from (select {b}period_start, name, cast(round_even(m, 0) as bigint) as median_secs
         from (select {b}{_trunc(p)} as period_start, name, median(secs) as m from results group by all) m0) m1
 )"""
@@ -382,7 +382,7 @@ def _longest_cte(p: str, by: str = "") -> str:
     b = f"{by}, " if by else ""
     return f"""longest as (
   select {b}period_start, name, streak, date,
-         concat(name, ': ', cast(streak as varchar), ', ending on ', strftime(date, '%a, %b %d'), {NL}) as line,
+         concat(coalesce(name, 'NA'), ': ', cast(streak as varchar), ', ending on ', strftime(date, '%a, %b %d'), {NL}) as line,
          cast(row_number() over (partition by {b}period_start order by date, name) as bigint) as pos
   from (select {b}{_trunc(p)} as period_start, name, streak, date,
                rank() over (partition by {b}{_trunc(p)} order by streak desc) as r from streaks) l0
@@ -394,7 +394,7 @@ def _parts_sql(periods: str, spec: str, heads_case: str, key: str = "period_star
     ks = [by, key] if by else [key]
     sel_p = ", ".join(f"p.{k}" for k in ks)
     sel_h = ", ".join(f"h.{k}" for k in ks)
-    on = " and ".join(f"pg.{k} = h.{k}" for k in [*ks, "section"])
+    on = " and ".join(f"pg.{k} is not distinct from h.{k}" for k in [*ks, "section"])
     return f"""pages as (
   select {", ".join(ks)}, section, cast(floor((pos - 1) / 50) as bigint) as page, string_agg(line, '' order by pos, o1, o2) as body
   from lines group by all
@@ -422,7 +422,7 @@ def _report_sql(p: str) -> str:
     )
     lines = f"""lines as (
   select period_start, 'wins' as section, pos, cast(null as bigint) as o1, cast(null as varchar) as o2,
-         concat(name, ': ', cast(n as varchar), ' ', case when rnk = 1 then ':crown:' else '' end, {NL}) as line from wins
+         concat(coalesce(name, 'NA'), ': ', cast(n as varchar), ' ', case when rnk = 1 then ':crown:' else '' end, {NL}) as line from wins
   union all select period_start, 'fastest', pos, null, null, line from fast
   union all select period_start, 'medians', pos, null, null, line from med
   union all select period_start, 'streak', pos, null, null, line from longest
@@ -464,8 +464,8 @@ def _standings_cte(by: str = "") -> str:
          case when r.rnk = 1 and s.streak >= 3 then concat('(', cast(s.streak as varchar), '-day streak)') else '' end as streak_text,
          case when k.broken_streak > 2 then concat('(', cast(k.broken_streak as varchar), '-day streak broken)') else '' end as broken_text
   from ranked r
-  left join streaks s on {on_b}s.name = r.name and s.date = r.date
-  left join broken k on {on_k}k.date = r.date and k.name = r.name
+  left join streaks s on {on_b}s.name is not distinct from r.name and s.date = r.date
+  left join broken k on {on_k}k.date = r.date and k.name is not distinct from r.name
 )"""
 
 
@@ -586,7 +586,7 @@ left join no on no.period_start = p.period_start and no.name = p.name"""
         + f"select league, {_trunc('month')} as period_start, count(*) as rows, max(date) as latest_date from results group by all"
     )
     o["results_with_streaks_league"] = _with(LEAGUE_RESULTS, *_streaks_cte("league")) + """select r.league, r.name, r.date, r.secs, r.time, s.streak
-from results r left join streaks s on s.league = r.league and s.name = r.name and s.date = r.date"""
+from results r left join streaks s on s.league is not distinct from r.league and s.name is not distinct from r.name and s.date = r.date"""
     o["period_wins_year_league"] = _with(LEAGUE_RESULTS, _ranked("league, date"), _wins_cte("year", "league")) + (
         "select league, period_start, name, n, rnk, pos, case when rnk = 1 then ':crown:' else '' end as mark from wins"
     )
@@ -605,7 +605,7 @@ from results r left join streaks s on s.league = r.league and s.name = r.name an
 from (select r.league, r.date, r.name, r.secs,
              cast(floor(cast(7 as double) / cast(m.max_secs as double) * cast(r.secs as double)) as integer) as relative
       from results r join (select league, date, max(secs) as max_secs from results group by all) m
-        on m.league = r.league and m.date = r.date) t"""
+        on m.league is not distinct from r.league and m.date = r.date) t"""
     o["fastest_three_month_league"] = _with(LEAGUE_RESULTS, _fastest_cte("month", "league")) + "select * from fast"
     o["longest_streak_month_league"] = (
         _with(LEAGUE_RESULTS, *_streaks_cte("league"), _longest_cte("month", "league")) + "select * from longest"
@@ -639,7 +639,7 @@ from (select r.date, r.name, r.secs,
             cast(row_number() over (partition by period_start order by firsts desc nulls last, silvers desc nulls last,
                                     thirds desc nulls last, name) as bigint) as pos,
             cast(null as bigint) as o1, cast(null as varchar) as o2,
-            concat(name, ': ', repeat(':first_place_medal:', coalesce(firsts, 0)),
+            concat(coalesce(name, 'NA'), ': ', repeat(':first_place_medal:', coalesce(firsts, 0)),
                    repeat(':second_place_medal:', coalesce(silvers, 0)), repeat(':third_place_medal:', coalesce(thirds, 0)), {NL}) as line
           from c)""",
     ) + ", " + _parts_sql(
@@ -687,12 +687,12 @@ def _league_report_sql(p: str) -> str:
   select * from (
     select league, {_trunc(p)} as period_start,
            cast(row_number() over (partition by league, {_trunc(p)} order by secs, date, name) as bigint) as pos,
-           name, date, secs, time, concat(time, ' by ', name, ' on ', strftime(date, '%a, %b %d'), {NL}) as line
+           name, date, secs, time, concat(time, ' by ', coalesce(name, 'NA'), ' on ', strftime(date, '%a, %b %d'), {NL}) as line
     from results) f0 where pos <= 3
 )"""
     longest = f"""longest as (
   select league, period_start, name, streak, date,
-         concat(name, ': ', cast(streak as varchar), ', ending on ', strftime(date, '%a, %b %d'), {NL}) as line,
+         concat(coalesce(name, 'NA'), ': ', cast(streak as varchar), ', ending on ', strftime(date, '%a, %b %d'), {NL}) as line,
          cast(row_number() over (partition by league, period_start order by date, name) as bigint) as pos
   from (select league, {_trunc(p)} as period_start, name, streak, date,
                rank() over (partition by league, {_trunc(p)} order by streak desc) as r from streaks) l0
@@ -700,7 +700,7 @@ def _league_report_sql(p: str) -> str:
 )"""
     lines = f"""lines as (
   select league, period_start, 'wins' as section, pos, cast(null as bigint) as o1, cast(null as varchar) as o2,
-         concat(name, ': ', cast(n as varchar), ' ', case when rnk = 1 then ':crown:' else '' end, {NL}) as line from wins
+         concat(coalesce(name, 'NA'), ': ', cast(n as varchar), ' ', case when rnk = 1 then ':crown:' else '' end, {NL}) as line from wins
   union all select league, period_start, 'fastest', pos, null, null, line from fast
   union all select league, period_start, 'medians', pos, null, null, line from med
   union all select league, period_start, 'streak', pos, null, null, line from longest
@@ -729,7 +729,7 @@ select h.league, h.period_start, h.message, h.seq, h.section, coalesce(pg.page,
               case when coalesce(pg.page, 0) = 0 and (pg.body is not null or h.always) then h.header else '' end,
               coalesce(pg.body, '')) as text
 from heads h left join pages pg
-  on pg.league = h.league and pg.period_start = h.period_start and pg.section = h.section"""
+  on pg.league is not distinct from h.league and pg.period_start = h.period_start and pg.section = h.section"""
     return _with(
         LEAGUE_RESULTS, *_streaks_cte("league"), _wins_cte(p, "league"), fast, _median_cte(p, "league"), longest, lines
     ) + ", " + body

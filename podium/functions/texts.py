@@ -58,7 +58,7 @@ _FIELD = re.compile(r"\{(\w+)\}")
 def fill(template: str, **values) -> Column:
     """``concat`` of the template's literal pieces and the given columns (``{name}`` placeholders).
 
-    Values may be column names, columns or Python literals.
+    Values may be column names, columns or Python literals; a null value is rendered ``NA``.
     """
     parts: list[Column] = []
     pos = 0
@@ -66,7 +66,8 @@ def fill(template: str, **values) -> Column:
         if m.start() > pos:
             parts.append(F.lit(template[pos : m.start()]))
         v = values[m.group(1)]
-        parts.append(as_col(v) if isinstance(v, (str, Column)) else F.lit(v))
+        value = as_col(v) if isinstance(v, (str, Column)) else F.lit(v)
+        parts.append(F.coalesce(value.cast("string"), F.lit(MISSING)))
         pos = m.end()
     if pos < len(template):
         parts.append(F.lit(template[pos:]))

@@ -159,7 +159,7 @@ def fastest(results: DataFrame, by: Sequence[str] | None = None, period: str = "
     ``row_number() <= k`` plans as a partial ``WindowGroupLimit``: each task
     ships only its own top ``k`` per period.
     """
-    w = Window.partitionBy(*keys(by, "period_start")).orderBy("secs", "date", "name")
+    w = Window.partitionBy(*keys(by, "period_start")).orderBy("secs", "date", F.col("name").asc_nulls_last())
     top = (
         with_period(results.where(F.col("secs").isNotNull()), period)
         .withColumn("pos", F.row_number().over(w))

@@ -72,7 +72,7 @@ def _day_extras(results: DataFrame, by, streak_table: DataFrame | None) -> DataF
 def _tie_window(df: DataFrame, by) -> Window:
     """Order among equal times of a day, by name.  Keyed like the rank join, so it reuses that shuffle."""
     part = partition_keys(df, keys(by, "date", "secs"), plain=ranking.RANK_PLAIN_KEYS)
-    return Window.partitionBy(*part).orderBy("name")
+    return Window.partitionBy(*part).orderBy(F.col("name").asc_nulls_last())
 
 
 def _ranked_day(results: DataFrame, by, streak_table: DataFrame | None, checked: bool = False) -> DataFrame:
