@@ -11,9 +11,10 @@ shingles for either size ``n``, so in any global order of shingles the first
    shingles.  Documents of one set (copies) become one class.
 3. Inverted lists: postings partitioned by shingle and sorted by size; shingles
    of a single class are dropped.
-4. Contraction: each list's first document of a size range is compared with the
-   list's others.  Verified links make components, so that the lists of a large
-   group of near copies have a single label and are done with.
+4. Contraction: the first class of each size range is a list's centre, and every
+   class is compared with the centre it shares most lists with.  Verified links
+   make components, so that the lists of a large group of near copies have a
+   single label and are done with.
 5. T-occurrence search over the lists with several labels: a document skips up
    to ``SKIP`` of its longest lists if they are long (DivideSkip), heap-merges
    the others and keeps the candidates whose count can still reach
@@ -336,7 +337,10 @@ def join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFram
     classes = staged(keyed.select("node", "rep"), "classes")
     unstage(keyed)
     usable = classes.where("rep IS NOT NULL")
-    star = verified(docs, usable, lists.where("center != node").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct(), k, num, den)
+    # each class is compared with the centre it shares most lists with; step 5 finds all other links
+    shared = lists.where("center != node").groupBy("center", "node").agg(F.count("*").alias("n"))
+    nearest = shared.groupBy("node").agg(F.max(F.struct("n", "center")).alias("best"))
+    star = verified(docs, usable, nearest.select(F.col("best.center").alias("a"), F.col("node").alias("b")), k, num, den)
     first = staged(components(star), "contracted")
     labelled = lists.select("key", "n", "node").join(first, "node", "left").select("key", "n", "node", F.coalesce("component", "node").alias("label"))
     open_ = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("key")
