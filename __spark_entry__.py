@@ -21,6 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from podium.functions.texts import DAILY_TITLE
 from podium.functions.timefmt import format_secs, format_secs_unpadded, parse_time, repair_time
 from podium.operators import ingest as ing
 from podium.operators import medians as med
@@ -28,6 +29,7 @@ from podium.operators import ranking as rk
 from podium.operators import streaks as st
 from podium.plans import reports as rp
 from podium.plans import jobs
+from podium.plans import stored_runs as sr
 from podium.sources import fixtures as fx
 from podium.sources.tables import parse_board_text
 from podium.streaming import board_stream
@@ -195,6 +197,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "report_text_this_week": _as_of(lambda r: jobs.period_report_for(r, AS_OF, None, "week")),
         "report_text_last_month": _as_of(lambda r: jobs.period_report_for(r, AS_OF, None, "month")),
         "report_text_last_year": _as_of(lambda r: jobs.period_report_for(r, AS_OF, None, "year")),
+        "report_text_last_month_lookback": _as_of(lambda r: jobs.period_report_for(r, AS_OF, None, "month", lookback_days=90)),
+        # the jobs on stored tables
+        "board_from_files": sr.board_from_files,
+        "stamped_rows": sr.stamped_rows,
+        "sheet_from_csv": sr.sheet_from_csv,
+        "appended_and_overwritten": sr.appended_and_overwritten,
+        "write_order": sr.write_order,
+        "messages_written": sr.messages_written,
+        "days_in_zone": sr.days_in_zone,
+        "ingest_rejects": sr.rejected_rows,
+        "reconciled_orphans": sr.reconciled,
+        "daily_message_incremental": sr.daily_after_second_poll,
+        "report_month_from_streaks": sr.month_from_streak_table,
     }
     for p in ("week", "month", "year"):
         q[f"period_wins_{p}"] = _res(lambda r, by, p=p: rk.period_wins(r, by, p))
@@ -666,6 +681,30 @@ from (select r.date, r.name, r.secs,
         "select league, period_start, name, n, rnk, pos, case when rnk = 1 then ':crown:' else '' end as mark from wins"
     )
     o["median_times_month_league"] = _with(LEAGUE_RESULTS, _median_cte("month", "league")) + "select * from med"
+    recent = RESULTS.replace("from orders group by", f"from orders where {_DAY} > date '{AS_OF.isoformat()}' - 90 group by")
+    o["report_text_last_month_lookback"] = (
+        f"select * from ({o['report_text_month'].replace(RESULTS, recent)}) t where period_start = date '2001-07-01'"
+    )
+    board = BOARD_FLAT + f""",
+results as (select name, date, secs, {_fmt('secs')} as time from board_flat where secs is not null)"""
+    daily = o["daily_message"].replace(RESULTS, board)
+    o["board_from_files"] = o["flatten_board"]
+    o["stamped_rows"] = _with(BOARD_FLAT) + f"select name, {_fmt('secs')} as time, date from board_flat where secs is not null"
+    o["sheet_from_csv"] = _with(SHEET) + "select * from sheet"
+    o["appended_and_overwritten"] = _with(BOARD_FLAT) + f"""select name, {_fmt('s')} as time, s as secs, date
+from (select name, date, secs - case when date >= date '{sr.REWRITTEN.isoformat()}' then 1 else 0 end as s from board_flat where secs is not null) t"""
+    o["write_order"] = _with(BOARD_FLAT) + "select date, count(*) as rows, 0 as out_of_order from board_flat where secs is not null group by date"
+    o["messages_written"] = f"""select 'daily' as kind, date as period_start, '{DAILY_TITLE}' as title, message, seq, section, page, text
+from ({daily}) t"""
+    # all events fall in January, six hours behind UTC in the zone
+    o["days_in_zone"] = "select cast(ts - interval 6 hour as date) as date, count(*) as events from events group by 1"
+    o["ingest_rejects"] = _with(BOARD_FLAT) + f"""select distinct case when secs % 11 <> 1 then name end as name, {_fmt('secs')} as time, secs,
+  case when secs % 11 <> 0 then date end as date from board_flat where secs % 11 in (0, 1)"""
+    o["reconciled_orphans"] = _with(BOARD_FLAT) + f"""select name, {_fmt('(secs + 3)')} as time, secs + 3 as secs, date
+from board_flat where secs % 7 = 0"""
+    o["daily_message_incremental"] = f"select * from ({o['messages_written']}) t where period_start = date '{sr.POLLED.isoformat()}' + 1"
+    o["report_month_from_streaks"] = f"""select 'month' as kind, period_start, 'January' as title, message, seq, section, page, text
+from ({o['report_text_month'].replace(RESULTS, board)}) t"""
     if corpus is not None:
         o.update(corpus.ORACLE_SQL)
         if corpus_pipeline.ORACLE_SQL:

@@ -27,11 +27,19 @@ from podium.util import as_col
 PERIODS = ("day", "week", "month", "year")
 
 
-def as_of_default(zone: str = "America/Chicago") -> dt.date:
-    """Today in the league's time zone (the reference date when none is given)."""
+ZONE = "America/Chicago"
+
+
+def as_of_default(zone: str = ZONE, now: dt.datetime | None = None) -> dt.date:
+    """Today in the league's time zone (the reference date when none is given); ``now`` is an aware instant."""
     from zoneinfo import ZoneInfo
 
-    return dt.datetime.now(ZoneInfo(zone)).date()
+    return now.astimezone(ZoneInfo(zone)).date() if now else dt.datetime.now(ZoneInfo(zone)).date()
+
+
+def day_in_zone(instant, zone: str = ZONE) -> Column:
+    """The day it is in ``zone`` at a UTC instant."""
+    return F.from_utc_timestamp(as_col(instant), zone).cast("date")
 
 
 def period_col(date, period: str) -> Column:

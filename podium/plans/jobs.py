@@ -167,6 +167,13 @@ def run_ingest(
         compact_days(spark, table_path, canonical_path, flat.select("date"), by)
 
 
+def run_reconcile(spark: SparkSession, board_dir: str, table_path: str, out_path: str, by: Sequence[str] | None = None) -> None:
+    """Stored rows of the boards' days that the boards do not show (any more): one report, replaced by each run."""
+    flat = ing.flatten_board(read_board(spark, board_dir, by=by), by)
+    stored = _on_days(read_stored(spark, table_path, by), flat, by)
+    ing.orphan_rows(stored, flat, by).write.mode("overwrite").parquet(out_path)
+
+
 def _streak_schema(by: Sequence[str] | None) -> T.StructType:
     fields = [T.StructField(k, T.StringType(), True) for k in (by or [])]
     return T.StructType(
@@ -411,10 +418,10 @@ def run_period(
 
 def main(argv: Sequence[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="python -m podium.plans.jobs")
-    p.add_argument("job", choices=["ingest", "daily", "week", "month", "year"])
+    p.add_argument("job", choices=["ingest", "reconcile", "daily", "week", "month", "year"])
     p.add_argument("--table", required=True, help="results table path (date-partitioned Parquet)")
-    p.add_argument("--boards", help="landed board JSON folder (ingest)")
-    p.add_argument("--messages", help="messages output path")
+    p.add_argument("--boards", help="landed board JSON folder (ingest, reconcile)")
+    p.add_argument("--messages", help="output path of messages or of the reconciliation")
     p.add_argument("--marker", help="progress marker path (daily)")
     p.add_argument("--streaks", help="incremental streak table path (daily keeps it; month / year read it)")
     p.add_argument("--lookback-days", type=int, default=None, help="streaks of month / year from so many days only (literal form: 90)")
@@ -426,6 +433,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = SparkSession.builder.getOrCreate()
     if a.job == "ingest":
         run_ingest(spark, a.boards, a.table, by, a.canonical)
+    elif a.job == "reconcile":
+        run_reconcile(spark, a.boards, a.table, a.messages, by)
     elif a.job == "daily":
         run_daily(spark, a.table, a.messages, a.marker, a.as_of, by, a.streaks, a.canonical)
     else:

@@ -204,3 +204,106 @@ def test_marker_keeps_other_leagues(spark, tmp_path):
     jobs.run_daily(spark, table, str(tmp_path / "d2"), marker, dt.date(2024, 1, 2), ["league"])
     got = {r.league: r.latest_date.day for r in spark.read.parquet(marker).collect()}
     assert got == {"east": 2, "west": 1}
+
+
+def _text(spark, path, day):
+    rows = spark.read.json(path).where(F.to_date("period_start") == F.lit(day)).orderBy("seq", "page").collect()
+    return "".join(r.text for r in rows)
+
+
+def test_second_poll_corrects_streaks(spark, tmp_path):
+    boards, table = tmp_path / "boards", str(tmp_path / "table")
+    streaks, kept, full = str(tmp_path / "streaks"), str(tmp_path / "kept"), str(tmp_path / "full")
+    for day in (1, 2, 3):
+        _land(boards, f"2024-01-0{day}", [("a", 30), ("c", 90)])
+        jobs.run_ingest(spark, str(boards), table)
+        jobs.run_daily(spark, table, kept, None, dt.date(2024, 1, day), streak_path=streaks)
+    _land(boards, "2024-01-03", [("a", 30), ("b", 20), ("c", 90)])  # a later poll makes b the winner of day 3
+    jobs.run_ingest(spark, str(boards), table)
+    _land(boards, "2024-01-04", [("a", 30), ("c", 90)])
+    jobs.run_ingest(spark, str(boards), table)
+    day = dt.date(2024, 1, 4)
+    jobs.run_daily(spark, table, kept, None, day, streak_path=streaks)
+    jobs.run_daily(spark, table, full, None, day)
+    assert _text(spark, kept, day) == _text(spark, full, day)
+    assert "(4-day streak)" not in _text(spark, kept, day)
+    # at most the generation in use and the one before it are kept
+    import os
+
+    assert len([x for x in os.listdir(streaks) if x.startswith("gen-")]) <= 2
+
+
+def test_a_missed_day_is_caught_up_without_a_rebuild(spark, tmp_path):
+    from podium.operators import streaks as st
+    from tests.conftest import results_df
+
+    r = results_df(spark, [(w, f"2024-01-{d:02d}", 10) for d, w in enumerate("aaabbbaa", 1)])
+    path = str(tmp_path / "streaks")
+    jobs.update_streaks(spark, r, path, dt.date(2024, 1, 2))
+    first = spark.read.parquet(path + "/_through").collect()[0].generation
+    jobs.update_streaks(spark, r, path, dt.date(2024, 1, 8))
+    assert spark.read.parquet(path + "/_through").collect()[0].generation == first
+    key = lambda df: sorted((x.name, x.date, x.streak) for x in df.collect())
+    assert key(jobs.read_streaks(spark, path)) == key(st.streaks(r))
+
+
+def test_period_report_with_absent_stale_and_current_streak_tables(spark, tmp_path):
+    import pytest
+
+    boards, table = tmp_path / "boards", str(tmp_path / "table")
+    for day in range(1, 7):
+        _land(boards, f"2024-01-0{day}", [("a", 30), ("b", 45)])
+    jobs.run_ingest(spark, str(boards), table)
+    as_of, streaks = dt.date(2024, 2, 10), str(tmp_path / "streaks")
+    with pytest.raises(FileNotFoundError):
+        jobs.run_period(spark, table, str(tmp_path / "m0"), "month", as_of, streak_path=streaks)
+    results = jobs.read_canonical(spark, table)
+    for through in (3, 6):  # stale, current
+        jobs.update_streaks(spark, results, streaks, dt.date(2024, 1, through), table_path=table)
+        out = str(tmp_path / f"m{through}")
+        jobs.run_period(spark, table, out, "month", as_of, streak_path=streaks)
+        whole = "".join(p.text for p in spark.read.json(out).orderBy("message", "seq", "page").collect())
+        assert whole.endswith("*Longest streak*\na: 6, ending on Sat, Jan 06\n")
+
+
+def test_rows_without_a_date_are_kept_as_rejects_once(spark, tmp_path):
+    boards, table = tmp_path / "boards", str(tmp_path / "table")
+    _land(boards, "undated", [("a", 30), ("b", 45)])
+    _land(boards, "2024-01-02", [("a", 31)])
+    for _ in range(3):
+        jobs.run_ingest(spark, str(boards), table)
+    start_board_stream(spark, str(boards), table, str(tmp_path / "ckpt")).awaitTermination()
+    assert [(r.name, r.secs) for r in jobs.read_stored(spark, table).collect()] == [("a", 31)]
+    assert sorted((r.name, r.secs, r.date) for r in jobs.read_rejects(spark, table).collect()) == [("a", 30, None), ("b", 45, None)]
+
+
+def test_reports_of_a_missing_table_fail(spark, tmp_path):
+    import pytest
+
+    missing = str(tmp_path / "nowhere")
+    for run in (
+        lambda: jobs.run_daily(spark, missing, str(tmp_path / "m"), None, dt.date(2024, 1, 1)),
+        lambda: jobs.run_period(spark, missing, str(tmp_path / "m"), "month", dt.date(2024, 2, 1)),
+        lambda: jobs.run_daily(spark, missing, str(tmp_path / "m"), None, dt.date(2024, 1, 1), canonical_path=missing),
+    ):
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            run()
+
+
+def test_reconcile_lists_corrected_rows(spark, tmp_path):
+    boards, table, out = tmp_path / "boards", str(tmp_path / "table"), str(tmp_path / "orphans")
+    _land(boards, "2024-01-01", [("a", 30), ("b", 45)])
+    jobs.run_ingest(spark, str(boards), table)
+    _land(boards, "2024-01-01", [("a", 28), ("b", 45)])
+    jobs.run_ingest(spark, str(boards), table)
+    jobs.main(["reconcile", "--table", table, "--boards", str(boards), "--messages", out])
+    assert [(r.name, r.secs) for r in spark.read.parquet(out).collect()] == [("a", 30)]
+
+
+def test_lookback_cuts_streaks(spark):
+    from tests.conftest import results_df
+
+    r = results_df(spark, [("a", str(dt.date(2024, 1, 1) + dt.timedelta(days=i)), 10) for i in range(121)])
+    as_of = dt.date(2024, 5, 1)
+    last = lambda days: [p.text for p in jobs.period_report_for(r, as_of, None, "month", lookback_days=days).where("section = 'streak'").collect()][0]
+    assert "a: 121, ending on Tue, Apr 30" in last(None) and "a: 89, ending on Tue, Apr 30" in last(90)
