@@ -18,7 +18,10 @@ shingles for either size ``n``, so in any global order of shingles the first
 5. T-occurrence search over the lists with several labels: a document skips up
    to ``SKIP`` of its longest lists if they are long (DivideSkip), heap-merges
    the others and keeps the candidates whose count can still reach
-   ``1 + SKIP``; lists hold only documents of another label.
+   ``1 + SKIP``; lists hold only documents of another label.  Two rounds try the
+   candidates of the highest counts first (``CONTRACTIONS``) and merge labels, so
+   that a large group that is linked only in chains is soon one label; the last
+   round tries every candidate left.
 6. Candidates are compared exactly: one document's sorted shingles are
    binary-probed for the other's, the skipped lists' shingles included.
 
@@ -26,7 +29,8 @@ A list is streamed sorted by size, and only the part within the similarity's
 size range is held.  No link between different sets is lost; links inside a
 component already known are not listed again.  Shingles and sets are compared
 by 58- and 64-bit hashes (a wrong merge of two classes among N is expected
-N^2 / 2^65 times).
+N^2 / 2^65 times), and by 40 bits in the comparison of a pair (one shingle too
+many is counted about n^2 / 2^40 times).
 
 Defined results: null, empty and blank texts have an empty set and link with
 nothing; a text with fewer than k words is one shingle; rows with a null id form
@@ -57,6 +61,8 @@ SKIP, SMALL = 8, 32
 SHORT = 64
 #: frequent shingles told to every task (9 bytes each); the order of the rest is by hash alone
 FREQUENT = 1 << 18
+#: candidates of each class tried in the rounds before all remaining ones are
+CONTRACTIONS = (2, 4)
 _BITS = np.uint64(6)
 
 
@@ -195,45 +201,68 @@ def _and_end(batches):
     yield None
 
 
-def _fetch(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """node and its sorted shingles, for ``nodes`` (node, rep); a row counts if its own set has that signature."""
+#: bytes of a shingle's hash that are compared exactly
+EXACT = 5
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            node = b.column(0).to_numpy()
-            found: dict[int, bytes] = {}
-            for r, s in _sets(b.column(1), k):
-                if len(s) and _node(s) == node[r]:
-                    found[int(node[r])] = s.tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], ["node", "shingles"])
 
-    # the classes follow the corpus, so they are never broadcast, and the plan is the same at every size
-    texts = docs.select("doc_id", "text").join(nodes.hint("merge"), F.col("doc_id") == F.col("rep")).select("node", "text")
-    return staged(mapped(texts, sets, "node long, shingles binary").groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
+def _packed(s: np.ndarray) -> bytes:
+    """The low ``EXACT`` bytes of each hash, sorted; ``_unpacked`` gives them back as numbers."""
+    low = np.unique(s & np.uint64((1 << 8 * EXACT) - 1))
+    return low.view(np.uint8).reshape(-1, 8)[:, :EXACT].tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // EXACT, 8), np.uint8)
+    out[:, :EXACT] = np.frombuffer(raw, np.uint8).reshape(-1, EXACT)
+    return out.reshape(-1).view(np.uint64)
 
 
 def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity.
 
-    ``a``'s shingles are held while its partners stream past; a class with many
-    partners is dealt to several tasks.
+    Each class's text is read once and its shingles are sent to where they are
+    compared: ``a``'s are held there while its partners' stream past.  A class
+    with many partners is dealt to several tasks.
     """
     pairs = staged(pairs, "pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = _fetch(docs, ends.join(classes.select("node", "rep"), "node"), k)
-    degree = staged(pairs.groupBy("a").agg(F.ceil(F.count("*") / 256).cast("int").alias("parts")), "degree")
-    dealt = pairs.join(degree, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
-    partners = dealt.join(sets.withColumnRenamed("node", "b"), "b").select("a", "part", "b", "shingles", F.lit(1).alias("kind"))
-    heads = sets.join(degree, F.col("node") == F.col("a")).select(
-        "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("b"), "shingles", F.lit(0).alias("kind")
-    )
+    degree = pairs.groupBy("a").agg(F.ceil(F.count("*") / 256).cast("int").alias("parts"))
+    dealt = pairs.join(degree.hint("merge"), "a")
+    part = F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")
+    ends = dealt.select(F.col("b").alias("node"), F.struct("a", part.alias("part"), F.lit(1).alias("kind")).alias("to"))
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    heads = degree.select("a", every.alias("part")).select(F.col("a").alias("node"), F.struct("a", "part", F.lit(0).alias("kind")).alias("to"))
+    sent = ends.unionByName(heads).groupBy("node").agg(F.collect_list("to").alias("to"))
+    named = sent.join(classes.select("node", "rep"), "node")
+    # the classes follow the corpus, so they are never broadcast, and the plan is the same at every size
+    texts = docs.select("doc_id", "text").join(named.hint("merge"), F.col("doc_id") == F.col("rep")).select("node", "text", "to")
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = set()  # rows that repeat an id lie in one task; the first with the class's set counts
+        for b in batches:
+            node, rows, size = b.column(0).to_numpy(), [], 0
+            for r, s in _sets(b.column(1), k):
+                if len(s) and int(node[r]) not in done and _node(s) == node[r]:
+                    done.add(int(node[r]))
+                    raw = _packed(s)
+                    for t in b.column(2)[r].as_py():
+                        rows.append((t["a"], t["part"], t["kind"], int(node[r]), raw))
+                        size += len(raw)
+                    if size > 1 << 23:
+                        yield _sent(rows)
+                        rows, size = [], 0
+            yield _sent(rows)
+
+    def _sent(rows):
+        cols = list(zip(*rows)) or [()] * 5
+        types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["a", "part", "kind", "b", "shingles"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, mine = None, np.empty(0, np.uint64)
         for b in batches:
             left, right = [], []
-            for a, other, raw, kind in zip(*(b.column(i).to_pylist() for i in (0, 2, 3, 4))):
-                s = np.frombuffer(raw, np.uint64)
+            for a, kind, other, raw in zip(*(b.column(i).to_pylist() for i in (0, 2, 3, 4))):
+                s = _unpacked(raw)
                 if kind == 0:
                     head, mine = a, s
                 elif head == a:
@@ -244,16 +273,18 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, num:
                         right.append(other)
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
-    rows = heads.unionByName(partners).repartition("a", "part").sortWithinPartitions("a", "part", "kind", "b")
-    out = staged(mapped(rows.select("a", "part", "b", "shingles", "kind"), compare, "a long, b long"), "links")
-    unstage(pairs, sets, degree)
+    rows = mapped(texts, send, "a long, part int, kind int, b long, shingles binary")
+    rows = rows.repartition("a", "part").sortWithinPartitions("a", "part", "kind", "b")
+    out = staged(mapped(rows, compare, "a long, b long"), "links")
+    unstage(pairs)
     return out
 
 
-def _candidates(lists: DataFrame, num: int, den: int) -> DataFrame:
+def _candidates(lists: DataFrame, num: int, den: int, best: int | None = None) -> DataFrame:
     """(a, b): classes of different labels whose count over the merged lists can reach the required overlap.
 
-    ``lists``: key, n, node, label of lists with several labels.
+    ``lists``: key, n, node, label of lists with several labels.  ``best`` keeps
+    only so many candidates of each class, those of the highest counts.
     """
     sized = lists.join(lists.groupBy("key").agg(F.count("*").alias("long")), "key")
     rank = F.row_number().over(W.partitionBy("node").orderBy(F.desc("long"), "key"))
@@ -302,10 +333,11 @@ def _candidates(lists: DataFrame, num: int, den: int) -> DataFrame:
         def found(a, n, skipped, runs):
             # a partner has at least the similarity's share of n; below SMALL it indexes no extra shingles
             need = max(1, 1 + SKIP - skipped) if -(-n * num // den) >= SMALL else 1
-            for other, same in groupby(heapq.merge(*runs)):
-                if need == 1 or sum(1 for _ in same) >= need:
-                    left.append(a)
-                    right.append(other)
+            counted = ((sum(1 for _ in same), other) for other, same in groupby(heapq.merge(*runs)))
+            reached = (x for x in counted if x[0] >= need)
+            for _, other in reached if best is None else heapq.nlargest(best, reached):
+                left.append(a)
+                right.append(other)
 
         head, runs = None, []
         for b in batches:
@@ -341,16 +373,20 @@ def join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFram
     shared = lists.where("center != node").groupBy("center", "node").agg(F.count("*").alias("n"))
     nearest = shared.groupBy("node").agg(F.max(F.struct("n", "center")).alias("best"))
     star = verified(docs, usable, nearest.select(F.col("best.center").alias("a"), F.col("node").alias("b")), k, num, den)
-    first = staged(components(star), "contracted")
-    labelled = lists.select("key", "n", "node").join(first, "node", "left").select("key", "n", "node", F.coalesce("component", "node").alias("label"))
-    open_ = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("key")
-    several = staged(labelled.join(open_, "key"), "several")
-    more = verified(docs, usable, _candidates(several, num, den), k, num, den)
-    whole = staged(components(star.unionByName(more)), "components")
+    links = star
+    for best in (*CONTRACTIONS, None):
+        known = staged(components(links), "contracted")
+        labelled = lists.select("key", "n", "node").join(known, "node", "left").select("key", "n", "node", F.coalesce("component", "node").alias("label"))
+        open_ = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("key")
+        several = staged(labelled.join(open_, "key"), "several")
+        more = verified(docs, usable, _candidates(several, num, den, best), k, num, den)
+        links = links.unionByName(more)
+        unstage(known, several)
+    whole = staged(components(links), "components")
     names = usable.select("node", "rep").join(whole, "node").groupBy("component").agg(F.min("rep").alias("least"))
     named = classes.select("node", "rep").join(whole, "node", "left").join(names, "component", "left")
     final = staged(named.select("node", F.coalesce("least", "rep").alias("named")), "named")
-    unstage(lists, star, first, several, more, whole, classes)
+    unstage(lists, whole, classes)
     out = salted_join(marks, final, ["node"], F.coalesce("doc_id", F.lit(0)))
     own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("named"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
