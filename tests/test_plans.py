@@ -89,7 +89,21 @@ def test_tie_window_reuses_rank_join_shuffle(spark):
 
 def test_checked_daily_same_rows_and_broadcast(spark):
     r = fx.league_results(spark, SF)
-    want = sorted(tuple(x) for x in rp.daily_standings(r, ["league"]).collect())
+    want = sorted((tuple(x) for x in rp.daily_standings(r, ["league"]).collect()), key=str)
     checked = rp.daily_standings(r, ["league"], checked=True)
-    assert sorted(tuple(x) for x in checked.collect()) == want
+    assert sorted((tuple(x) for x in checked.collect()), key=str) == want
     assert _plan(checked).count("BroadcastHashJoin") >= 2
+
+
+def test_no_window_over_a_whole_period(spark):
+    """Period-wide orders come from histograms of few distinct values, never from a window over all rows of a period."""
+    import re
+
+    from podium.operators import ranking as rk
+    from podium.operators import streaks as st
+
+    r = fx.league_results(spark, SF)
+    for df in (rk.period_wins(r, ["league"], "month"), rk.medal_table(r, ["league"], "week"), st.longest_streak(r, ["league"], "year")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        for window in re.findall(r"Window \[(.*?)\], \[(.*?)\], \[(.*?)\]", plan):
+            assert "row_number" not in window[0] or window[1].count("#") > 2, window

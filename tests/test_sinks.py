@@ -29,3 +29,12 @@ def test_append_spreads_a_day_over_writers(spark, tmp_path):
     files = list((tmp_path / "results" / "date=2024-01-01").glob("*.parquet"))
     assert 1 < len(files) <= 4
     assert spark.read.parquet(path).count() == 200
+
+
+def test_writers_rebalance_by_day(spark, tmp_path):
+    rows = _rows(spark, [(f"p{i}", "0:10", 10, D1 if i % 2 else D2) for i in range(200)])
+    plan = sinks.cluster_by_day(rows, ["date"])._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+    path = str(tmp_path / "results")
+    sinks.append_results(rows, path)
+    assert len(list((tmp_path / "results").glob("date=*/*.parquet"))) == 2  # small days, one file each
