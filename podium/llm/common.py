@@ -8,8 +8,8 @@ executor costs a re-read, never a recomputation of another stage.
 from __future__ import annotations
 
 import gc
+import io
 import os
-import tempfile
 import zipfile
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
@@ -17,7 +17,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from podium.session import scratch_path
+from podium.session import delete_path, scratch_path
 
 #: a word: a run of anything but the six ASCII white-space characters
 WORD = r"[^\x20\x09-\x0D]+"
@@ -66,12 +66,6 @@ def unstage(*tables: DataFrame) -> None:
             delete_path(t.sparkSession, path)
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once per row, however often ``body`` uses it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -127,17 +121,23 @@ _SHIPPED: set[str] = set()
 
 
 def mapped(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """``df.mapInArrow`` after this package was sent to the executors (once per application)."""
-    sc = df.sparkSession.sparkContext
+    """``df.mapInArrow`` after this package was sent to the executors (once per application, by the shared folder)."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
     if sc.applicationId not in _SHIPPED:
         root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        path = os.path.join(tempfile.mkdtemp(), "corpus_operators.zip")  # the driver serves it from here
-        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
             for folder, _, names in os.walk(root):
                 for name in names:
                     if name.endswith(".py"):
                         full = os.path.join(folder, name)
                         z.write(full, os.path.relpath(full, os.path.dirname(root)))
+        path = scratch_path(spark, "corpus-operators") + ".zip"
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        out = p.getFileSystem(sc._jsc.hadoopConfiguration()).create(p)
+        out.write(bytearray(packed.getvalue()))
+        out.close()
         sc.addPyFile(path)
         _SHIPPED.add(sc.applicationId)
     return df.mapInArrow(function, schema)
