@@ -2,17 +2,19 @@
 
 A line is its words, lowered; blank lines belong to the run they stand in.  A
 fingerprint is the hash of the shortest run of lines from a non-blank one that
-holds ``GRAM_WORDS`` words; of all fingerprints inside each shortest run of
-``MIN_WORDS`` words (the window) the least is kept.  Two places that share a
-window keep the same fingerprint, so every repeated run of ``MIN_WORDS`` words
-is found, also one that is a single long line.
-
-Places of a fingerprint are joined with its earliest place (by doc_id, text
-hash, line), not with each other, so a passage in a third of all documents
-makes one row per place.  Both texts' lines are compared from there backwards
-and forwards; if the equal run holds ``MIN_WORDS`` words or more, the later
-document loses it.  An earliest place is never removed by its own fingerprint,
-so of every passage a copy stays.
+holds ``GRAM_WORDS`` words; of all fingerprints inside each window the least is
+kept.  Windows are the shortest runs of ``MIN_WORDS`` words that begin with a
+line, and those that end with one, so every line of a run of ``MIN_WORDS`` words
+lies in a window inside the run, also if the run is a single long line.
+
+A kept fingerprint stands for its whole window: places are joined by it together
+with the hash of the window's lines, with the earliest such place (by doc_id,
+text hash, line), not with each other.  A passage in a third of all documents
+makes one row per window, and an earlier text that shares the fingerprint's
+lines alone hides no other.  Both texts' lines are compared from there backwards
+and forwards; the equal run holds the window, and the later document loses it,
+so every repeated run of ``MIN_WORDS`` words is found.  An earliest place is
+never removed by its own window, so of every passage a copy stays.
 
 Defined results: null text has no line and stays null; rows that repeat with id
 and text are one document and get the same result; rows of a null id come
@@ -74,30 +76,30 @@ def line_hashes(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
             yield w.row0 + r, h[first[r] : first[r + 1]], count[first[r] : first[r + 1]]
 
 
-def fingerprints(h: np.ndarray, words: np.ndarray) -> list[tuple[int, int]]:
-    """(fingerprint, line) kept for one text."""
+def fingerprints(h: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per window of one text, the hash of its kept fingerprint and its lines, and the line the fingerprint is at."""
     total = np.concatenate(([0], np.cumsum(words)))
     if total[-1] < MIN_WORDS:
-        return []
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     n = len(h)
     starts = np.flatnonzero(words)
     gram_end = np.searchsorted(total, total[starts] + GRAM_WORDS)
-    window_end = np.searchsorted(total, total[starts] + MIN_WORDS)
     run = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * _powers(_ODD, n), dtype=np.uint64)))
-    whole = gram_end <= n
-    size = total[np.minimum(gram_end, n)] - total[starts]
-    gram = tk.mix64((run[np.minimum(gram_end, n)] - run[starts]) * _powers(_INVERSE, n)[starts] + size.astype(np.uint64))
-    gram[~whole] = np.uint64((1 << 64) - 1)
-    out = {}
-    # grams that end inside the window of start i are those up to last[i], as gram ends never fall
-    last = np.searchsorted(gram_end, window_end, "right")
-    for i in range(len(starts)):
-        if window_end[i] > n:
-            break
-        part = gram[i : last[i]]
-        j = last[i] - 1 - int(np.argmin(part[::-1]))
-        out[int(starts[j])] = int(gram[j].astype(np.int64))
-    return [(f, line) for line, f in out.items()]
+    inverse = _powers(_INVERSE, n)
+
+    def hashes(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return tk.mix64((run[end] - run[start]) * inverse[start] + (total[end] - total[start]).astype(np.uint64))
+
+    # a gram that the text ends in lies in no window
+    gram = hashes(starts, np.minimum(gram_end, n))
+    ahead = np.searchsorted(total, total[starts] + MIN_WORDS)
+    back = np.searchsorted(total, total[starts + 1] - MIN_WORDS, "right") - 1
+    begins, ends = ahead <= n, back >= 0
+    windows = np.unique(np.stack((np.append(starts[begins], back[ends]), np.append(ahead[begins], starts[ends] + 1))), axis=1)
+    # grams that end inside a window are those from its first line up to last, as gram ends never fall
+    first, last = np.searchsorted(starts, windows[0]), np.searchsorted(gram_end, windows[1], "right")
+    kept = np.array([z - 1 - int(np.argmin(gram[a:z][::-1])) for a, z in zip(first.tolist(), last.tolist())], np.int64)
+    return tk.mix64(hashes(windows[0], windows[1]) * np.uint64(_ODD) + gram[kept]).astype(np.int64), starts[kept]
 
 
 def extend(a: np.ndarray, i: int, b: np.ndarray, j: int) -> tuple[int, int]:
@@ -124,19 +126,17 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for id_, th, lines, words in zip(*(c.to_pylist() for c in b.columns)):
-                for f, line in fingerprints(np.frombuffer(lines, np.uint64), np.frombuffer(words, np.int32)):
-                    rows.append((f, id_, th, line))
-            cols = list(zip(*rows)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["f", "id", "th", "line"])
+            got = [fingerprints(np.frombuffer(lines, np.uint64), np.frombuffer(words, np.int32)) for lines, words in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            row = np.repeat(np.arange(len(got)), [len(f) for f, _ in got])
+            f, line = (np.concatenate([np.empty(0, np.int64), *x]) for x in (zip(*got) if got else ((), ())))
+            yield pa.RecordBatch.from_arrays([pa.array(f), b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)), pa.array(line)], ["f", "id", "th", "line"])
 
     lines = mapped(docs.select("id", "th", "text"), split, "id long, th long, lines binary, words binary")
     lines = staged(lines.dropDuplicates(["id", "th"]), "lines")
     places = staged(mapped(lines, keep, "f long, id long, th long, line long"), "places")
     earliest = places.groupBy("f").agg(F.min(F.struct("id", "th", "line")).alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
     later = salted_join(places, earliest, ["f"], F.xxhash64("id", "th"), "inner").where(F.struct("id", "th", "line") != F.col("least"))
-    # fingerprints of one run lie on one diagonal; the first stands for them if the run is unbroken, so all are tried
+    # windows of one run lie on one diagonal; the first stands for them if the run is unbroken, so all are tried
     matched = later.groupBy("id", "th", F.col("least.id").alias("a_id"), F.col("least.th").alias("a_th")).agg(
         F.sort_array(F.collect_set(F.struct("line", F.col("least.line").alias("a_line")))).alias("at")
     )

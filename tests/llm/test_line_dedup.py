@@ -84,3 +84,24 @@ def test_extend():
     a, b = np.array([1, 2, 3, 4, 5]), np.array([9, 2, 3, 4, 8, 8])
     assert ld.extend(a, 2, b, 2) == (1, 4)
     assert ld.extend(a, 0, a, 0) == (0, 5)
+
+
+def test_a_frequent_line_before_different_lines_hides_no_run(spark):
+    common = [line(30) for _ in range(5)]
+    passages = [f"{random.choice(common)}\n{line(30)}" for _ in range(40)]
+    rows = list(enumerate(passages * 2))
+    # the run goes on behind the window that an earlier text shares, by less than a window
+    start, end = f"{line(30)}\n{line(30)}", line(5)
+    rows += [(i, f"{start}\n{x}") for i, x in enumerate(("other", end, end), len(rows))]
+    got = {r.row.doc_id: r for r in ld.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, gone in must_go(rows[:-1]).items():
+        assert got[i].n_removed == len(gone)
+    assert [got[i].n_removed for i in range(40, 80)] == [2] * 40
+    assert [got[i].text for i in range(80, 83)] == [f"{start}\nother", end, ""]
+
+
+def test_every_window_that_occurs_earlier_goes(spark):
+    rows = corpus()
+    got = {r.row.doc_id: r for r in ld.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, want in must_go(rows).items():
+        assert want <= {j for r in got[i].removed for j in range(r.start, r.end)}
