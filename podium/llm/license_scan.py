@@ -4,10 +4,14 @@ Every template (configuration, so of bounded size) is cut into ``K``-word
 fingerprints, of which winnowing keeps the least of every ``WINDOW`` in a row;
 the kept ones form an inverted index (fingerprint -> template, word).  A text's
 words are hashed once, its fingerprints are looked up in that index, and the
-hits of a template are grouped by diagonal (place in the text less place in the
-template).  Each group is aligned: a longest common subsequence of template and
-text inside a band around the diagonals.  A match covers ``MIN_COVERAGE`` of the
-template's words at least.
+hits of a template are chained into occurrences: hits that rise in text and
+template and whose diagonals (place in the text less place in the template) lie
+within the band of the one before.  Each chain is aligned: a longest common
+subsequence of template and text inside a band around its diagonals.  A match
+covers ``MIN_COVERAGE`` of the template's words at least.  The text left between
+the matches is searched again until it gives none, where no chain gives one by
+all hits of neighbouring diagonals together; so of notices that repeat, however
+close, each is found.
 
 Any ``K + WINDOW - 1`` words in a row taken over from a template share a kept
 fingerprint with it.  Rows are scanned one by one where they are read: there is
@@ -22,6 +26,7 @@ repeatedly; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -150,40 +155,97 @@ def banded_lcs(a: np.ndarray, b: np.ndarray, low: int, high: int) -> list[tuple[
     return pairs[::-1]
 
 
+def chains(places: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Lowest and highest diagonal of each occurrence; ``places`` (in the text, in the template) are sorted.
+
+    A hit follows the chain of the nearest diagonal (the later of two) that it rises from; a chain's
+    hits rise in the template, so it is never longer than that, however many hits there are.
+    """
+    out: list[list[int]] = []  # place in the text and the template of the last hit, lowest and highest diagonal
+    ends: dict[int, int] = {}  # diagonal of a chain's last hit -> latest such chain
+    for at, where in places:
+        d = at - where
+        near = [
+            (abs(e - d), -c, c)
+            for e in range(d - BAND, d + BAND + 1)
+            if (c := ends.get(e)) is not None and out[c][0] < at and out[c][1] < where
+        ]
+        if near:
+            c = min(near)[2]
+            last = out[c][0] - out[c][1]
+            if last != d:
+                del ends[last]
+            out[c] = [at, where, min(out[c][2], d), max(out[c][3], d)]
+        else:
+            c = len(out)
+            out.append([at, where, d, d])
+        ends[d] = c
+    return [(x[2], x[3]) for x in out]
+
+
+def diagonals(places: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Lowest and highest diagonal of each group whose diagonals lie within the band of the one before."""
+    out: list[tuple[int, int]] = []
+    for d in sorted({at - where for at, where in places}):
+        if out and d - out[-1][1] <= BAND:
+            out[-1] = (out[-1][0], d)
+        else:
+            out.append((d, d))
+    return out
+
+
 def matches(words: np.ndarray, hits: list[tuple[int, int, int]], index: Index) -> list[tuple[float, int, int, int, int]]:
     """(coverage, words matched, template, first word, last word) of the aligned candidates of one text.
 
     ``hits``: (template, place in the text, place in the template).
     """
     found = []
-    groups: dict[int, list[tuple[int, int]]] = {}
+    by_template: dict[int, list[tuple[int, int]]] = {}
     for t, at, where in hits:
-        groups.setdefault(t, []).append((at - where, at))
-    for t, places in groups.items():
+        by_template.setdefault(t, []).append((at, where))
+    for t, places in by_template.items():
         template = index.words[t]
-        places.sort()
-        lo = 0
-        for hi in range(1, len(places) + 1):
-            # a group's diagonals lie within the band of the one before
-            if hi < len(places) and places[hi][0] - places[hi - 1][0] <= BAND:
+
+        def align(begin: int, end: int, bands: list[tuple[int, int]]) -> list[tuple[float, int, int, int, int]]:
+            out = []
+            for low, high in dict.fromkeys(bands):
+                first = max(begin, low - BAND)
+                part = words[first : max(first, min(end, high + BAND + len(template)))]
+                pairs = banded_lcs(template, part, low - BAND - first, high + BAND - first)
+                if pairs and len(pairs) >= MIN_COVERAGE * len(template):
+                    out.append((len(pairs) / len(template), len(pairs), t, first + pairs[0][1], first + pairs[-1][1]))
+            return out
+
+        rest = [(0, len(words), sorted(places))]
+        while rest:
+            begin, end, some = rest.pop()
+            one_by_one, together = chains(some), diagonals(some)
+            got = align(begin, end, one_by_one) or align(begin, end, [x for x in together if x not in one_by_one])
+            if not got:
                 continue
-            low, high = places[lo][0] - BAND, places[hi - 1][0] + BAND
-            lo = hi
-            first = max(0, low)
-            part = words[first : max(first, high + len(template))]
-            pairs = banded_lcs(template, part, low - first, high - first)
-            if pairs and len(pairs) >= MIN_COVERAGE * len(template):
-                found.append((len(pairs) / len(template), len(pairs), t, first + pairs[0][1], first + pairs[-1][1]))
+            found += got
+            # the text between the matches that stand
+            edge = 0
+            for _, _, _, first, last in [*best_of(list(dict.fromkeys(got)), index), (0, 0, t, end, end)]:
+                at = edge
+                while at < len(some) and some[at][0] < first:
+                    at += 1
+                if at > edge:
+                    rest.append((begin, first, some[edge:at]))
+                begin, edge = last + 1, at
+                while edge < len(some) and some[edge][0] < begin:
+                    edge += 1
     return found
 
 
 def best_of(found: list[tuple[float, int, int, int, int]], index: Index) -> list[tuple[float, int, int, int, int]]:
     """Of overlapping matches the one covering most of its template, then the one with more words."""
-    out: list[tuple[float, int, int, int, int]] = []
+    out: list[tuple[float, int, int, int, int]] = []  # by place, as they do not overlap
     for x in sorted(found, key=lambda x: (-x[0], -x[1], index.names[x[2]], x[3])):
-        if all(x[4] < y[3] or x[3] > y[4] for y in out):
-            out.append(x)
-    return sorted(out, key=lambda x: x[3])
+        i = bisect(out, x[3], key=lambda y: y[3])
+        if (i == 0 or out[i - 1][4] < x[3]) and (i == len(out) or x[4] < out[i][3]):
+            out.insert(i, x)
+    return out
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, key: str = "doc_id") -> DataFrame:

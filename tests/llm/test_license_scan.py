@@ -66,5 +66,28 @@ def test_scan(spark):
     assert [r.start for r in got if r.doc_id == 7] == [2] and [0.95 < r.coverage <= 1 for r in got if r.doc_id == 7] == [True]
 
 
+def spans(text):
+    index = ls.build_index()
+    (w,) = ls.tk.words(ls.pa.array([text]), plain=True)
+    h, at = w.shingles(ls.K)
+    hits = [(int(t), int(a), int(p)) for x, a in zip(h, at) for f, t, p in zip(index.fingerprint, index.template, index.at) if f == x]
+    return [(text[w.start[a] : w.end[z]], round(c, 2)) for c, _, _, a, z in ls.best_of(ls.matches(w.hash, hits, index), index)]
+
+
+def test_short_notices_repeated_in_a_row():
+    for notice in ("Licensed under the MIT License.", "All rights reserved.", "Licensed under CC BY-NC 4.0."):
+        for n in (1, 2, 3, 7, 300):
+            assert spans(f"{notice}\n" * n) == [(notice, 1.0)] * n
+    assert spans("All rights reserved. Copyright 2021 Y All rights reserved.") == [("All rights reserved.", 1.0)] * 2
+    edited, notice = "Licensed under the MIT", "Licensed under the MIT License."
+    assert spans(" ".join([f"{edited} Y", notice] * 4 + [f"{edited} Y"] * 3)) == [(edited, 0.8), (notice, 1.0)] * 4 + [(edited, 0.8)] * 3
+
+
+def test_a_notice_that_drifts_is_one_occurrence():
+    words = MIT.split()
+    text = " ".join(x + (" x y z" if i % 12 == 11 else "") for i, x in enumerate(words))
+    assert [c for _, c in spans(f"{text} {text}")] == [1.0, 1.0]
+
+
 def test_empty(spark):
     assert ls.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
