@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from podium.llm import chat_format, decontaminate, jaccard_join, license_scan, line_dedup, mixing, quality_rules, token_store, url_filters, warc
+from podium.llm import chat_format, decontaminate, jaccard_join, license_scan, line_dedup, mixing, periodic_runs, quality_rules, token_store, url_filters, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 
 ORACLE_SQL = {
@@ -23,4 +24,5 @@ ORACLE_SQL = {
     "op4_warc": warc.ORACLE,
     "op5_jaccard_join": jaccard_join.ORACLE,
     "op6_url_filters": url_filters.ORACLE,
+    "op13_periodic_runs": periodic_runs.ORACLE,
 }
