@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from podium.llm import chat_format, decontaminate, jaccard_join, license_scan, line_dedup, mixing, periodic_runs, quality_rules, token_store, url_filters, warc
+from podium.llm import chat_format, decontaminate, jaccard_join, license_scan, line_dedup, mixing, periodic_runs, quality_rules, token_store, url_filters, vector_codes, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op11_vector_codes": vector_codes.op11_vector_codes,
     "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 
@@ -24,5 +25,6 @@ ORACLE_SQL = {
     "op4_warc": warc.ORACLE,
     "op5_jaccard_join": jaccard_join.ORACLE,
     "op6_url_filters": url_filters.ORACLE,
+    "op11_vector_codes": vector_codes.ORACLE,
     "op13_periodic_runs": periodic_runs.ORACLE,
 }
