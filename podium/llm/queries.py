@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from podium.llm import chat_format, decontaminate, jaccard_join, license_scan, line_dedup, mixing, periodic_runs, quality_rules, token_store, url_filters, vector_codes, warc
+from podium.llm import chat_format, decontaminate, jaccard_join, license_scan, line_dedup, mixing, periodic_runs, personal_data, quality_rules, token_store, url_filters, vector_codes, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_quality_rules": quality_rules.op10_quality_rules,
     "op11_vector_codes": vector_codes.op11_vector_codes,
+    "op12_personal_data": personal_data.op12_personal_data,
     "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 
