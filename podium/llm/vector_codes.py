@@ -46,7 +46,7 @@ PARTS, ENTRIES, ROUNDS, SCALE = 16, 64, 2, 256
 #: cells remembered for each part's place
 CELLS = 1 << 15
 #: rows worked on together
-ROWS = 2048
+ROWS = 4096
 #: greatest size of a scaled component
 LIMIT = 1 << 26
 
@@ -75,6 +75,20 @@ def whole(vectors: np.ndarray, scale: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows of a matrix of whole numbers and the number of each row's."""
+    least = rows.min(axis=0)
+    span = [int(n) + 1 for n in rows.max(axis=0) - least]
+    if float(np.prod(np.array(span, float))) >= 2.0**62:
+        distinct, of = np.unique(rows, axis=0, return_inverse=True)
+        return distinct, of.reshape(-1)
+    key = np.zeros(len(rows), np.int64)
+    for c, n in enumerate(span):
+        key = key * n + rows[:, c] - least[c]
+    _, at, of = np.unique(key, return_index=True, return_inverse=True)
+    return rows[at], of
+
+
 class Cells:
     """Nearest entries of one place, by remembered cells."""
 
@@ -89,7 +103,7 @@ class Cells:
         d = ((self.entry[:, None] - self.entry[None]) ** 2).sum(axis=2).astype(float)
         np.fill_diagonal(d, np.inf)
         near = float(np.sqrt(np.median(d.min(axis=1)))) if len(d) > 1 else 1.0
-        return 1 << max(0, int(near / 2).bit_length() - 1)
+        return 1 << max(0, int(near).bit_length() - 1)
 
     def candidates(self, cells: np.ndarray) -> list[np.ndarray]:
         """For each cell (its least corner / side) the entries not dominated across its box, ascending."""
@@ -105,19 +119,19 @@ class Cells:
             least = (np.maximum(np.maximum(low - self.entry, self.entry - high), 0) ** 2).sum(axis=2)
             most = (np.maximum(np.abs(self.entry - low), np.abs(high - self.entry)) ** 2).sum(axis=2)
             kept = least <= most.min(axis=1, keepdims=True)
-            for i, k in zip(at, kept):
-                self.known[keys[i]] = np.flatnonzero(k)
+            entries, ends = np.nonzero(kept)[1], np.cumsum(kept.sum(axis=1)).tolist()
+            for i, a, b in zip(at, [0, *ends], ends):
+                self.known[keys[i]] = entries[a:b]
         return [self.known[k] for k in keys]
 
     def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index of the nearest entry of each row (ties: the lower) and its squared distance."""
         if not x.shape[1] or not len(x):
             return np.zeros(len(x), np.int64), np.zeros(len(x), np.int64)
-        cells, of = np.unique(x // self.side, axis=0, return_inverse=True)
+        cells, of = _distinct(x // self.side)
         lists = self.candidates(cells)
         count = np.array([len(c) for c in lists])
         flat, first = np.concatenate(lists), np.cumsum(count) - count
-        of = of.reshape(-1)
         many = count[of]
         start = np.cumsum(many) - many
         row = np.repeat(np.arange(len(x)), many)
@@ -175,7 +189,8 @@ def improved(rows: DataFrame, books: Codebooks) -> Codebooks:
                 for p in range(parts):
                     mine = x[:, p * size : (p + 1) * size]
                     index, _ = cells[p].nearest(mine)
-                    np.add.at(total[p], index, mine)
+                    for c in range(size):  # sums of whole numbers below 2^53, so exact
+                        total[p, :, c] += np.bincount(index, mine[:, c], entries).astype(np.int64)
                     count[p] += np.bincount(index, minlength=entries)
         part, entry = np.nonzero(count)
         place, at = np.tile(np.arange(size), len(part)), np.repeat(np.arange(len(part)), size)
