@@ -207,6 +207,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "messages_written": sr.messages_written,
         "days_in_zone": sr.days_in_zone,
         "ingest_rejects": sr.rejected_rows,
+        "rejects_classified": sr.classified_rejects,
+        "polls_by_ledger": sr.polls_by_ledger,
+        "marker_after_crash": sr.marker_after_crash,
         "reconciled_orphans": sr.reconciled,
         "daily_message_incremental": sr.daily_after_second_poll,
         "report_month_from_streaks": sr.month_from_streak_table,
@@ -700,6 +703,20 @@ from ({daily}) t"""
     o["days_in_zone"] = "select cast(ts - interval 6 hour as date) as date, count(*) as events from events group by 1"
     o["ingest_rejects"] = _with(BOARD_FLAT) + f"""select distinct case when secs % 11 <> 1 then name end as name, {_fmt('secs')} as time, secs,
   case when secs % 11 <> 0 then date end as date from board_flat where secs % 11 in (0, 1)"""
+    user = "cast(substr(name, 8) as bigint)"
+    reason = f"case when {user} % 13 = 0 then 'bad time' when {user} % 11 = 1 then 'nameless' else 'dateless' end"
+    undated = f"date = date '{sr.REWRITTEN.isoformat()}'"
+    o["rejects_classified"] = _with(BOARD_FLAT) + f"""select distinct case when {user} % 11 <> 1 then name end as name,
+  case when {user} % 13 <> 0 then {_fmt('secs')} end as time, case when {user} % 13 <> 0 then secs end as secs,
+  case when not {undated} then date end as date, {reason} as reason, case when {user} % 13 = 0 then concat(secs, 'x') end as detail
+from board_flat where secs is not null and ({user} % 13 = 0 or {user} % 11 = 1 or {undated})
+union all select null, null, null, null, 'unreadable', concat('{{"data": [{{"name": "', d) from (select distinct cast(date as varchar) as d from board_flat) t"""
+    polled = f"date '{sr.POLLED.isoformat()}'"
+    o["polls_by_ledger"] = _with(BOARD_FLAT) + f"""select cast(case when date <= {polled} then 1 else 2 end as integer) as poll, date, count(*) as rows
+from board_flat where secs is not null and date <= {polled} + 1 group by all"""
+    o["marker_after_crash"] = _with(BOARD_FLAT) + f"""select step, max(date) as latest_date
+from board_flat, (values ('before', {polled}), ('table written', {polled}), ('commit cut short', {polled}), ('next run', null)) t(step, upto)
+where secs is not null and (upto is null or date <= upto) group by step"""
     o["reconciled_orphans"] = _with(BOARD_FLAT) + f"""select name, {_fmt('(secs + 3)')} as time, secs + 3 as secs, date
 from board_flat where secs % 7 = 0"""
     o["daily_message_incremental"] = f"select * from ({o['messages_written']}) t where period_start = date '{sr.POLLED.isoformat()}' + 1"

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from podium.functions.timefmt import format_secs, format_secs_unpadded, parse_time, repair_time
+from podium.schemas import CORRUPT
 from podium.util import keys, null_safe_join
 
 
@@ -32,6 +33,33 @@ def flatten_board(docs: DataFrame, by: Sequence[str] | None = None) -> DataFrame
     return flat.na.drop(subset=["name", "secs"])
 
 
+def intake(docs: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
+    """Landed documents (:func:`podium.sources.tables.read_board_files`) -> ``(by…, date, name, secs, reason, detail)``.
+
+    Unsolved entries (no time at all) are dropped, as the board lists everyone.
+    Whatever else is no result has a ``reason``, and in ``detail`` what was read:
+    ``unreadable`` (the document), ``bad time`` (no whole number of seconds),
+    ``nameless`` or ``dateless``.  Results have neither.
+    """
+    corrupt = F.col(CORRUPT)
+    entry = F.explode_outer(F.when(corrupt.isNull(), F.col("data"))).alias("e")
+    e = docs.select(*keys(by, "date"), corrupt.alias("corrupt"), entry)
+    text = F.col("e.score.secondsSpentSolving")
+    number = text.try_cast("double")
+    secs = F.when((number == F.floor(number)) & (F.abs(number) < 2**31), number).cast("int")
+    flat = e.where(F.col("corrupt").isNotNull() | text.isNotNull()).select(*keys(by, "date"), F.col("e.name").alias("name"), secs.alias("secs"), "corrupt", text.alias("text"))
+    reason = F.when(F.col("corrupt").isNotNull(), "unreadable").otherwise(reject_reason())
+    detail = F.when(F.col("corrupt").isNotNull(), F.col("corrupt")).when(F.col("secs").isNull(), F.col("text"))
+    return flat.select(*keys(by, "date"), "name", "secs", reason.alias("reason"), detail.alias("detail"))
+
+
+def reject_reason() -> Column:
+    """Why ``(name, secs, date)`` is no result; null for results."""
+    return (
+        F.when(F.col("secs").isNull(), "bad time").when(F.col("name").isNull(), "nameless").when(F.col("date").isNull(), "dateless")
+    )
+
+
 def pair_positional(docs: DataFrame, names: str, times: str, by: Sequence[str] | None = None) -> DataFrame:
     """Boards given as two parallel arrays: the first ``size(times)`` names get the times.
 

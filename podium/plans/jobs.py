@@ -16,20 +16,22 @@ import argparse
 import datetime as dt
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from podium import versions
 from podium.functions.calendar import as_of_default, period_range
 from podium.functions.texts import DAILY_TITLE
 from podium.functions.timefmt import format_secs
 from podium.operators import ingest as ing
 from podium.operators import streaks as st
 from podium.plans import reports as rp
-from podium.session import child_names, delete_path, path_exists, replace_path, scratch_path
+from podium.session import child_names, delete_path, path_exists, scratch_path
 from podium.sources.sinks import append_results, cluster_by_day, overwrite_partitions, write_marker, write_messages
-from podium.sources.tables import read_board
+from podium.sources.tables import landed_files, read_board, read_board_files
 from podium.util import keys, null_safe_join
 
 
@@ -76,16 +78,16 @@ def read_canonical(
 
 
 def compact_days(
-    spark: SparkSession, table_path: str, canonical_path: str, days: DataFrame, by: Sequence[str] | None = None
+    spark: SparkSession, table_path: str, canonical_path: str, days: Sequence[dt.date], by: Sequence[str] | None = None
 ) -> None:
-    """Rewrite the canonical table's partitions for ``days`` (a ``date`` column) from the stored rows.
+    """Rewrite the canonical table's partitions for ``days`` from the stored rows.
 
     Reads only those days of the stored table (a partition filter, see
     :func:`_on_days`) and replaces only those days of the canonical table
     (dynamic partition overwrite of a different path), so a rerun gives the
     same table.
     """
-    rows = _on_days(read_stored(spark, table_path, by), days.select("date"), None)
+    rows = read_stored(spark, table_path, by).where(F.col("date").isin(list(days)))
     canon = ing.canonical(rows, by).select(*keys(by, "name"), "secs", "time", "date")
     overwrite_partitions(canon, canonical_path, by)
 
@@ -99,8 +101,12 @@ def _on_days(stored: DataFrame, rows: DataFrame, by: Sequence[str] | None) -> Da
     no join (which would gather a busy day into one task) is needed.  Rows
     without a date are never stored (:func:`append_new_rows`).
     """
-    dates = rows.select("date").where("date IS NOT NULL").distinct().collect()
-    return stored.where(F.col("date").isin([r.date for r in dates]))
+    return stored.where(F.col("date").isin(_days(rows)))
+
+
+def _days(rows: DataFrame) -> list[dt.date]:
+    """The days of a batch, a list bounded by the calendar."""
+    return sorted(r.date for r in rows.select("date").where("date IS NOT NULL").distinct().collect())
 
 
 def rejects_path(table_path: str) -> str:
@@ -115,58 +121,142 @@ def _touched_path(table_path: str) -> str:
 _TOUCHED = T.StructType([T.StructField("batch", T.StringType()), T.StructField("date", T.DateType())])
 
 
+def reject_schema(by: Sequence[str] | None = None) -> T.StructType:
+    return T.StructType([*stored_schema(by).fields, T.StructField("reason", T.StringType()), T.StructField("detail", T.StringType())])
+
+
 def read_rejects(spark: SparkSession, table_path: str, by: Sequence[str] | None = None) -> DataFrame:
-    """Rows that came without a name, a date or a time, each once."""
-    return _read_or_empty(spark, rejects_path(table_path), stored_schema(by))
+    """What came and is no result, each once, with the ``reason`` and the text read (:func:`podium.operators.ingest.intake`)."""
+    return _read_or_empty(spark, rejects_path(table_path), reject_schema(by))
 
 
-def append_new_rows(rows: DataFrame, table_path: str, by: Sequence[str] | None = None) -> DataFrame:
-    """Append ``(by…, name, date, secs)`` rows the table does not hold yet.
+def append_new_rows(rows: DataFrame, table_path: str, by: Sequence[str] | None = None) -> list[dt.date]:
+    """Append ``(by…, name, date, secs)`` rows the table does not hold yet; returns the days of the rows.
 
     The stored side is first restricted to the days present in ``rows`` (see
-    :func:`_on_days`: only those partitions are read).  Rows without a name, a
-    date or a time go to the rejects of the table, once.  The days that get new
-    rows are logged before the rows are appended, so that what was derived from
-    the table earlier can be brought up to date whoever polled again.
+    :func:`_on_days`: only those partitions are read).  Rows with a ``reason``
+    (of :func:`podium.operators.ingest.intake`), or without a name, a date or a
+    time, go to the rejects of the table, once.  The days that get new rows are
+    logged before the rows are appended, so that what was derived from the table
+    earlier can be brought up to date whoever polled again.
 
-    Returns the incoming rows, read once and kept in the shared scratch folder.
+    Rows are read once, into the shared scratch folder, which is left as it was found.
     """
-    spark = rows.sparkSession
-    rows = rows.select(*keys(by, "name"), format_secs("secs").alias("time"), F.col("secs").cast("int").alias("secs"), "date")
-    # the same board polled twice in one batch gives the same rows twice
-    rows = _snapshot(rows.dropDuplicates(keys(by, "name", "date", "secs")), "incoming")
-    bad = F.col("name").isNull() | F.col("date").isNull() | F.col("secs").isNull()
-    lost = null_safe_join(rows.where(bad), read_rejects(spark, table_path, by), keys(by, "name", "date", "secs"), "left_anti")
-    lost = _snapshot(lost, "rejects")
-    if not lost.isEmpty():
-        lost.write.mode("append").parquet(rejects_path(table_path))
-    good = rows.where(~bad)
-    stored = _on_days(read_stored(spark, table_path, by, first_run=True), good, by)
-    fresh = _snapshot(ing.new_rows(good, stored, by), "fresh")
-    days = fresh.select(F.lit(uuid.uuid4().hex).alias("batch"), "date").distinct()
-    days.coalesce(1).write.mode("append").parquet(_touched_path(table_path))
-    append_results(fresh, table_path, by)
-    return rows
-
-
-def _snapshot(df: DataFrame, name: str) -> DataFrame:
+    spark, scratch = rows.sparkSession, []
+    for name in ("reason", "detail"):
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(None).cast("string"))
+    reason = F.coalesce(F.col("reason"), ing.reject_reason()).alias("reason")
+    rows = rows.select(*keys(by, "name"), format_secs("secs").alias("time"), F.col("secs").cast("int").alias("secs"), "date", reason, "detail")
+    try:
+        # the same board polled twice in one batch gives the same rows twice
+        rows = _snapshot(rows.dropDuplicates(keys(by, "name", "date", "secs", "reason", "detail")), "incoming", scratch)
+        known = read_rejects(spark, table_path, by)
+        lost = null_safe_join(rows.where("reason IS NOT NULL"), known, keys(by, "name", "date", "secs", "reason", "detail"), "left_anti")
+        lost = _snapshot(lost, "rejects", scratch)
+        if not lost.isEmpty():
+            lost.write.mode("append").parquet(rejects_path(table_path))
+        good = rows.where("reason IS NULL").drop("reason", "detail")
+        days = _days(good)
+        stored = read_stored(spark, table_path, by, first_run=True).where(F.col("date").isin(days))
+        fresh = _snapshot(ing.new_rows(good, stored, by), "fresh", scratch)
+        touched = fresh.select(F.lit(uuid.uuid4().hex).alias("batch"), "date").distinct()
+        touched.coalesce(1).write.mode("append").parquet(_touched_path(table_path))
+        append_results(fresh, table_path, by)
+        return days
+    finally:
+        for path in scratch:
+            delete_path(spark, path)
+
+
+def _snapshot(df: DataFrame, name: str, scratch: list[str]) -> DataFrame:
     """``df`` written to the shared scratch folder: read twice, and never while the files it comes from change."""
     path = scratch_path(df.sparkSession, name)
+    scratch.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_FILES = T.StructType([T.StructField("path", T.StringType()), T.StructField("length", T.LongType()), T.StructField("modified", T.TimestampType())])
+#: files taken in by one commit, and folders of a ledger before they are written as one
+FILES_PER_BATCH, LEDGER_FOLDERS = 10_000, 16
+
+
+def _ledger_path(table_path: str) -> str:
+    return f"{table_path.rstrip('/')}/_files"
+
+
+def read_ledger(spark: SparkSession, table_path: str) -> DataFrame:
+    """path, length and modified of the landed files the table has taken in."""
+    return _ledger(spark, table_path, versions.latest(spark, _ledger_path(table_path)))
+
+
+def _ledger(spark: SparkSession, table_path: str, version: versions.Version | None) -> DataFrame:
+    folders = version.state["folders"] if version else []
+    if not folders:
+        return spark.createDataFrame([], _FILES)
+    return spark.read.schema(_FILES).parquet(*[f"{_ledger_path(table_path)}/{f}" for f in folders])
+
+
+def new_files(
+    spark: SparkSession, board_dir: str, table_path: str, since: dt.date | None = None, until: dt.date | None = None
+) -> DataFrame:
+    """Landed files the ledger does not know as they are now (a changed file is a new one), found without opening any."""
+    files = landed_files(spark, board_dir, since, until)
+    return files.join(read_ledger(spark, table_path), ["path", "length", "modified"], "left_anti")
+
+
+def _taken_in(spark: SparkSession, table_path: str, files: list, days: list[dt.date]) -> None:
+    """Commit a batch's files to the ledger."""
+    path = _ledger_path(table_path)
+    folder = versions.new_folder()
+    spark.createDataFrame(files, _FILES).coalesce(1).write.parquet(f"{path}/{folder}")
+
+    def change(now: versions.Version | None) -> dict:
+        folders = [*(now.state["folders"] if now else []), folder]
+        if len(folders) > LEDGER_FOLDERS:
+            whole = versions.new_folder()
+            spark.read.schema(_FILES).parquet(*[f"{path}/{f}" for f in folders]).distinct().write.parquet(f"{path}/{whole}")
+            folders = [whole]
+        return {"folders": folders, "files": len(files), "days": [d.isoformat() for d in days]}
+
+    versions.update(spark, path, change)
+    versions.expire(spark, path, lambda state: state.get("folders", []))
+
+
 def run_ingest(
-    spark: SparkSession, board_dir: str, table_path: str, by: Sequence[str] | None = None, canonical_path: str | None = None
-) -> None:
+    spark: SparkSession,
+    board_dir: str,
+    table_path: str,
+    by: Sequence[str] | None = None,
+    canonical_path: str | None = None,
+    since: dt.date | None = None,
+    until: dt.date | None = None,
+    multi_line: bool = False,
+) -> list[versions.Version]:
     """Landed board JSON (one document per day) -> new rows of the results table.
 
-    With ``canonical_path`` the canonical table is then refreshed for the days
-    the boards cover.
+    Only files the ledger of the table does not know are opened, and of those
+    named for a day only the days ``since`` .. ``until`` (both the load date to
+    take in one day), so a poll costs what has landed since the last one: its
+    files, and the stored partitions of their days.  A file is in the ledger
+    when its rows are in the table; a run that dies before takes it in again,
+    which adds nothing twice.
+
+    With ``canonical_path`` the canonical table is refreshed for the days the
+    files cover.  Returns the commits made (their state names files and days).
     """
-    rows = append_new_rows(ing.flatten_board(read_board(spark, board_dir, by=by), by), table_path, by)
-    if canonical_path:
-        compact_days(spark, table_path, canonical_path, rows.select("date"), by)
+    made = []
+    while True:
+        files = new_files(spark, board_dir, table_path, since, until).orderBy("path").limit(FILES_PER_BATCH).collect()
+        if not files:
+            return made
+        docs = read_board_files(spark, board_dir, [f.path for f in files], by, multi_line)
+        days = append_new_rows(ing.intake(docs, by), table_path, by)
+        if canonical_path and days:
+            compact_days(spark, table_path, canonical_path, days, by)
+        _taken_in(spark, table_path, files, days)
+        made.append(versions.latest(spark, _ledger_path(table_path)))
 
 
 def run_reconcile(spark: SparkSession, board_dir: str, table_path: str, out_path: str, by: Sequence[str] | None = None) -> None:
@@ -189,12 +279,21 @@ def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return spark.createDataFrame([], schema)
 
 
-_MARKER = T.StructType([T.StructField(c, t) for c, t in (("through", T.DateType()), ("generation", T.StringType()), ("previous", T.StringType()))])
+@dataclass(frozen=True)
+class StreakState:
+    """The last day processed, the folder (generation) that holds the rows, and the one before it."""
+
+    through: dt.date
+    generation: str
+    previous: str | None
 
 
-def _streak_marker(spark: SparkSession, streak_path: str):
-    rows = _read_or_empty(spark, f"{streak_path}/_through", _MARKER).collect()  # at most one row
-    return rows[0] if rows else None
+def streak_state(spark: SparkSession, streak_path: str) -> StreakState | None:
+    """What the streak table's latest commit says; None if there is no table."""
+    now = versions.latest(spark, streak_path)
+    if now is None:
+        return None
+    return StreakState(dt.date.fromisoformat(now.state["through"]), now.state["generation"], now.state["previous"])
 
 
 def _unseen(spark: SparkSession, table_path: str | None, streak_path: str) -> list:
@@ -231,10 +330,11 @@ def update_streaks(
 ) -> DataFrame:
     """Keep the winners-only streak table current through ``as_of``; return its rows for ``as_of - 1 .. as_of``.
 
-    ``<streak_path>/_through`` names the last day processed and the folder
-    (generation) that holds the rows.  Days after it, one or many, are computed
-    from their results and the streaks of the last day, and written as new
-    ``date`` partitions; readers see them when ``_through`` moves.
+    The table's latest commit (:mod:`podium.versions`) names the last day
+    processed and the folder (generation) that holds the rows.  Days after it,
+    one or many, are computed from their results and the streaks of the last
+    day, and written as new ``date`` partitions; readers see them with the next
+    commit.
 
     With ``table_path`` the days that polls have changed since the last update
     are read from that table's log (:func:`append_new_rows`); ``late_from``
@@ -244,7 +344,8 @@ def update_streaks(
 
     The table is rebuilt from history only on the first run or with ``rebuild``.
     """
-    marker = _streak_marker(spark, streak_path)
+    at = versions.latest(spark, streak_path)
+    marker = streak_state(spark, streak_path)
     unseen = _unseen(spark, table_path, streak_path)
     old = marker.generation if marker else None
     through = marker.through if marker else None
@@ -268,9 +369,8 @@ def update_streaks(
         clustered = cluster_by_day(rows, ["date"], order=["name"])
         clustered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(table)
         previous = old if old != generation else marker.previous
-        new = f"{streak_path}/_through-{uuid.uuid4().hex}"
-        spark.createDataFrame([(upto, generation, previous)], _MARKER).coalesce(1).write.parquet(new)
-        replace_path(spark, new, f"{streak_path}/_through")
+        versions.commit(spark, streak_path, {"through": upto.isoformat(), "generation": generation, "previous": previous}, at)
+        versions.expire(spark, streak_path, lambda state: [])
         for name in child_names(spark, streak_path):
             if name.startswith("gen-") and name not in (generation, previous):
                 delete_path(spark, f"{streak_path}/{name}")
@@ -294,7 +394,7 @@ def read_streaks(
     lacks, or that polls have changed since (logged by ``table_path``), are
     recomputed from their results and the streaks before them.
     """
-    marker = _streak_marker(spark, streak_path)
+    marker = streak_state(spark, streak_path)
     if marker is None:
         raise FileNotFoundError(f"no streak table at {streak_path}; the daily job keeps one")
     stored = _read_or_empty(spark, f"{streak_path}/{marker.generation}", _streak_schema(by))
@@ -308,18 +408,33 @@ def read_streaks(
     return valid.unionByName(_redone(results, valid, known, upto, by))
 
 
+def read_marker(spark: SparkSession, marker_path: str, by: Sequence[str] | None = None) -> DataFrame:
+    """The last posted day of each league; empty before the first post."""
+    return _marker(spark, marker_path, by, versions.latest(spark, marker_path))
+
+
+def _marker(spark: SparkSession, marker_path: str, by: Sequence[str] | None, version: versions.Version | None) -> DataFrame:
+    schema = T.StructType([*[T.StructField(k, T.StringType(), True) for k in (by or [])], T.StructField("latest_date", T.DateType(), True)])
+    if version is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{marker_path.rstrip('/')}/{version.state['table']}")
+
+
 def update_marker(spark: SparkSession, posted: DataFrame, marker_path: str, by: Sequence[str] | None = None) -> None:
     """Raise each league's last posted day to the newest day in ``posted``; other leagues keep theirs.
 
-    The merged marker is written beside the old one and takes its place, so no
-    file is read while it is replaced and no checkpoint is needed.
+    The merged marker is a new folder, and the commit that names it is the only
+    step that readers see, so a run that dies at any step leaves the old marker.
     """
-    schema = T.StructType([*[T.StructField(k, T.StringType(), True) for k in (by or [])], T.StructField("latest_date", T.DateType(), True)])
-    old = _read_or_empty(spark, marker_path, schema)
-    merged = old.unionByName(ing.progress_marker(posted, by)).groupBy(*keys(by)).agg(F.max("latest_date").alias("latest_date"))
-    new = f"{marker_path.rstrip('/')}.new-{uuid.uuid4().hex}"
-    write_marker(merged, new)
-    replace_path(spark, new, marker_path)
+
+    def change(now: versions.Version | None) -> dict:
+        old, folder = _marker(spark, marker_path, by, now), versions.new_folder()
+        merged = old.unionByName(ing.progress_marker(posted, by)).groupBy(*keys(by)).agg(F.max("latest_date").alias("latest_date"))
+        write_marker(merged, f"{marker_path.rstrip('/')}/{folder}")
+        return {"table": folder}
+
+    versions.update(spark, marker_path, change)
+    versions.expire(spark, marker_path, lambda state: [state["table"]] if state else [])
 
 
 def _kind_messages(parts: DataFrame, kind: str, key: str) -> DataFrame:
@@ -429,12 +544,14 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--lookback-days", type=int, default=None, help="streaks of month / year from so many days only (literal form: 90)")
     p.add_argument("--as-of", type=dt.date.fromisoformat, default=None)
     p.add_argument("--by", default="", help="comma-separated league keys")
+    p.add_argument("--load-date", type=dt.date.fromisoformat, default=None, help="take in the boards of this day only (ingest)")
+    p.add_argument("--since", type=dt.date.fromisoformat, default=None, help="take in boards from this day on only (ingest)")
     p.add_argument("--canonical", help="compacted canonical table path (ingest keeps it; reports read it)")
     a = p.parse_args(argv)
     by = [k for k in a.by.split(",") if k] or None
     spark = SparkSession.builder.getOrCreate()
     if a.job == "ingest":
-        run_ingest(spark, a.boards, a.table, by, a.canonical)
+        run_ingest(spark, a.boards, a.table, by, a.canonical, a.load_date or a.since, a.load_date)
     elif a.job == "reconcile":
         run_reconcile(spark, a.boards, a.table, a.messages, by)
     elif a.job == "daily":

@@ -12,6 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from podium import versions
 from podium.functions.calendar import day_in_zone
 from podium.functions.timefmt import format_secs
 from podium.operators import ingest as ing
@@ -19,7 +20,7 @@ from podium.plans import jobs
 from podium.plans import reports as rp
 from podium.session import child_names, delete_path, replace_path, scratch_path
 from podium.sources import fixtures as fx
-from podium.sources.sinks import append_results, overwrite_partitions, write_messages
+from podium.sources.sinks import append_results, overwrite_partitions, write_marker, write_messages
 from podium.sources.tables import read_board, read_results_raw
 
 #: the day polled twice, and the first day of the rewritten partitions
@@ -125,9 +126,65 @@ def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = scratch_path(spark, "table")
     for _ in range(3):
         jobs.append_new_rows(rows, table)
+    return jobs.read_rejects(spark, table).select("name", "time", "secs", "date")
+
+
+def classified_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What three polls of boards with one of each fault keep as rejects.
+
+    Users whose id leaves 1 by 11 have no name, those divisible by 13 no readable
+    time, documents of ``REWRITTEN`` no date, and for every day one document is cut short.
+    """
+    docs = fx.board_docs(spark, sf_dir)
+
+    def spoilt(e: Column) -> Column:
+        secs = e["score"]["secondsSpentSolving"].cast("string")
+        text = F.when(e["userID"] % 13 == 0, F.concat(secs, F.lit("x"))).otherwise(secs)
+        return F.struct(F.when(e["userID"] % 11 != 1, e["name"]).alias("name"), F.struct(text.alias("secondsSpentSolving")).alias("score"))
+
+    day = F.when(F.col("date") != F.lit(REWRITTEN), F.col("date"))
+    whole = docs.select(F.to_json(F.struct(day.alias("date"), F.transform("data", spoilt).alias("data"))).alias("value"))
+    cut = docs.select("date").distinct().select(F.concat(F.lit('{"data": [{"name": "'), F.col("date").cast("string")).alias("value"))
+    lines, table = whole.unionByName(cut), scratch_path(spark, "table")
+    for _ in range(2):
+        boards = scratch_path(spark, "boards")
+        lines.write.text(boards)
+        jobs.run_ingest(spark, boards, table)
+    jobs.run_ingest(spark, boards, table)
     return jobs.read_rejects(spark, table)
 
 
+def polls_by_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which days two polls of one landing folder took in, with the rows stored for them.
+
+    Between the polls the boards of the day after ``POLLED`` land.
+    """
+    docs, folder, table = fx.board_docs(spark, sf_dir), _mkdir(spark, "boards"), scratch_path(spark, "table")
+    days = []
+    for poll, landed in ((1, F.col("date") <= F.lit(POLLED)), (2, F.col("date") == F.lit(POLLED + dt.timedelta(days=1)))):
+        land_boards(docs.where(landed), folder)
+        days += [(poll, dt.date.fromisoformat(d)) for c in jobs.run_ingest(spark, folder, table) for d in c.state["days"]]
+    taken = spark.createDataFrame(days, "poll int, date date")
+    return taken.join(jobs.read_stored(spark, table), "date").groupBy("poll", "date").agg(F.count("*").alias("rows"))
+
+
+def marker_after_crash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers of the progress marker find after a writer died at each step, and after the next whole run."""
+    rows, path = _canonical_board(spark, sf_dir), scratch_path(spark, "marker")
+    jobs.update_marker(spark, rows.where(F.col("date") <= F.lit(POLLED)), path)
+    found = [("before", jobs.read_marker(spark, path))]
+    folder = versions.new_folder()
+    write_marker(ing.progress_marker(rows), f"{path}/{folder}")
+    found.append(("table written", jobs.read_marker(spark, path)))
+    whole = versions._signed({"table": folder})
+    versions._create(spark, versions._file(path, versions.latest(spark, path).number + 1), whole[: len(whole) // 2])
+    found.append(("commit cut short", jobs.read_marker(spark, path)))
+    jobs.update_marker(spark, rows, path)
+    found.append(("next run", jobs.read_marker(spark, path)))
+    out = [df.select(F.lit(step).alias("step"), "latest_date") for step, df in found]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
 def reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored rows a second poll does not show: those whose time it has corrected."""
     docs = fx.board_docs(spark, sf_dir)

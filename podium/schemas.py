@@ -43,6 +43,28 @@ LEADERBOARD = T.StructType(
     ]
 )
 
+#: malformed documents are kept whole in this column
+CORRUPT = "_corrupt"
+
+# A landed document as ingest reads it: every value as text, so that one bad value does not spoil the document.
+_INTAKE_ENTRY = T.StructType(
+    [
+        T.StructField("name", T.StringType(), True),
+        T.StructField("score", T.StructType([T.StructField("secondsSpentSolving", T.StringType(), True)]), True),
+    ]
+)
+
+
+def intake_schema(by=None) -> T.StructType:
+    """The board document as text values, with the malformed ones, plus league keys from the folders."""
+    fields = [
+        T.StructField("date", T.StringType(), True),
+        T.StructField("data", T.ArrayType(_INTAKE_ENTRY, True), True),
+        T.StructField(CORRUPT, T.StringType(), True),
+    ]
+    return T.StructType([*fields, *[T.StructField(k, T.StringType(), True) for k in (by or [])]])
+
+
 def leaderboard_schema(by=None) -> T.StructType:
     """The board document schema plus league keys, filled from ``league=<value>/`` folder names."""
     return T.StructType([*LEADERBOARD.fields, *[T.StructField(k, T.StringType(), True) for k in (by or [])]])

@@ -1,7 +1,8 @@
 """Incremental ingest of landed leaderboard files with Structured Streaming.
 
-``readStream`` of the board JSON -> flatten -> ``foreachBatch`` that drops
-repeats within the batch and appends only rows the table does not hold yet.
+``readStream`` of the board JSON -> entries -> ``foreachBatch`` that drops
+repeats within the batch and appends only rows the table does not hold yet;
+what is no result goes to the table's rejects, with the reason.
 The anti-join inside the batch makes a replayed batch (after a failure, the
 sink is at-least-once) add nothing, and the stored side is restricted to the
 batch's days, which prunes ``date`` partitions.
@@ -18,11 +19,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from podium import schemas
-from podium.operators.ingest import flatten_board
+from podium.operators.ingest import intake
 from podium.plans.jobs import append_new_rows
 from podium.session import scratch_path
-from podium.sources.tables import with_file_date
+from podium.sources.tables import intake_reader, with_file_date
 
 
 def start_board_stream(
@@ -35,10 +35,10 @@ def start_board_stream(
     max_files_per_trigger: int | None = None,
 ):
     """Start the ingest stream; returns the ``StreamingQuery``."""
-    reader = spark.readStream.schema(schemas.leaderboard_schema(by))
+    reader = intake_reader(spark.readStream, by)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    flat = flatten_board(with_file_date(reader.json(board_dir)), by)
+    flat = intake(with_file_date(reader.json(board_dir)), by)
     writer = (
         flat.writeStream.foreachBatch(lambda b, _epoch: append_new_rows(b, table_path, by))
         .option("checkpointLocation", checkpoint)

@@ -47,7 +47,7 @@ def test_daily_and_month_jobs(spark, tmp_path):
     assert {r.kind for r in msg.collect()} == {"daily"} and msg.count() == 1
     text = "".join(r.text for r in msg.orderBy("seq", "page").collect())
     assert text == "*Wednesday, January 03*\na: 0:20 :first_place_medal: (3-day streak)\nb: 0:50 :second_place_medal: \nc: 1:05 :third_place_medal: \n"
-    assert spark.read.parquet(marker).collect()[0].latest_date == dt.date(2024, 1, 3)
+    assert jobs.read_marker(spark, marker).collect()[0].latest_date == dt.date(2024, 1, 3)
     month = str(tmp_path / "month")
     jobs.run_period(spark, table, month, "month", dt.date(2024, 2, 10))
     parts = spark.read.json(month).orderBy("message", "seq", "page").collect()
@@ -90,7 +90,7 @@ def test_incremental_streaks_equal_full(spark, tmp_path):
     jobs.update_streaks(spark, r, path, dt.date(2024, 1, 10))  # rerun: nothing added
     full = {(x.name, x.date): x.streak for x in st.streaks(r).collect()}
     assert seen == full
-    gen = spark.read.parquet(path + "/_through").collect()[0].generation
+    gen = jobs.streak_state(spark, path).generation
     assert spark.read.parquet(f"{path}/{gen}").count() == len(full)
 
 
@@ -130,7 +130,7 @@ def test_late_results_recompute_only_later_days(spark, tmp_path):
         jobs.update_streaks(spark, before, path, dt.date(2024, 1, day))
     after = results_df(spark, rows("c"))  # a late, faster result changes day 5's winner
     jobs.update_streaks(spark, after, path, dt.date(2024, 1, 10), late_from=dt.date(2024, 1, 5))
-    gen = spark.read.parquet(path + "/_through").collect()[0].generation
+    gen = jobs.streak_state(spark, path).generation
     got = {(x.name, x.date): x.streak for x in spark.read.parquet(f"{path}/{gen}").collect()}
     want = {(x.name, x.date): x.streak for x in st.streaks(after).collect()}
     assert got == want
@@ -202,7 +202,7 @@ def test_marker_keeps_other_leagues(spark, tmp_path):
     jobs.run_ingest(spark, str(boards), table, ["league"])
     jobs.run_daily(spark, table, str(tmp_path / "d1"), marker, dt.date(2024, 1, 1), ["league"])
     jobs.run_daily(spark, table, str(tmp_path / "d2"), marker, dt.date(2024, 1, 2), ["league"])
-    got = {r.league: r.latest_date.day for r in spark.read.parquet(marker).collect()}
+    got = {r.league: r.latest_date.day for r in jobs.read_marker(spark, marker, ["league"]).collect()}
     assert got == {"east": 2, "west": 1}
 
 
@@ -240,9 +240,9 @@ def test_a_missed_day_is_caught_up_without_a_rebuild(spark, tmp_path):
     r = results_df(spark, [(w, f"2024-01-{d:02d}", 10) for d, w in enumerate("aaabbbaa", 1)])
     path = str(tmp_path / "streaks")
     jobs.update_streaks(spark, r, path, dt.date(2024, 1, 2))
-    first = spark.read.parquet(path + "/_through").collect()[0].generation
+    first = jobs.streak_state(spark, path).generation
     jobs.update_streaks(spark, r, path, dt.date(2024, 1, 8))
-    assert spark.read.parquet(path + "/_through").collect()[0].generation == first
+    assert jobs.streak_state(spark, path).generation == first
     key = lambda df: sorted((x.name, x.date, x.streak) for x in df.collect())
     assert key(jobs.read_streaks(spark, path)) == key(st.streaks(r))
 
