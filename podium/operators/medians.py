@@ -24,13 +24,13 @@ def _in_periods(results: DataFrame, period: str) -> DataFrame:
     return results.where(F.col("secs").isNotNull()).withColumn("period_start", period_col("date", period))
 
 
-def median_times(results: DataFrame, by: Sequence[str] | None = None, period: str = "month") -> DataFrame:
-    """Median seconds per player and period, rounded half to even, as ``m:ss`` too."""
+def median_times(results: DataFrame, by: Sequence[str] | None = None, period: str = "month", checked: bool = False) -> DataFrame:
+    """Median seconds per player and period, rounded half to even, as ``m:ss`` too; ``checked`` as in :func:`ranked_position`."""
     grp = keys(by, "period_start")
     med = _in_periods(results, period).groupBy(*grp, "name").agg(F.median("secs").alias("m"))
     rounded = F.bround(F.col("m"), 0).cast("bigint")
     out = med.select(*grp, "name", rounded.alias("median_secs"))
-    out = ranked_position(out, grp, "median_secs", "name")
+    out = ranked_position(out, grp, "median_secs", "name", checked=checked)
     return out.select(
         *grp, "name", "median_secs", format_secs("median_secs").alias("median_time"), "pos"
     ).withColumn("line", fill(MEDIAN_LINE, name="name", time="median_time"))

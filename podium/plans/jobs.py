@@ -491,24 +491,27 @@ def period_report_for(
     offset: int | None = None,
     streak_table: DataFrame | None = None,
     lookback_days: int | None = None,
+    checked: bool = False,
 ) -> DataFrame:
     """Week: the current ISO week (offset 0); month / year: the previous one (offset -1).
 
     ``streak_table`` (e.g. :func:`read_streaks`) spares the scan of history for the longest streak.
     ``lookback_days`` counts streaks from results of that many days before ``as_of`` only (the
     literal monthly report looks back 90), so longer streaks are cut; the default is all history.
+    ``checked`` counts ties first and numbers huge ones in many tasks
+    (:func:`podium.operators.ranking.ranked_position`).
     """
     if offset is None:
         offset = 0 if period == "week" else -1
     start, end = period_range(as_of, period, offset)
     in_range = (F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(end))
     if period == "week":
-        return rp.weekly_message(results.where(in_range), by)
+        return rp.weekly_message(results.where(in_range), by, checked=checked)
     if lookback_days is not None:
         streak_table = st.streaks(rp.lookback(results, as_of, lookback_days), by)
     if streak_table is not None:
-        return rp.period_message(results.where(in_range), by, period, streak_table=streak_table.where(in_range))
-    return rp.period_report_for(results, as_of, by, period, offset)
+        return rp.period_message(results.where(in_range), by, period, streak_table=streak_table.where(in_range), checked=checked)
+    return rp.period_report_for(results, as_of, by, period, offset, checked)
 
 
 def run_period(
@@ -529,7 +532,7 @@ def run_period(
     if streak_path and period != "week":
         _, end = period_range(as_of, period, -1)
         streak_table = read_streaks(spark, streak_path, by, results, end - dt.timedelta(days=1), table_path)
-    parts = period_report_for(results, as_of, by, period, streak_table=streak_table, lookback_days=lookback_days)
+    parts = period_report_for(results, as_of, by, period, streak_table=streak_table, lookback_days=lookback_days, checked=True)
     write_messages(_kind_messages(parts, period, "period_start"), messages_path)
 
 

@@ -251,10 +251,12 @@ def daily_message(
     return _parts(days, grp, sections, _lines(s, grp, "standings"), page_size)
 
 
-def weekly_message(results: DataFrame, by: Sequence[str] | None = None, page_size: int = PAGE_SIZE) -> DataFrame:
-    """``*Week N wins*`` and the medal table, per ISO week."""
+def weekly_message(
+    results: DataFrame, by: Sequence[str] | None = None, page_size: int = PAGE_SIZE, checked: bool = False
+) -> DataFrame:
+    """``*Week N wins*`` and the medal table, per ISO week; ``checked`` as in :func:`podium.operators.ranking.ranked_position`."""
     grp = keys(by, "period_start")
-    table = ranking.medal_table(results, by, "week")
+    table = ranking.medal_table(results, by, "week", checked)
     lines = table.withColumn("line", fill(tx.MEDAL_LINE, name="name", placements="placements"))
     weeks = results.select(*keys(by), period_col("date", "week").alias("period_start")).distinct()
     head = fill(tx.WEEK_HEADER, label=period_label("period_start", "week"))
@@ -267,19 +269,21 @@ def period_message(
     period: str = "month",
     page_size: int = PAGE_SIZE,
     streak_table: DataFrame | None = None,
+    checked: bool = False,
 ) -> DataFrame:
     """Monthly / annual results: wins, fastest three, medians, longest streak.
 
     A month is one message in that order.  A year is three messages, as
-    posted: wins; medians; fastest three and longest streak.
+    posted: wins; medians; fastest three and longest streak.  ``checked`` as in
+    :func:`podium.operators.ranking.ranked_position`.
     """
     grp = keys(by, "period_start")
     s = streak_table if streak_table is not None else st.streaks(results, by)
-    wins = ranking.period_wins(results, by, period).withColumn("line", fill(tx.WINS_LINE, name="name", n="n", mark="mark"))
+    wins = ranking.period_wins(results, by, period, checked).withColumn("line", fill(tx.WINS_LINE, name="name", n="n", mark="mark"))
     lines = (
         _lines(wins, grp, "wins")
         .unionByName(_lines(ranking.fastest(results, by, period, 3), grp, "fastest"))
-        .unionByName(_lines(medians.median_times(results, by, period), grp, "medians"))
+        .unionByName(_lines(medians.median_times(results, by, period, checked), grp, "medians"))
         .unionByName(_lines(st.longest_streak(results, by, period, tx.STREAK_SHOWN_FROM, s), grp, "streak"))
     )
     periods = results.select(*keys(by), period_col("date", period).alias("period_start")).distinct()
@@ -298,7 +302,7 @@ def period_message(
 
 
 def period_report_for(
-    results: DataFrame, as_of: dt.date, by: Sequence[str] | None = None, period: str = "month", offset: int = -1
+    results: DataFrame, as_of: dt.date, by: Sequence[str] | None = None, period: str = "month", offset: int = -1, checked: bool = False
 ) -> DataFrame:
     """The message parts of one period (default: the one before ``as_of``).
 
@@ -311,4 +315,4 @@ def period_report_for(
     local = results.where((F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(end)))
     history = results.where(F.col("date") < F.lit(end))
     streak_table = st.streaks(history, by).where(F.col("date") >= F.lit(start))
-    return period_message(local, by, period, streak_table=streak_table)
+    return period_message(local, by, period, streak_table=streak_table, checked=checked)

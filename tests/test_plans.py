@@ -29,7 +29,13 @@ def test_no_cartesian_or_single_partition(spark, name):
 
 
 def test_top_ranks_limit_before_shuffle(spark):
-    plan = _plan(st.streaks(fx.league_results(spark, SF), ["league"]))
+    # winners: no window sees a day; medals: one over a day's distinct times, counted before
+    plan = st.streaks(fx.league_results(spark, SF), ["league"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window [" in plan and "rank(secs" not in plan
+    lines = rk.medal_table(fx.league_results(spark, SF), ["league"])._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = next(i for i, line in enumerate(lines) if "Window [rank(secs" in line)
+    assert "Aggregate [" in " ".join(lines[at + 1 : at + 3])
+    plan = _plan(rk.top_ranks(fx.league_results(spark, SF), ["league"], 3))
     assert "WindowGroupLimit" in plan and "Partial" in plan
     plan = _plan(rk.fastest(fx.results(spark, SF), None, "month", 3))
     assert "WindowGroupLimit" in plan

@@ -103,3 +103,51 @@ def test_ranked_position_equals_row_number(spark, rows):
             order = [F.col("v").asc_nulls_last(), F.col("name").asc_nulls_last()]
         want = {(r.g, r.name): r.pos for r in df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy(*order))).collect()}
         assert got == want
+
+
+def _random_results(spark, seed, n=400):
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(seed)
+    rows = [(rng.choice([None, "e", "w"]), rng.choice(["a", "b", "c", "d", "e", "f", None]), f"2024-01-{rng.randrange(1, 6):02d}", rng.choice([None, 20, 20, 20, 21, 30])) for _ in range(n)]
+    r = results_df(spark, rows, league=True)
+    return r.withColumn("date", F.when(F.col("date") != "2024-01-05", F.col("date")))  # and rows without a day
+
+
+def test_top_ranks_by_values_equal_the_window(spark):
+    r = _random_results(spark, 1)
+    for k in (1, 2, 3):
+        for by in (None, ["league"]):
+            got = rk.top_ranks(r, by, k)
+            want = rk.top_ranks(r, by, k, "window").select(*got.columns)
+            assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_positions_under_huge_ties_equal_the_window(spark, monkeypatch):
+    import random
+
+    rng = random.Random(3)
+    rows = [(rng.choice([None, "e", "w", "w", "w"]), f"p{i}" if i % 50 else None, rng.choice([None, 1, 1, 1, 1, 2, 5])) for i in range(1500)]
+    df = spark.createDataFrame(rows, "league string, name string, n int").repartition(4).dropDuplicates()
+    for down in (False, True):
+        args = (df, ["league"], "n", "name", down, "pos", None, "rnk")
+        key = lambda d: sorted(map(tuple, d.select("league", "name", "n", "pos", "rnk").collect()), key=str)
+        want = key(rk.ranked_position(*args))
+        assert key(rk.ranked_position(*args, checked=True)) == want
+        with monkeypatch.context() as m:
+            m.setattr(rk, "TIE_ROWS", 10)
+            m.setattr(rk, "positions_by_range", (lambda whole: lambda *a: called.append(1) or whole(*a))(rk.positions_by_range))
+            called = []
+            assert key(rk.ranked_position(*args, checked=True)) == want and called
+
+
+def test_reports_with_huge_ties_are_the_same(spark, monkeypatch):
+    from podium.plans import reports as rp
+
+    r = _random_results(spark, 5).where("name IS NOT NULL AND date IS NOT NULL").dropDuplicates(["league", "name", "date"])
+    key = lambda d: sorted(map(tuple, d.collect()), key=str)
+    want = key(rp.period_message(r, ["league"])), key(rp.weekly_message(r, ["league"]))
+    monkeypatch.setattr(rk, "TIE_ROWS", 0)
+    assert (key(rp.period_message(r, ["league"], checked=True)), key(rp.weekly_message(r, ["league"], checked=True))) == want

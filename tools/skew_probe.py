@@ -11,7 +11,10 @@ scale.  Per-task shuffle records come from Spark's event log, written to a
 scratch folder.  Prints one JSON line per method: rows, and the largest /
 median task input (records read from shuffle) of the heaviest stage.
 
-Usage: python tools/skew_probe.py [sf_dir]
+``tied`` lets all rows of the hot day win it; ``positions`` numbers a million
+players of one win in one league-month.
+
+Usage: python tools/skew_probe.py [sf_dir [kind ...]]
 """
 
 from __future__ import annotations
@@ -62,7 +65,10 @@ def main(argv):
     out = {}
     runs = [("rank:window", {}), ("rank:histogram", {}),
             ("top3:limit-before-shuffle", {}), ("top3:no-limit", {"spark.sql.optimizer.windowGroupLimitThreshold": "-1"}),
-            ("median:aggregate", {}), ("median:window", {})]
+            ("median:aggregate", {}), ("median:window", {}),
+            ("tied:window", {}), ("tied:values", {}), ("positions:window", {}), ("positions:range", {})]
+    if len(argv) > 2:
+        runs = [r for r in runs if r[0].split(":")[0] in argv[2:]]
     for method, extra in runs:
         log_dir = os.path.join(scratch, f"events-{method.replace(':', '-')}")
         os.makedirs(log_dir)
@@ -125,7 +131,26 @@ def main(argv):
             mid = (F.col("i") == F.floor((F.col("n") + 1) / 2)) | (F.col("i") == F.floor(F.col("n") / 2) + 1)
             out_df = x.where(mid).groupBy(*g).agg(F.avg("secs").alias("median"))
         else:
-            out_df = rk.top_ranks(r, ["league"], 3)
+            out_df = rk.top_ranks(r, ["league"], 3, method="window")
+        if method.startswith("tied:"):
+            # the hot day's rows all have one time, that of the day's winners
+            tied = r.withColumn("secs", F.when(F.col("league") == "HOT", F.lit(20)).otherwise(F.col("secs")))
+            tied.write.parquet(path + "-tied")
+            out_df = rk.top_ranks(spark.read.parquet(path + "-tied"), ["league"], 3, method=method.split(":")[1])
+        elif method.startswith("positions:"):
+            # a million players of one win in one league-month, half as many others
+            ids = spark.range(1_500_000).withColumn("hot", F.pmod("id", F.lit(3)) < 2)
+            won = ids.select(
+                F.when(F.col("hot"), "HOT").otherwise(F.concat(F.lit("l"), F.pmod("id", F.lit(50)))).alias("league"),
+                F.lit("1998-01-01").cast("date").alias("period_start"),
+                F.sha1(F.col("id").cast("string")).alias("name"),
+                F.when(F.col("hot"), F.lit(1)).otherwise(F.pmod("id", F.lit(7))).cast("bigint").alias("n"),
+            )
+            won.write.parquet(path + "-won")
+            r = spark.read.parquet(path + "-won")
+            spark.sparkContext.setJobGroup("measured", method)
+            spark.sparkContext.setCheckpointDir(scratch)
+            out_df = rk.ranked_position(r, ["league", "period_start"], "n", "name", True, "pos", False, "rnk", checked=method.endswith("range"))
         spark.sparkContext.setJobGroup("measured", method)
         out_df.write.format("noop").mode("overwrite").save()
         n = r.count()
@@ -134,7 +159,7 @@ def main(argv):
         heavy = max(stages.values(), key=lambda v: max(v) if v else 0)
         out[method] = {
             "rows": n,
-            "hot_day_rows": n // 3,
+            "hot_day_rows": 2 * n // 3 if method.startswith("positions:") else n // 3,
             "heaviest_stage_max_task_records": max(heavy),
             "heaviest_stage_median_task_records": int(statistics.median(heavy)),
             "heaviest_stage_tasks": len(heavy),
