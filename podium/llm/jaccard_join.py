@@ -18,7 +18,8 @@ shingles for either size ``n``, so in any global order of shingles the first
 5. T-occurrence search over the lists with several labels: a document skips up
    to ``SKIP`` of its longest lists if they are long (DivideSkip), heap-merges
    the others and keeps the candidates whose count can still reach
-   ``1 + SKIP``; lists hold only documents of another label.  Two rounds try the
+   ``1 + SKIP``; lists hold only documents of another label whose parity bits
+   allow the similarity (:func:`_parity`).  Two rounds try the
    candidates of the highest counts first (``CONTRACTIONS``) and merge labels, so
    that a large group that is linked only in chains is soon one label; the last
    round tries every candidate left.
@@ -95,6 +96,19 @@ def _node(s: np.ndarray) -> int:
         return int((tk.mix64(both) ^ tk.mix64(np.bitwise_xor.reduce(s, keepdims=True)))[0].astype(np.int64))
 
 
+def _parity(s: np.ndarray, n: int) -> bytes:
+    """The set's parity bits: bit ``h mod size`` of every element h, added modulo 2.
+
+    Two sets' bits differ in no more places than the sets differ in elements, so
+    bits that differ in too many rule a pair out.  The number of bits is a power
+    of two from twice to four times ``n``, within bounds; halves added to each
+    other are the bits of half the size, so sets of any sizes compare.
+    """
+    size = min(max(256, 1 << (2 * n - 1).bit_length()), 1 << 13)
+    places = np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(places.astype(np.uint8), bitorder="little").tobytes()
+
+
 def frequent(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles (sorted) and the bit length of their counts.
 
@@ -121,25 +135,25 @@ def frequent(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """doc_id, n, node (signature of the set) and keys: the indexed shingles in global order (8 bytes each)."""
+    """doc_id, n, node (signature of the set), keys (the indexed shingles in global order, 8 bytes each) and parity bits."""
     common = docs.sparkSession.sparkContext.broadcast(frequent(docs, k))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, level = common.value
         for b in batches:
-            size, node, keys = np.zeros(len(b), np.int64), np.zeros(len(b), np.int64), [b""] * len(b)
+            size, node, keys, bits = np.zeros(len(b), np.int64), np.zeros(len(b), np.int64), [b""] * len(b), [b""] * len(b)
             for r, s in _sets(b.column(1), k):
                 n = size[r] = len(s)
                 if not n:
                     continue
-                node[r] = _node(s)
+                node[r], bits[r] = _node(s), _parity(s, n)
                 if len(hot):
                     at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
                     s = np.sort(np.where(hot[at] == s, level[at] << np.uint64(58), np.uint64(0)) | s)
                 keys[r] = s[: n + (-n * num // den) + 1 + (SKIP if n >= SMALL else 0)].tobytes()
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(node), pa.array(keys, pa.binary())], ["doc_id", "n", "node", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(node), pa.array(keys, pa.binary()), pa.array(bits, pa.binary())], ["doc_id", "n", "node", "keys", "bits"])
 
-    return mapped(docs.select(F.col("doc_id").cast("long"), "text"), sign, "doc_id long, n long, node long, keys binary")
+    return mapped(docs.select(F.col("doc_id").cast("long"), "text"), sign, "doc_id long, n long, node long, keys binary, bits binary")
 
 
 def _postings(classes: DataFrame) -> DataFrame:
@@ -280,52 +294,97 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, num:
     return out
 
 
-def _candidates(lists: DataFrame, num: int, den: int, best: int | None = None) -> DataFrame:
+class _List:
+    """The part of one list that documents still to come may be compared with, in order of size."""
+
+    def __init__(self):
+        self.n = self.node = self.label = self.width = self.first = np.empty(0, np.int64)
+        self.bits = np.empty(0, np.uint64)
+
+    def add(self, n: np.ndarray, node: np.ndarray, label: np.ndarray, bits: list[bytes]) -> None:
+        self.n, self.node, self.label = (np.concatenate(x) for x in ((self.n, n), (self.node, node), (self.label, label)))
+        self.width = np.concatenate((self.width, np.array([len(x) // 8 for x in bits], np.int64)))
+        self.bits = np.concatenate((self.bits, np.frombuffer(b"".join(bits), np.uint64)))
+        self.first = np.cumsum(self.width) - self.width
+
+    def cut(self, least: int) -> int:
+        """Drop documents below ``least`` shingles; how many went."""
+        lo = int(np.searchsorted(self.n, least))
+        if lo:
+            self.bits = self.bits[int(self.first[lo]) if lo < len(self.n) else len(self.bits) :]
+            self.n, self.node, self.label, self.width = self.n[lo:], self.node[lo:], self.label[lo:], self.width[lo:]
+            self.first = np.cumsum(self.width) - self.width
+        return lo
+
+    def before(self, i: int, num: int, den: int) -> np.ndarray:
+        """Sorted documents ahead of the i-th, of another label, that size and parity bits let reach the similarity."""
+        n, lo = int(self.n[i]), int(np.searchsorted(self.n, -(-int(self.n[i]) * num // den)))
+        other = self.label[lo:i] != self.label[i]
+        if not other.any():
+            return np.empty(0, np.int64)
+        mine = self.bits[self.first[i] : self.first[i] + self.width[i]]
+        while lo < i:
+            # widths rise with sizes, so those of one width lie together
+            width = int(self.width[lo])
+            hi = min(i, int(np.searchsorted(self.width, width, "right")))
+            theirs = self.bits[self.first[lo] : self.first[hi - 1] + width].reshape(hi - lo, width)
+            apart = np.bitwise_count(theirs ^ np.bitwise_xor.reduce(mine.reshape(-1, width))).sum(axis=1, dtype=np.int64)
+            other[lo - i : hi - i or None] &= (den + num) * apart <= (den - num) * (self.n[lo:hi] + n)
+            lo = hi
+        return np.sort(self.node[i - len(other) : i][other])
+
+
+def _candidates(lists: DataFrame, bits: DataFrame, num: int, den: int, best: int | None = None) -> DataFrame:
     """(a, b): classes of different labels whose count over the merged lists can reach the required overlap.
 
-    ``lists``: key, n, node, label of lists with several labels.  ``best`` keeps
-    only so many candidates of each class, those of the highest counts.
+    ``lists``: key, n, node, label of lists with several labels; ``bits``: the
+    parity bits of every node.  ``best`` keeps only so many candidates of each
+    class, those of the highest counts.
     """
     sized = lists.join(lists.groupBy("key").agg(F.count("*").alias("long")), "key")
     rank = F.row_number().over(W.partitionBy("node").orderBy(F.desc("long"), "key"))
     least = F.ceil(F.col("n") * num / den)
     skips = (F.col("long") > SHORT) & (rank <= SKIP) & (least >= SMALL)
     dealt = sized.withColumn("skipped", skips).withColumn("n_skipped", F.sum(F.col("skipped").cast("int")).over(W.partitionBy("node")))
+    dealt = dealt.join(bits.hint("merge"), "node")
 
     def tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """For each merged list of a document, the sorted documents before it within the size range."""
-        now, n, node, label = None, *(np.empty(0, np.int64) for _ in range(3))
-        for b in batches:
-            out: list[tuple[int, int, int, bytes]] = []
-            size = 0
-            for key, nn, no, la, skipped, ns in zip(*(c.to_pylist() for c in b.columns)):
-                if key != now:
-                    now, buf = key, ([], [], [])
-                    lo = 0
-                elif not skipped:
-                    while lo < len(buf[0]) and buf[0][lo] * den < nn * num:
-                        lo += 1
-                    got = np.array([x for x, y in zip(buf[1][lo:], buf[2][lo:]) if y != la], np.int64)
-                    if len(got):
-                        out.append((no, nn, ns, np.sort(got).tobytes()))
-                        size += 8 * len(got)
-                if lo > 1024:
-                    for x in buf:
-                        del x[:lo]
-                    lo = 0
-                for x, v in zip(buf, (nn, no, la)):
-                    x.append(v)
-                if size > 1 << 22:
-                    yield _rows(out)
-                    out, size = [], 0
-            yield _rows(out)
+        """For each merged list of a document, the sorted documents before it that may be its partners."""
+        now, held = None, _List()
+        for whole in batches:
+            for lo in range(0, len(whole), 2048):
+                b = whole.slice(lo, 2048)
+                key, n, node, label = (b.column(i).to_numpy() for i in range(4))
+                skipped, n_skipped = b.column(4).to_numpy(zero_copy_only=False), b.column(5).to_numpy()
+                raw = b.column(6).to_pylist()
+                edge = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
+                out: list[tuple[int, int, int, bytes]] = []
+                size = 0
+                for x, y in zip(edge[:-1], edge[1:]):
+                    if key[x] != now:
+                        now, held = key[x], _List()
+                    else:
+                        held.cut(-(-int(n[x]) * num // den))
+                    at = len(held.n)
+                    held.add(n[x:y], node[x:y], label[x:y], raw[x:y])
+                    for i in range(x, y):
+                        if skipped[i] or at + i - x == 0:
+                            continue
+                        got = held.before(at + i - x, num, den)
+                        if len(got):
+                            out.append((int(node[i]), int(n[i]), int(n_skipped[i]), got.tobytes()))
+                            size += 8 * len(got)
+                            if size > 1 << 22:
+                                yield _rows(out)
+                                out, size = [], 0
+                yield _rows(out)
 
     def _rows(out):
         cols = list(zip(*out)) or [(), (), (), ()]
         types = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["a", "n", "skipped", "before"])
 
-    tail = mapped(_by_list(dealt.select("key", "n", "node", "label", "skipped", "n_skipped")), tails, "a long, n long, skipped long, before binary")
+    tail = mapped(_by_list(dealt.select("key", "n", "node", "label", "skipped", "n_skipped", "bits")), tails, "a long, n long, skipped long, before binary")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Heap-merge of a document's lists; candidates need 1 + SKIP occurrences, less the lists skipped."""
@@ -361,12 +420,12 @@ def join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFram
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = staged(signatures(docs, k, num, den), "signed")
-    known = signed.where("n > 0").groupBy("node", "n").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"))
+    known = signed.where("n > 0").groupBy("node", "n").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"), F.first("bits").alias("bits"))
     keyed = staged(known, "keyed")
     marks = staged(signed.select("doc_id", "n", "node"), "marks")
     unstage(signed)
     lists = staged(_shared(_postings(keyed.where("rep IS NOT NULL")), num, den), "lists")
-    classes = staged(keyed.select("node", "rep"), "classes")
+    classes = staged(keyed.select("node", "rep", "bits"), "classes")
     unstage(keyed)
     usable = classes.where("rep IS NOT NULL")
     # each class is compared with the centre it shares most lists with; step 5 finds all other links
@@ -379,12 +438,13 @@ def join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFram
         labelled = lists.select("key", "n", "node").join(known, "node", "left").select("key", "n", "node", F.coalesce("component", "node").alias("label"))
         open_ = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("key")
         several = staged(labelled.join(open_, "key"), "several")
-        more = verified(docs, usable, _candidates(several, num, den, best), k, num, den)
+        more = verified(docs, usable, _candidates(several, usable.select("node", "bits"), num, den, best), k, num, den)
         links = links.unionByName(more)
         unstage(known, several)
     whole = staged(components(links), "components")
     names = usable.select("node", "rep").join(whole, "node").groupBy("component").agg(F.min("rep").alias("least"))
-    named = classes.select("node", "rep").join(whole, "node", "left").join(names, "component", "left")
+    placed = classes.select("node", "rep").join(whole, "node", "left")
+    named = salted_join(placed, names, ["component"], F.col("node"))
     final = staged(named.select("node", F.coalesce("least", "rep").alias("named")), "named")
     unstage(lists, whole, classes)
     out = salted_join(marks, final, ["node"], F.coalesce("doc_id", F.lit(0)))
