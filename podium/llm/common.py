@@ -85,8 +85,28 @@ def in_order(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     return staged(placed.drop("_at"), name)
 
 
-def in_order_by(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+def in_order_by(df: DataFrame, order: Sequence[Column], parts: int | None = None) -> DataFrame:
+    """Rows range-partitioned and sorted; ``parts`` fixes the number of partitions, for rows that stand for much more than their bytes."""
+    ranged = df.repartitionByRange(*order) if parts is None else df.repartitionByRange(parts, *order)
+    return ranged.sortWithinPartitions(*order)
+
+
+def arrow_uri(path: str) -> str:
+    """A qualified Hadoop path as pyarrow's file systems name it; ValueError for a file system they do not have."""
+    scheme, colon, rest = path.partition(":")
+    known = {"file": "file", "s3": "s3", "s3a": "s3", "s3n": "s3", "hdfs": "hdfs", "gs": "gs", "gcs": "gs", "abfs": "abfs", "abfss": "abfss"}
+    if not colon or scheme not in known:
+        raise ValueError(f"files are written and read by ranges through pyarrow, which cannot open {path!r}; use one of {sorted(known)}")
+    if scheme == "file":
+        return "file:///" + rest.lstrip("/")
+    return f"{known[scheme]}:{rest}"
+
+
+def task_uri(spark: SparkSession, path: str) -> str:
+    """``path`` for tasks that write or read files themselves: in the file system that Spark itself would use for it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return arrow_uri(str(fs.makeQualified(p).toString()))
 
 
 def part_offsets(sums: dict[int, int]) -> dict[int, int]:

@@ -6,10 +6,14 @@ a response and the others are revisits without payload.
 
 :func:`build_index` sorts the captures by reversed-host url key into shards.  A
 shard is a file of zlib-packed blocks of ``BLOCK_LINES`` lines, then its sparse
-directory (first key and byte range of every block).  :func:`lookup` bisects
-the shards' key ranges (one row per shard, so bounded by the number of
-partitions), then a shard's directory, then the lines of one block, and
-range-reads the records; :func:`read_all` walks every block of every shard.
+directory (first key and byte range of every block).  :func:`find` bisects the
+shards' key ranges (one row per shard, so bounded by the number of partitions),
+then a shard's directory, then the lines of one block; the records are then
+range-read.  The query looks up every page's key so; :func:`read_all` walks
+every block of every shard instead.
+
+Archives and shards are written and read through pyarrow's file systems, in the
+one Spark uses for the folder (:func:`podium.llm.common.task_uri`).
 
 Tasks write under names of their own attempt and report them; only reported
 files are ever read, so a lost executor leaves nothing but an unread file.
@@ -37,7 +41,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from podium.llm.common import in_order_by, mapped, salted_join, scratch_path, staged, table, unstage
+from podium.llm.common import in_order_by, mapped, salted_join, scratch_path, staged, table, task_uri, unstage
 from podium.llm.url_filters import host
 
 MIN_REVISIT = 100
@@ -101,13 +105,9 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
     return fields, block.partition(b"\r\n\r\n")[2]
 
 
-def _uri(folder: str) -> str:
-    return folder if re.match(r"[a-z0-9]+:", folder) else "file://" + folder
-
-
 def write(pages: DataFrame, folder: str) -> DataFrame:
     """Writes the archives and returns their captures: key, path, offset, length."""
-    folder = _uri(folder)
+    folder = task_uri(pages.sparkSession, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = pafs.FileSystem.from_uri(folder)
@@ -139,8 +139,8 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
 
 
 def build_index(captures: DataFrame, folder: str) -> DataFrame:
-    """Writes the index shards and returns them: path, first_key, last_key, n_blocks, n_lines."""
-    folder = _uri(folder)
+    """Writes the index shards and returns them: path, first_key, last_key, n_blocks, n_lines, n_bytes (of their records)."""
+    folder = task_uri(captures.sparkSession, folder)
     # offsets make the order total, so captures of one hot key are cut into several ranges
     ordered = in_order_by(captures, [F.col("key"), F.col("path"), F.col("offset")])
 
@@ -148,7 +148,7 @@ def build_index(captures: DataFrame, folder: str) -> DataFrame:
         fs, base = pafs.FileSystem.from_uri(folder)
         fs.create_dir(base, recursive=True)
         done, lines, directory = [], [], []
-        sink, name, offset, n_lines, first = None, "", 0, 0, ""
+        sink, name, offset, n_lines, n_bytes, first = None, "", 0, 0, 0, ""
 
         def block():
             nonlocal lines, offset, n_lines
@@ -164,16 +164,17 @@ def build_index(captures: DataFrame, folder: str) -> DataFrame:
             packed = zlib.compress("\n".join(f"{k}\t{o}\t{n}" for k, o, n in directory).encode())
             sink.write(packed + struct.pack("<QQ", offset, len(packed)))
             sink.close()
-            done.append((f"{folder}/{name}", first, last, len(directory), n_lines))
+            done.append((f"{folder}/{name}", first, last, len(directory), n_lines, n_bytes))
             sink, directory = None, []
 
         last = ""
         for b in batches:
             for key, path, at, size in zip(*(c.to_pylist() for c in b.columns)):
                 if sink is None:
-                    name, offset, n_lines, first = f"index-{uuid.uuid4().hex}.cdx", 0, 0, key
+                    name, offset, n_lines, n_bytes, first = f"index-{uuid.uuid4().hex}.cdx", 0, 0, 0, key
                     sink = fs.open_output_stream(f"{base}/{name}")
                 lines.append(f"{key}\t{path}\t{at}\t{size}")
+                n_bytes += size
                 last = key
                 if len(lines) == BLOCK_LINES:
                     block()
@@ -183,13 +184,14 @@ def build_index(captures: DataFrame, folder: str) -> DataFrame:
             block()
         if sink is not None:
             close(last)
-        cols = list(zip(*done)) or [()] * 5
+        cols = list(zip(*done)) or [()] * 6
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()))],
-            ["path", "first_key", "last_key", "n_blocks", "n_lines"],
+            [pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()))],
+            ["path", "first_key", "last_key", "n_blocks", "n_lines", "n_bytes"],
         )
 
-    return staged(mapped(ordered, run, "path string, first_key string, last_key string, n_blocks long, n_lines long"), "shards")
+    schema = "path string, first_key string, last_key string, n_blocks long, n_lines long, n_bytes long"
+    return staged(mapped(ordered, run, schema), "shards")
 
 
 class Files:
@@ -261,65 +263,121 @@ def entries(shards: DataFrame) -> DataFrame:
                     ["key", "path", "offset", "length"],
                 )
 
-    listed = mapped(shards.select("path").repartition("path"), blocks, "shard string, at long, size long")
-    return mapped(listed.repartition("shard", "at"), lines, "key string, path string, offset long, length long")
+    n_shards, n_tasks = _tasks(shards)
+    listed = mapped(shards.select("path").repartition(n_shards), blocks, "shard string, at long, size long")
+    return mapped(listed.repartition(n_tasks, "shard", "at"), lines, _ENTRY)
 
 
-def read_all(shards: DataFrame, payload: bool = False) -> DataFrame:
-    """Every record, through the index; archives are read in order of offsets."""
+_ENTRY = "key string, path string, offset long, length long"
+#: bytes of records that a task reads
+TASK_BYTES = 8 << 20
+
+
+def _tasks(shards: DataFrame) -> tuple[int, int]:
+    """Tasks for the shards, and for the records they name.
+
+    A row stands for a whole file, block or record, so tasks are counted by the
+    bytes behind the rows; partitions of a given number are not merged by the
+    few bytes of the rows themselves.
+    """
+    got = shards.agg(F.count("*").alias("n"), F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("bytes")).first()
+    return max(1, got["n"]), max(1, got["n"], -(-got["bytes"] // TASK_BYTES))
+
+
+def _records(shards: DataFrame, found: DataFrame, payload: bool, asked: bool = False) -> DataFrame:
+    """The records of entries (path, offset, length, with ``asked`` also asked), archives in order of offsets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = Files()
         for b in batches:
             for lo in range(0, len(b), 512):
                 c = b.slice(lo, 512)
-                yield _out([_fields(files.read(*x)) for x in zip(*(c.column(i).to_pylist() for i in range(3)))], payload)
+                got = _out([_fields(files.read(*x)) for x in zip(*(c.column(i).to_pylist() for i in range(3)))], payload)
+                yield pa.RecordBatch.from_arrays([c.column(3), *got.columns], ["asked", *got.schema.names]) if asked else got
 
-    ordered = in_order_by(entries(shards).select("path", "offset", "length"), [F.col("path"), F.col("offset")])
-    return mapped(ordered, run, _OUT if payload else ", ".join(_OUT.split(", ")[:5]))
+    columns = ["path", "offset", "length", *(["asked"] if asked else [])]
+    ordered = in_order_by(found.select(*columns), [F.col("path"), F.col("offset")], _tasks(shards)[1])
+    return mapped(ordered, run, ("asked string, " if asked else "") + (_OUT if payload else ", ".join(_OUT.split(", ")[:5])))
 
 
-def lookup(shards: DataFrame, urls: DataFrame) -> DataFrame:
-    """The records of the given urls (column ``url``), with their payloads; ``asked`` is the url asked for."""
-    tops = sorted(((r["first_key"].encode(), r["last_key"].encode(), r["path"]) for r in shards.select("first_key", "last_key", "path").collect()))
-
-    def find(files: Files, held: dict, key: bytes) -> Iterator[tuple[str, int, int]]:
-        # shards are in key order; a key may go on in the next ones
-        i = bisect_left([t[1] for t in tops], key)
-        while i < len(tops) and tops[i][0] <= key:
-            uri = tops[i][2]
-            if uri not in held:
-                held.clear()
-                held[uri] = files.directory(uri)
-            d = held[uri]
-            j = max(0, bisect_left([x[0] for x in d], key) - 1)
-            while j < len(d) and d[j][0] <= key:
-                lines = files.lines(uri, d[j][1], d[j][2])
-                keys = [x.split(b"\t", 1)[0] for x in lines]
-                for line in lines[bisect_left(keys, key) : bisect_right(keys, key)]:
-                    _, path, at, size = line.decode().split("\t")
-                    yield path, int(at), int(size)
-                j += 1
-            i += 1
+def read_all(shards: DataFrame, payload: bool = False) -> DataFrame:
+    """Every record, by a walk through all blocks of the index."""
+    return _records(shards, entries(shards), payload)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, held = Files(), {}
+
+def find(shards: DataFrame, keys: DataFrame) -> DataFrame:
+    """key, path, offset, length of the captures of the given distinct keys (column ``key``), by binary search.
+
+    The shards' key ranges (one row per shard, told to every task) say which
+    shards may hold a key; there the sparse directory says which blocks, and a
+    block's sorted lines are bisected.  A key that fills several shards is
+    looked up in each of them by a task of its own.
+    """
+    tops = sorted((r["first_key"].encode(), r["last_key"].encode(), r["path"]) for r in shards.select("first_key", "last_key", "path").collect())
+    last_keys = [t[1] for t in tops]
+
+    def first_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for url, key in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                rows = [_fields(files.read(*x)) for x in find(files, held, key.encode())]
-                got = _out(rows, True)
-                yield pa.RecordBatch.from_arrays([pa.array([url] * len(rows), pa.string()), *got.columns], ["asked", *got.schema.names])
+            rows = []
+            for key in b.column(0).to_pylist():
+                raw = key.encode()
+                # shards are in key order; a key may go on in the next ones
+                i = bisect_left(last_keys, raw)
+                while i < len(tops) and tops[i][0] <= raw:
+                    rows.append((tops[i][2], key))
+                    i += 1
+            cols = list(zip(*rows)) or [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], ["shard", "key"])
+
+    def second_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, now, starts, directory = Files(), None, [], []
+        block, keys, lines = -1, [], []
+        for b in batches:
+            rows = []
+            for shard, key in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                raw = key.encode()
+                if shard != now:
+                    now, block, directory = shard, -1, files.directory(shard)
+                    starts = [x[0] for x in directory]
+                j = max(0, bisect_left(starts, raw) - 1)
+                while j < len(directory) and starts[j] <= raw:
+                    if j != block:
+                        block, lines = j, files.lines(shard, *directory[j][1:])
+                        keys = [x.split(b"\t", 1)[0] for x in lines]
+                    for line in lines[bisect_left(keys, raw) : bisect_right(keys, raw)]:
+                        _, path, at, size = line.decode().split("\t")
+                        rows.append((key, path, int(at), int(size)))
+                    j += 1
+                if len(rows) >= 8192:
+                    yield _entries(rows)
+                    rows = []
+            yield _entries(rows)
+
+    wanted = mapped(keys.select(F.col("key").cast("string").alias("key")).where("key IS NOT NULL"), first_level, "shard string, key string")
+    by_shard = wanted.repartition(_tasks(shards)[0], "shard").sortWithinPartitions("shard", "key")
+    return mapped(by_shard, second_level, _ENTRY)
+
+
+def _entries(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows)) or [()] * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int64(), pa.int64()))], ["key", "path", "offset", "length"])
+
 
-    keyed = in_order_by(urls.select("url", url_key(F.col("url")).alias("key")), [F.col("key"), F.col("url")])
-    return mapped(keyed, run, "asked string, " + _OUT)
+def lookup(shards: DataFrame, urls: DataFrame) -> DataFrame:
+    """The records of the given urls (column ``url``), with their payloads; ``asked`` is the url asked for."""
+    keyed = urls.select(F.col("url").alias("asked"), url_key(F.col("url")).alias("key"))
+    found = find(shards, keyed.select("key").distinct()).join(keyed, "key")
+    return _records(shards, found, payload=True, asked=True)
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "warc")
-    captures = write(table(spark, sf_dir, "pages"), folder)
+    pages = table(spark, sf_dir, "pages")
+    captures = write(pages, folder)
     shards = build_index(captures, folder)
     unstage(captures)
-    return read_all(shards)
+    # each key once; captures without a url lie under the empty key
+    return _records(shards, find(shards, pages.select(url_key(F.col("url")).alias("key")).distinct()), payload=False)
 
 
 ORACLE = """

@@ -1,7 +1,10 @@
 import hashlib
 
+import pytest
+from pyspark.sql import functions as F
+
 from podium.llm import warc
-from podium.llm.common import scratch_path
+from podium.llm.common import arrow_uri, scratch_path, task_uri
 
 BIG = "<p>é" + "x" * 200
 ROWS = [
@@ -50,3 +53,52 @@ def test_empty(spark):
     shards = archive(spark, [])
     assert warc.read_all(shards).collect() == []
     assert warc.lookup(shards, spark.createDataFrame([("http://a/",)], "url string")).collect() == []
+
+
+def test_lookup_at_size_equals_the_scan(spark, monkeypatch):
+    """100,000 captures over many shards and blocks, a third of them under one url."""
+    monkeypatch.setattr(warc, "SHARD_LINES", 4096)
+    hot = F.pmod("id", F.lit(3)) == 0
+    url = F.when(hot, "http://hot.org/x").when(F.pmod("id", F.lit(1000)) != 1, F.concat(F.lit("http://h"), F.pmod("id", F.lit(977)), F.lit(".org/"), F.col("id")))
+    pages = spark.range(100_000).select(F.col("id").alias("page_id"), url.alias("url"), F.concat(F.lit("page "), F.col("id")).alias("html"))
+    folder = scratch_path(spark, "test-warc")
+    shards = warc.build_index(warc.write(pages, folder), folder)
+    assert shards.count() > 20
+    found = warc.find(shards, pages.select(warc.url_key(F.col("url")).alias("key")).distinct())
+    scan = warc.entries(shards)
+    assert found.count() == scan.count() == 100_000
+    assert found.exceptAll(scan).isEmpty() and scan.exceptAll(found).isEmpty()
+    got = warc._records(shards, found, payload=False)
+    assert got.select("page_id").distinct().count() == 100_000
+    some = spark.createDataFrame([("http://hot.org/x",), ("http://h5.org/982",), ("http://h5.org/983",)], "url string")
+    assert {(r.asked, r["count"]) for r in warc.lookup(shards, some).groupBy("asked").count().collect()} == {("http://hot.org/x", 33334), ("http://h5.org/982", 1)}
+
+
+def test_records_are_read_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(warc, "TASK_BYTES", 2000)
+    pages = spark.range(400).select(F.col("id").alias("page_id"), F.concat(F.lit("http://a.org/"), "id").alias("url"), F.sha2(F.col("id").cast("string"), 512).alias("html"))
+    folder = scratch_path(spark, "test-warc")
+    shards = warc.build_index(warc.write(pages, folder), folder)
+    tasks = warc.read_all(shards).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true" and tasks > 10
+
+
+def test_paths_for_tasks(spark, tmp_path):
+    assert arrow_uri("file:/a b/c") == arrow_uri("file:///a b/c") == "file:///a b/c"
+    assert arrow_uri("s3a://bucket/x") == "s3://bucket/x"
+    assert arrow_uri("hdfs://name:8020/x") == "hdfs://name:8020/x"
+    for bad in ("viewfs://c/x", "/no/scheme"):
+        with pytest.raises(ValueError, match="pyarrow"):
+            arrow_uri(bad)
+    assert task_uri(spark, str(tmp_path)) == f"file://{tmp_path}"
+    # a path without a scheme goes to the default file system, not to each machine's own
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    was = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "viewfs://cluster/")
+    conf.set("fs.viewfs.mounttable.cluster.link./shared", f"file://{tmp_path}")
+    try:
+        with pytest.raises(ValueError, match="viewfs://cluster/shared/x"):
+            task_uri(spark, "/shared/x")
+        assert task_uri(spark, f"file:{tmp_path}") == f"file://{tmp_path}"
+    finally:
+        conf.set("fs.defaultFS", was)
