@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from podium.llm import huffman
 from podium.llm import textkernel as tk
-from podium.llm.common import in_order_by, mapped, part_offsets, scratch_path, staged, table, unstage
+from podium.llm.common import in_order_by, mapped, part_offsets, scratch_path, staged, table, task_uri, unstage
 
 MAGIC = b"CTF1"
 #: ids per block
@@ -407,8 +407,9 @@ def read_digests(files: DataFrame) -> DataFrame:
                     ["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    # one file a row: files are dealt to as many tasks as there are partitions
-    return mapped(files.select("path").repartition("path"), run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # a row is a whole file: a number given by the files is not merged by the few bytes of their names
+    dealt = files.select("path").repartition(max(1, files.count()))
+    return mapped(dealt, run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def store(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
@@ -416,7 +417,7 @@ def store(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     spark = docs.sparkSession
     tokens = tokenize(docs, path, end_id)
     folder = scratch_path(spark, "ids")
-    files = write(tokens, folder if "://" in folder or folder.startswith("file:") else "file://" + folder)
+    files = write(tokens, task_uri(spark, folder))
     unstage(tokens)
     return files
 

@@ -92,3 +92,14 @@ def test_files_round_trip(spark, monkeypatch):
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert token_store.read_digests(token_store.store(docs, token_store.public_vocabulary())).collect() == []
+
+
+def test_files_are_read_back_by_a_task_each(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(token_store, "FILE_DOCS", 1)
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(200)], "doc_id long, text string")
+    files = token_store.store(docs, token_store.public_vocabulary())
+    assert files.count() == 200 and spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    got = token_store.read_digests(files).withColumn("task", F.spark_partition_id())
+    assert got.select("task").distinct().count() == 200
