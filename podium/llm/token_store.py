@@ -408,7 +408,7 @@ def read_digests(files: DataFrame) -> DataFrame:
                 )
 
     # a row is a whole file: a number given by the files is not merged by the few bytes of their names
-    dealt = files.select("path").repartition(max(1, files.count()))
+    dealt = files.select("path").repartition(max(2, files.count()))
     return mapped(dealt, run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
