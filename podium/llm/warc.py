@@ -281,7 +281,7 @@ def _tasks(shards: DataFrame) -> tuple[int, int]:
     few bytes of the rows themselves.
     """
     got = shards.agg(F.count("*").alias("n"), F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("bytes")).first()
-    return max(1, got["n"]), max(1, got["n"], -(-got["bytes"] // TASK_BYTES))
+    return max(2, got["n"]), max(2, got["n"], -(-got["bytes"] // TASK_BYTES))
 
 
 def _records(shards: DataFrame, found: DataFrame, payload: bool, asked: bool = False) -> DataFrame:
