@@ -453,15 +453,26 @@ def join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFram
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of ``docs`` with one document, that of the smallest id, of each linked group.
+    """The rows of ``docs`` with one document, that of the smallest id (null last), of each linked group.
 
-    Of rows that repeat an id one stays; rows with a null id all stay.
+    Rows are told apart by id and text: of rows equal in both one stays, other
+    rows of an id are judged each by its own text, and rows with a null id join
+    the group of their text.  Texts without words link with nothing and stay.
     """
-    found = join(docs, k, num, den)
-    kept = staged(found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct(), "kept")
-    whole = docs.select(F.col("doc_id").cast("long").alias("_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    stay = whole.join(kept.hint("merge"), F.col("_id") == F.col("_kept")).dropDuplicates(["_id"])
-    return stay.select("doc.*").unionByName(whole.where("_id IS NULL").select("doc.*"))
+    key = F.col("doc_id").cast("long")
+    row = [F.xxhash64(key, "text").alias("_row"), key.alias("_id"), F.col("text").alias("_text")]
+    whole = docs.select(*row, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    # copies without an id are one row from here on, dropped before they meet
+    nameless = staged(whole.where("_id IS NULL").dropDuplicates(["_row"]), "nameless")
+    rows = whole.where("_id IS NOT NULL").unionByName(nameless)
+    found = join(rows.select(F.col("_row").alias("doc_id"), F.col("_text").alias("text")), k, num, den)
+    groups = found.select(F.col("doc_id").alias("_row"), "component_id").distinct()
+    ids = rows.select("_row", "_id").distinct()
+    first = F.min(F.struct(F.col("_id").isNull().alias("last"), "_id", "_row")).alias("first")
+    least = groups.join(ids.hint("merge"), "_row").groupBy("component_id").agg(first)
+    kept = staged(least.select(F.col("first._row").alias("_kept")), "kept")
+    stay = rows.join(kept.hint("merge"), F.col("_row") == F.col("_kept")).dropDuplicates(["_row"])
+    return stay.select("doc.*")
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

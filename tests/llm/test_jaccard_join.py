@@ -69,7 +69,19 @@ def test_repeated_rows_and_null_ids(spark):
     assert got == {(7, 57, 3), (3, 58, 3), (None, 57, 3), (9, 2, 9), (9, 59, 3), (None, 1, None), (None, 0, None)}
     out = jj.keep_one(spark.createDataFrame([(*r, "c") for r in rows], "doc_id long, text string, component_id string"))
     assert out.columns == ["doc_id", "text", "component_id"]
-    assert sorted(-1 if r.doc_id is None else r.doc_id for r in out.collect()) == [-1, -1, -1, 3, 9]
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in out.collect()) == [-1, -1, 3, 9]
+
+
+def test_keep_one_tells_rows_apart_by_id_and_text(spark):
+    text, other = " ".join(f"t{i}" for i in range(60)), " ".join(f"u{i}" for i in range(60))
+    rows = [
+        (None, text, "copy without id"), (None, text, "copy without id"), (5, text, "least id"), (8, text + " more", "near copy"),
+        (8, other, "same id, other text"), (None, other + " more", "near copy without id"),
+        (None, "only here " * 30, "alone"), (None, "only here " * 30, "alone"), (None, None, "no text"), (4, "", "empty"), (4, " ", "blank"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string")
+    got = sorted(r._row for r in jj.keep_one(docs).collect())
+    assert got == ["alone", "blank", "empty", "least id", "no text", "same id, other text"]
 
 
 def test_empty(spark):
