@@ -10,8 +10,11 @@ within the band of the one before.  Each chain is aligned: a longest common
 subsequence of template and text inside a band around its diagonals.  A match
 covers ``MIN_COVERAGE`` of the template's words at least.  The text left between
 the matches is searched again until it gives none, where no chain gives one by
-all hits of neighbouring diagonals together; so of notices that repeat, however
-close, each is found.
+all hits of neighbouring diagonals together, in overlapping bands of two template
+lengths (an occurrence that drifts by the template's length or less lies whole
+in one); so of notices that repeat, however close, each is found.  A text's words
+are first counted against the template's by a longest common subsequence of
+bits; only what reaches the coverage is aligned.
 
 Any ``K + WINDOW - 1`` words in a row taken over from a template share a kept
 fingerprint with it.  Rows are scanned one by one where they are read: there is
@@ -27,7 +30,7 @@ repeatedly; an empty table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 from bisect import bisect
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -94,6 +97,7 @@ class Index:
     at: np.ndarray
     names: list[str]
     words: list[np.ndarray]
+    masks: list[dict[int, int]]
 
 
 def winnow(h: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -115,7 +119,26 @@ def build_index(templates=TEMPLATES) -> Index:
         parts.append((h[kept], np.full(len(kept), i), at[kept]))
     f, t, at = (np.concatenate(x) for x in zip(*parts))
     order = np.argsort(f, kind="stable")
-    return Index(f[order], t[order], at[order], names, words)
+    return Index(f[order], t[order], at[order], names, words, [word_mask(x) for x in words])
+
+
+def word_mask(words: np.ndarray) -> dict[int, int]:
+    """Bits of the places where each word stands."""
+    out: dict[int, int] = {}
+    for i, x in enumerate(words.tolist()):
+        out[x] = out.get(x, 0) | 1 << i
+    return out
+
+
+def in_common(mask: dict[int, int], size: int, text: list[int]) -> int:
+    """Length of the longest common subsequence of the masked words and ``text``."""
+    s = full = (1 << size) - 1
+    for x in text:
+        m = mask.get(x)
+        if m:
+            u = s & m
+            s = ((s + u) | (s - u)) & full
+    return size - s.bit_count()
 
 
 def banded_lcs(a: np.ndarray, b: np.ndarray, low: int, high: int) -> list[tuple[int, int]]:
@@ -194,6 +217,11 @@ def diagonals(places: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def cut(bands: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
+    """The bands, those wider than ``2 * size`` in pieces of that width that overlap by ``size``."""
+    return [(x, min(high, x + 2 * size)) for low, high in bands for x in range(low, max(low + 1, high - size), size)]
+
+
 def matches(words: np.ndarray, hits: list[tuple[int, int, int]], index: Index) -> list[tuple[float, int, int, int, int]]:
     """(coverage, words matched, template, first word, last word) of the aligned candidates of one text.
 
@@ -206,11 +234,13 @@ def matches(words: np.ndarray, hits: list[tuple[int, int, int]], index: Index) -
     for t, places in by_template.items():
         template = index.words[t]
 
-        def align(begin: int, end: int, bands: list[tuple[int, int]]) -> list[tuple[float, int, int, int, int]]:
+        def align(begin: int, end: int, bands: Iterable[tuple[int, int]]) -> list[tuple[float, int, int, int, int]]:
             out = []
-            for low, high in dict.fromkeys(bands):
+            for low, high in bands:
                 first = max(begin, low - BAND)
                 part = words[first : max(first, min(end, high + BAND + len(template)))]
+                if in_common(index.masks[t], len(template), part.tolist()) < MIN_COVERAGE * len(template):
+                    continue  # a band holds no longer a subsequence
                 pairs = banded_lcs(template, part, low - BAND - first, high + BAND - first)
                 if pairs and len(pairs) >= MIN_COVERAGE * len(template):
                     out.append((len(pairs) / len(template), len(pairs), t, first + pairs[0][1], first + pairs[-1][1]))
@@ -219,8 +249,8 @@ def matches(words: np.ndarray, hits: list[tuple[int, int, int]], index: Index) -
         rest = [(0, len(words), sorted(places))]
         while rest:
             begin, end, some = rest.pop()
-            one_by_one, together = chains(some), diagonals(some)
-            got = align(begin, end, one_by_one) or align(begin, end, [x for x in together if x not in one_by_one])
+            one_by_one = dict.fromkeys(chains(some))
+            got = align(begin, end, one_by_one) or align(begin, end, [x for x in cut(diagonals(some), len(template)) if x not in one_by_one])
             if not got:
                 continue
             found += got

@@ -89,5 +89,31 @@ def test_a_notice_that_drifts_is_one_occurrence():
     assert [c for _, c in spans(f"{text} {text}")] == [1.0, 1.0]
 
 
+def test_counted_subsequence():
+    random.seed(3)
+    for _ in range(200):
+        a = np.array([random.randrange(6) for _ in range(random.randint(1, 12))])
+        b = np.array([random.randrange(6) for _ in range(random.randint(0, 16))])
+        assert ls.in_common(ls.word_mask(a), len(a), b.tolist()) == lcs(a, b, -20, 20)
+
+
+def test_wide_bands_are_cut_into_pieces_that_hold_every_drift():
+    for low, high, size in [(0, 0, 5), (3, 12, 5), (-40, 100, 7), (0, 11, 5)]:
+        pieces = ls.cut([(low, high)], size)
+        assert pieces[0][0] == low and pieces[-1][1] == high and all(z - a <= 2 * size for a, z in pieces)
+        assert all(any(a <= d and min(high, d + size) <= z for a, z in pieces) for d in range(low, high + 1))
+
+
+def test_a_long_text_of_one_indexed_run():
+    index = ls.build_index()
+    where = int(index.at[index.template == 2].min())
+    run, noise = " ".join(MIT.split()[where : where + ls.K]) + " ", "Licensed under the MIT License."
+    assert spans(run * 33000) == []
+    edited = MIT.replace("free of charge,", "free of any charge")
+    got = spans(run * 5000 + edited + " " + run * 5000 + noise + " " + run * 5000)
+    assert [t for t, _ in got if t == noise] == [noise] and len(got) == 2
+    assert got[0][1] >= 0.95 and edited.split()[-1].strip(".") in got[0][0].split()[-1]
+
+
 def test_empty(spark):
     assert ls.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
