@@ -213,6 +213,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "reconciled_orphans": sr.reconciled,
         "daily_message_incremental": sr.daily_after_second_poll,
         "report_month_from_streaks": sr.month_from_streak_table,
+        "report_month_from_counts": sr.month_from_counts,
+        "rank_distribution_from_counts": sr.year_ranks_from_counts,
+        "weekday_medians_from_counts": sr.year_weekdays_from_counts,
     }
     for p in ("week", "month", "year"):
         q[f"period_wins_{p}"] = _res(lambda r, by, p=p: rk.period_wins(r, by, p))
@@ -722,6 +725,9 @@ from board_flat where secs % 7 = 0"""
     o["daily_message_incremental"] = f"select * from ({o['messages_written']}) t where period_start = date '{sr.POLLED.isoformat()}' + 1"
     o["report_month_from_streaks"] = f"""select 'month' as kind, period_start, 'January' as title, message, seq, section, page, text
 from ({o['report_text_month'].replace(RESULTS, board)}) t"""
+    o["report_month_from_counts"] = o["report_month_from_streaks"] + " where period_start = date '2024-01-01'"
+    for name in ("rank_distribution", "weekday_medians"):
+        o[f"{name}_from_counts"] = f"select * from ({o[name].replace(RESULTS, board)}) t where period_start = date '2024-01-01'"
     if corpus is not None:
         o.update(corpus.ORACLE_SQL)
         if corpus_pipeline.ORACLE_SQL:

@@ -28,6 +28,12 @@ def median_times(results: DataFrame, by: Sequence[str] | None = None, period: st
     """Median seconds per player and period, rounded half to even, as ``m:ss`` too; ``checked`` as in :func:`ranked_position`."""
     grp = keys(by, "period_start")
     med = _in_periods(results, period).groupBy(*grp, "name").agg(F.median("secs").alias("m"))
+    return median_list(med, by, checked)
+
+
+def median_list(med: DataFrame, by: Sequence[str] | None = None, checked: bool = False) -> DataFrame:
+    """The ordered list of medians ``(by…, period_start, name, m)``."""
+    grp = keys(by, "period_start")
     rounded = F.bround(F.col("m"), 0).cast("bigint")
     out = med.select(*grp, "name", rounded.alias("median_secs"))
     out = ranked_position(out, grp, "median_secs", "name", checked=checked)

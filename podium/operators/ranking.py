@@ -190,8 +190,13 @@ def medal_table(results: DataFrame, by: Sequence[str] | None = None, period: str
     ``checked`` as in :func:`ranked_position`.
     """
     top = with_period(top_ranks(results, by, 3), period)
+    return medal_list(top.withColumn("n", F.lit(1)), by, checked)
+
+
+def medal_list(top: DataFrame, by: Sequence[str] | None = None, checked: bool = False) -> DataFrame:
+    """The medal table of ``(by…, period_start, name, rnk, n)``: how often a player came first, second and third."""
     counts = top.groupBy(*keys(by, "period_start", "name")).agg(
-        *[F.sum(F.when(F.col("rnk") == k, F.lit(1))).alias(c) for k, c in ((1, "firsts"), (2, "silvers"), (3, "thirds"))]
+        *[F.sum(F.when(F.col("rnk") == k, F.col("n"))).alias(c) for k, c in ((1, "firsts"), (2, "silvers"), (3, "thirds"))]
     )
     placements = F.concat(
         *[F.repeat(F.lit(MEDALS[k]), F.coalesce(F.col(c), F.lit(0)).cast("int")) for k, c in ((1, "firsts"), (2, "silvers"), (3, "thirds"))]
@@ -204,7 +209,11 @@ def medal_table(results: DataFrame, by: Sequence[str] | None = None, period: str
 def period_wins(results: DataFrame, by: Sequence[str] | None = None, period: str = "month", checked: bool = False) -> DataFrame:
     """Days won per player and period, the win-count rank (``rnk``) and the crown for the most; ``checked`` as in :func:`ranked_position`."""
     won = with_period(winners(results, by), period)
-    n = won.groupBy(*keys(by, "period_start", "name")).agg(F.count(F.lit(1)).alias("n"))
+    return win_list(won.groupBy(*keys(by, "period_start", "name")).agg(F.count(F.lit(1)).alias("n")), by, checked)
+
+
+def win_list(n: DataFrame, by: Sequence[str] | None = None, checked: bool = False) -> DataFrame:
+    """The ordered list of wins ``(by…, period_start, name, n)``."""
     grp = keys(by, "period_start")
     r = ranked_position(n, grp, "n", "name", descending=True, tie_descending=False, rank="rnk", checked=checked)
     return r.select(*keys(by, "period_start", "name"), "n", "rnk", "pos").withColumn(

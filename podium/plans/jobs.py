@@ -28,6 +28,7 @@ from podium.functions.texts import DAILY_TITLE
 from podium.functions.timefmt import format_secs
 from podium.operators import ingest as ing
 from podium.operators import streaks as st
+from podium.plans import count_table
 from podium.plans import reports as rp
 from podium.session import child_names, delete_path, path_exists, scratch_path
 from podium.sources.sinks import append_results, cluster_by_day, overwrite_partitions, write_marker, write_messages
@@ -492,6 +493,7 @@ def period_report_for(
     streak_table: DataFrame | None = None,
     lookback_days: int | None = None,
     checked: bool = False,
+    period_counts: DataFrame | None = None,
 ) -> DataFrame:
     """Week: the current ISO week (offset 0); month / year: the previous one (offset -1).
 
@@ -499,19 +501,28 @@ def period_report_for(
     ``lookback_days`` counts streaks from results of that many days before ``as_of`` only (the
     literal monthly report looks back 90), so longer streaks are cut; the default is all history.
     ``checked`` counts ties first and numbers huge ones in many tasks
-    (:func:`podium.operators.ranking.ranked_position`).
+    (:func:`podium.operators.ranking.ranked_position`).  ``period_counts`` of the
+    period (:func:`podium.plans.count_table.read_counts`) spare its ranking and medians.
     """
     if offset is None:
         offset = 0 if period == "week" else -1
     start, end = period_range(as_of, period, offset)
     in_range = (F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(end))
     if period == "week":
-        return rp.weekly_message(results.where(in_range), by, checked=checked)
+        return rp.weekly_message(results.where(in_range), by, checked=checked, period_counts=period_counts)
     if lookback_days is not None:
         streak_table = st.streaks(rp.lookback(results, as_of, lookback_days), by)
-    if streak_table is not None:
-        return rp.period_message(results.where(in_range), by, period, streak_table=streak_table.where(in_range), checked=checked)
-    return rp.period_report_for(results, as_of, by, period, offset, checked)
+    if streak_table is None:
+        streak_table = st.streaks(results.where(F.col("date") < F.lit(end)), by)
+    return rp.period_message(
+        results.where(in_range), by, period, streak_table=streak_table.where(in_range), checked=checked, period_counts=period_counts
+    )
+
+
+def update_counts(spark: SparkSession, table_path: str, counts_path: str, by: Sequence[str] | None = None) -> versions.Version | None:
+    """Bring the stored counts (:mod:`podium.plans.count_table`) up to date with the table's polls."""
+    touched = _read_or_empty(spark, _touched_path(table_path), _TOUCHED)
+    return count_table.update_counts(spark, read_stored(spark, table_path, by), touched, counts_path, by)
 
 
 def run_period(
@@ -524,15 +535,25 @@ def run_period(
     streak_path: str | None = None,
     canonical_path: str | None = None,
     lookback_days: int | None = None,
+    counts_path: str | None = None,
 ) -> None:
-    """Post one period; ``lookback_days`` as in :func:`period_report_for`."""
+    """Post one period; ``lookback_days`` as in :func:`period_report_for`.
+
+    With ``counts_path`` the stored state there is first brought up to date
+    (:func:`update_counts`) and the report is made from it: of the table only the
+    days polled since its last update are read.
+    """
     as_of = as_of or as_of_default()
-    results = read_canonical(spark, table_path, by, canonical_path)
+    results, period_counts = read_canonical(spark, table_path, by, canonical_path), None
+    if counts_path:
+        update_counts(spark, table_path, counts_path, by)
+        results = count_table.read_days(spark, counts_path, dt.date.min, dt.date.max, by)
+        period_counts = count_table.read_counts(spark, counts_path, as_of, period, 0 if period == "week" else -1, by)
     streak_table = None
     if streak_path and period != "week":
         _, end = period_range(as_of, period, -1)
         streak_table = read_streaks(spark, streak_path, by, results, end - dt.timedelta(days=1), table_path)
-    parts = period_report_for(results, as_of, by, period, streak_table=streak_table, lookback_days=lookback_days, checked=True)
+    parts = period_report_for(results, as_of, by, period, streak_table=streak_table, lookback_days=lookback_days, checked=True, period_counts=period_counts)
     write_messages(_kind_messages(parts, period, "period_start"), messages_path)
 
 
@@ -550,6 +571,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--load-date", type=dt.date.fromisoformat, default=None, help="take in the boards of this day only (ingest)")
     p.add_argument("--since", type=dt.date.fromisoformat, default=None, help="take in boards from this day on only (ingest)")
     p.add_argument("--canonical", help="compacted canonical table path (ingest keeps it; reports read it)")
+    p.add_argument("--counts", help="stored counts path (week, month and year keep it and report from it)")
     a = p.parse_args(argv)
     by = [k for k in a.by.split(",") if k] or None
     spark = SparkSession.builder.getOrCreate()
@@ -560,7 +582,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif a.job == "daily":
         run_daily(spark, a.table, a.messages, a.marker, a.as_of, by, a.streaks, a.canonical)
     else:
-        run_period(spark, a.table, a.messages, a.job, a.as_of, by, a.streaks, a.canonical, a.lookback_days)
+        run_period(spark, a.table, a.messages, a.job, a.as_of, by, a.streaks, a.canonical, a.lookback_days, a.counts)
 
 
 if __name__ == "__main__":

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from podium.functions import texts as tx
 from podium.functions.calendar import date_text_long, period_col, period_label
 from podium.functions.texts import fill
-from podium.operators import medians, ranking
+from podium.operators import counts, medians, ranking
 from podium.operators import streaks as st
 from podium.util import checked_broadcast, keys, null_safe_join, partition_keys
 
@@ -252,11 +252,14 @@ def daily_message(
 
 
 def weekly_message(
-    results: DataFrame, by: Sequence[str] | None = None, page_size: int = PAGE_SIZE, checked: bool = False
+    results: DataFrame, by: Sequence[str] | None = None, page_size: int = PAGE_SIZE, checked: bool = False, period_counts: DataFrame | None = None
 ) -> DataFrame:
-    """``*Week N wins*`` and the medal table, per ISO week; ``checked`` as in :func:`podium.operators.ranking.ranked_position`."""
+    """``*Week N wins*`` and the medal table, per ISO week; ``checked`` as in :func:`podium.operators.ranking.ranked_position`.
+
+    ``period_counts`` (:mod:`podium.operators.counts`) of the weeks spare the ranking of their days.
+    """
     grp = keys(by, "period_start")
-    table = ranking.medal_table(results, by, "week", checked)
+    table = ranking.medal_table(results, by, "week", checked) if period_counts is None else counts.medal_table(period_counts, by, checked)
     lines = table.withColumn("line", fill(tx.MEDAL_LINE, name="name", placements="placements"))
     weeks = results.select(*keys(by), period_col("date", "week").alias("period_start")).distinct()
     head = fill(tx.WEEK_HEADER, label=period_label("period_start", "week"))
@@ -270,20 +273,26 @@ def period_message(
     page_size: int = PAGE_SIZE,
     streak_table: DataFrame | None = None,
     checked: bool = False,
+    period_counts: DataFrame | None = None,
 ) -> DataFrame:
     """Monthly / annual results: wins, fastest three, medians, longest streak.
 
     A month is one message in that order.  A year is three messages, as
     posted: wins; medians; fastest three and longest streak.  ``checked`` as in
-    :func:`podium.operators.ranking.ranked_position`.
+    :func:`podium.operators.ranking.ranked_position`.  Wins and medians are read
+    off ``period_counts`` (:mod:`podium.operators.counts`) where they are given.
     """
     grp = keys(by, "period_start")
     s = streak_table if streak_table is not None else st.streaks(results, by)
-    wins = ranking.period_wins(results, by, period, checked).withColumn("line", fill(tx.WINS_LINE, name="name", n="n", mark="mark"))
+    if period_counts is None:
+        wins, med = ranking.period_wins(results, by, period, checked), medians.median_times(results, by, period, checked)
+    else:
+        wins, med = counts.period_wins(period_counts, by, checked), counts.median_times(period_counts, by, checked)
+    wins = wins.withColumn("line", fill(tx.WINS_LINE, name="name", n="n", mark="mark"))
     lines = (
         _lines(wins, grp, "wins")
         .unionByName(_lines(ranking.fastest(results, by, period, 3), grp, "fastest"))
-        .unionByName(_lines(medians.median_times(results, by, period, checked), grp, "medians"))
+        .unionByName(_lines(med, grp, "medians"))
         .unionByName(_lines(st.longest_streak(results, by, period, tx.STREAK_SHOWN_FROM, s), grp, "streak"))
     )
     periods = results.select(*keys(by), period_col("date", period).alias("period_start")).distinct()
