@@ -22,7 +22,8 @@ shingles for either size ``n``, so in any global order of shingles the first
    allow the similarity (:func:`_parity`).  Two rounds try the
    candidates of the highest counts first (``CONTRACTIONS``) and merge labels, so
    that a large group that is linked only in chains is soon one label; the last
-   round tries every candidate left.
+   round tries every candidate left.  A class all of whose candidates were tried
+   is done: a later round searches for the others only, in their lists only.
 6. Candidates are compared exactly: one document's sorted shingles are
    binary-probed for the other's, the skipped lists' shingles included.
 
@@ -334,12 +335,16 @@ class _List:
         return np.sort(self.node[i - len(other) : i][other])
 
 
-def _candidates(lists: DataFrame, bits: DataFrame, num: int, den: int, best: int | None = None) -> DataFrame:
-    """(a, b): classes of different labels whose count over the merged lists can reach the required overlap.
+def _candidates(
+    lists: DataFrame, bits: DataFrame, num: int, den: int, best: int | None = None, undone: DataFrame | None = None
+) -> DataFrame:
+    """(a, b, rank): classes of different labels whose count over the merged lists can reach the required overlap.
 
     ``lists``: key, n, node, label of lists with several labels; ``bits``: the
-    parity bits of every node.  ``best`` keeps only so many candidates of each
-    class, those of the highest counts.
+    parity bits of every node.  ``rank`` numbers the candidates of each ``a``
+    from 1, the highest counts first; ``best`` keeps only so many and one more,
+    which tells that not all are kept.  With ``undone`` only those nodes are
+    searched for (all their lists must be there).
     """
     sized = lists.join(lists.groupBy("key").agg(F.count("*").alias("long")), "key")
     rank = F.row_number().over(W.partitionBy("node").orderBy(F.desc("long"), "key"))
@@ -347,6 +352,9 @@ def _candidates(lists: DataFrame, bits: DataFrame, num: int, den: int, best: int
     skips = (F.col("long") > SHORT) & (rank <= SKIP) & (least >= SMALL)
     dealt = sized.withColumn("skipped", skips).withColumn("n_skipped", F.sum(F.col("skipped").cast("int")).over(W.partitionBy("node")))
     dealt = dealt.join(bits.hint("merge"), "node")
+    if undone is not None:
+        dealt = dealt.join(undone.withColumn("undone", F.lit(True)), "node", "left")
+        dealt = dealt.withColumn("skipped", F.col("skipped") | F.col("undone").isNull())
 
     def tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For each merged list of a document, the sorted documents before it that may be its partners."""
@@ -394,26 +402,30 @@ def _candidates(lists: DataFrame, bits: DataFrame, num: int, den: int, best: int
             need = max(1, 1 + SKIP - skipped) if -(-n * num // den) >= SMALL else 1
             counted = ((sum(1 for _ in same), other) for other, same in groupby(heapq.merge(*runs)))
             reached = (x for x in counted if x[0] >= need)
-            for _, other in reached if best is None else heapq.nlargest(best, reached):
-                left.append(a)
-                right.append(other)
+            for rank, (_, other) in enumerate(reached if best is None else heapq.nlargest(best + 1, reached), 1):
+                out.append((a, other, rank))
 
-        head, runs = None, []
+        def ranked():
+            cols = list(zip(*out)) or [()] * 3
+            types = (pa.int64(), pa.int64(), pa.int32())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["a", "b", "rank"])
+
+        head, runs, out = None, [], []
         for b in batches:
-            left, right = [], []
             for a, n, skipped, raw in zip(*(c.to_pylist() for c in b.columns)):
                 if head is not None and a != head[0]:
                     found(*head, runs)
                     runs = []
+                    if len(out) > 1 << 16:
+                        yield ranked()
+                        out = []
                 head = (a, n, skipped)
                 runs.append(np.frombuffer(raw, np.int64).tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
         if head is not None:
-            left, right = [], []
             found(*head, runs)
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+        yield ranked()
 
-    return mapped(tail.repartition("a").sortWithinPartitions("a"), merge, "a long, b long")
+    return mapped(tail.repartition("a").sortWithinPartitions("a"), merge, "a long, b long, rank int")
 
 
 def join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
@@ -432,15 +444,28 @@ def join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFram
     shared = lists.where("center != node").groupBy("center", "node").agg(F.count("*").alias("n"))
     nearest = shared.groupBy("node").agg(F.max(F.struct("n", "center")).alias("best"))
     star = verified(docs, usable, nearest.select(F.col("best.center").alias("a"), F.col("node").alias("b")), k, num, den)
-    links = star
+    links, undone = star, None
     for best in (*CONTRACTIONS, None):
         known = staged(components(links), "contracted")
-        labelled = lists.select("key", "n", "node").join(known, "node", "left").select("key", "n", "node", F.coalesce("component", "node").alias("label"))
+        if undone is not None:
+            # labels only merge, so the lists with several labels are among those of the round before
+            held = lists.join(undone, "node").select("key").distinct()
+            lists_of = lists.join(held, "key", "left_semi")
+        else:
+            lists_of = lists
+        labelled = lists_of.select("key", "n", "node").join(known, "node", "left").select("key", "n", "node", F.coalesce("component", "node").alias("label"))
         open_ = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("key")
         several = staged(labelled.join(open_, "key"), "several")
-        more = verified(docs, usable, _candidates(several, usable.select("node", "bits"), num, den, best), k, num, den)
-        links = links.unionByName(more)
-        unstage(known, several)
+        unstage(known, lists)
+        lists = several
+        pairs = staged(_candidates(several, usable.select("node", "bits"), num, den, best, undone), "candidates")
+        tried = pairs if best is None else pairs.where(F.col("rank") <= best)
+        links = links.unionByName(verified(docs, usable, tried.select("a", "b"), k, num, den))
+        if best is not None:
+            undone = staged(pairs.where(F.col("rank") > best).select(F.col("a").alias("node")).distinct(), "undone")
+            unstage(pairs)
+            if undone.isEmpty():
+                break
     whole = staged(components(links), "components")
     names = usable.select("node", "rep").join(whole, "node").groupBy("component").agg(F.min("rep").alias("least"))
     placed = classes.select("node", "rep").join(whole, "node", "left")

@@ -62,6 +62,34 @@ def test_against_all_pairs(spark, monkeypatch, seed, k, num):
     assert got == brute(rows, k, num, 100)
 
 
+def test_later_rounds_search_for_undone_classes_only(spark, monkeypatch):
+    """Pairs of near copies are tried in the first round, so no list is searched again; a large group's classes are, by themselves."""
+    searched, candidates = [], jj._candidates
+
+    def counted(lists, bits, num, den, best, undone=None):
+        searched.append((lists.select("node").distinct().count(), undone and undone.count()))
+        return candidates(lists, bits, num, den, best, undone)
+
+    monkeypatch.setattr(jj, "_candidates", counted)
+    random.seed(4)
+    word = lambda: f"w{random.randrange(500)}"
+    shared, rows = " ".join(word() for _ in range(12)), []
+    for g in range(40):
+        base = [word() for _ in range(80)]
+        rows += [(len(rows) + i, " ".join([*base[: 78 + i], shared])) for i in (1, 2)]
+    pairs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in jj.join(pairs).collect()) == brute(rows, 4, 85, 100)
+    assert len(searched) == 1 and searched[0][1] is None
+    searched.clear()
+    base = [word() for _ in range(120)]
+    for i in range(60):  # a chain: neighbours differ in few words, the ends in many
+        base[2 * i] = f"x{i}"
+        rows.append((len(rows) + 1, " ".join(base)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in jj.join(docs).collect()) == brute(rows, 4, 85, 100)
+    assert len(searched) > 1 and all(0 < undone <= 60 and nodes <= 60 for nodes, undone in searched[1:])
+
+
 def test_repeated_rows_and_null_ids(spark):
     text = " ".join(f"t{i}" for i in range(60))
     rows = [(7, text), (7, text), (3, text + " more"), (None, text), (9, "other words entirely here now"), (9, text + " and more"), (None, "alone " * 3 + "z"), (None, "")]
