@@ -32,6 +32,8 @@ from podium.sources.sinks import cluster_by_day
 from podium.util import keys
 
 _FOLDER = "generation=v"
+#: counts that one task sorts and writes
+FILE_ROWS = 1 << 20
 _BATCH = T.StructType([T.StructField("batch", T.StringType())])
 
 
@@ -104,7 +106,8 @@ def _taken_in(spark: SparkSession, stored: DataFrame, path: str, by: Sequence[st
     before = _days(spark, path, {d: f for d, f in old_days.items() if d in written}, by)
     held = _months(spark, path, {m: f for m, f in old_months.items() if m in months}, by)
     counts = ct.merged(held, ct.period_counts(new, by), ct.period_counts(before, by), by).withColumnRenamed("period_start", "month")
-    cluster_by_day(counts, ["month"], order=[*keys(by), "name", "kind", "value"]).write.partitionBy("month").parquet(f"{base}/layer=months")
+    rows = held.count() + 2 * new.count()  # a day's row has a time and a rank; both tables are stored, so files' footers tell
+    _by_month(counts, -(-rows // FILE_ROWS), by).write.partitionBy("month").parquet(f"{base}/layer=months")
     now = {
         "days": {**old_days, **dict.fromkeys(written, folder)},
         "months": {**old_months, **dict.fromkeys(_values(spark, f"{base}/layer=months", "month"), folder)},
@@ -114,6 +117,14 @@ def _taken_in(spark: SparkSession, stored: DataFrame, path: str, by: Sequence[st
     return made
 
 
+def _by_month(counts: DataFrame, files: int, by: Sequence[str] | None) -> DataFrame:
+    """Counts clustered by month and sorted; with several ``files`` a month's players are dealt to as many tasks by range."""
+    order = [*keys(by), "name", "kind", "value"]
+    if files <= 1:
+        return cluster_by_day(counts, ["month"], order=order)
+    return counts.repartitionByRange(files, "month", *order).sortWithinPartitions("month", *order)
+
+
 def _values(spark: SparkSession, path: str, key: str) -> list[str]:
     return [n.removeprefix(f"{key}=") for n in child_names(spark, path) if n.startswith(f"{key}=")]
 

@@ -53,6 +53,21 @@ def test_random_polls_keep_the_counts_of_the_rows(spark, tmp_path):
         _same(spark, table, path, BY, period, as_of)
 
 
+def test_a_months_counts_are_dealt_to_several_writers(spark, tmp_path, monkeypatch):
+    """No task sorts a whole month: with many counts its players lie in several files, one after the other."""
+    monkeypatch.setattr(count_table, "FILE_ROWS", 100)
+    table, path = str(tmp_path / "table"), str(tmp_path / "counts")
+    rows = [(f"p{i:03d}", f"2024-01-{d:02d}", 30 + (i * d) % 50) for d in (3, 4) for i in range(200)]
+    for part in (rows[:300], rows[300:]):
+        jobs.append_new_rows(results_df(spark, part).drop("time"), table)
+        jobs.update_counts(spark, table, path)
+    files = count_table.read_counts(spark, path, dt.date(2024, 1, 31)).groupBy(F.input_file_name()).agg(F.min("name"), F.max("name"), F.count("*")).collect()
+    assert len(files) > 1 and max(r[3] for r in files) < 400
+    ends = sorted((r[1], r[2]) for r in files)
+    assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+    _same(spark, table, path, None, "month", dt.date(2024, 1, 31))
+
+
 def _stored(spark, tmp_path, days=3):
     table, path = str(tmp_path / "table"), str(tmp_path / "counts")
     rows = [(n, f"2024-01-{d:02d}", 30 + i) for d in range(1, days + 1) for i, n in enumerate("abc")]
